@@ -11,9 +11,10 @@ from ledgerline.plans.entities import CleansePolicy, EntitySpec
 from ledgerline.schemas import REASON, ROW_ID, ZONE, ZONE_QUARANTINE, ZONE_SILVER
 
 
-def missing_columns(df: DataFrame, spec: EntitySpec) -> list[str]:
+def missing_columns(df_or_columns, spec: EntitySpec) -> list[str]:
     """Required columns absent from the feed (checked on the schema, no job)."""
-    return [c for c in spec.required if c not in df.columns]
+    cols = df_or_columns.columns if isinstance(df_or_columns, DataFrame) else list(df_or_columns)
+    return [c for c in spec.required if c not in cols]
 
 
 def value_rules(df: DataFrame, spec: EntitySpec, dim_keys: DataFrame | None = None,
