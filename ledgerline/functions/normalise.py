@@ -19,7 +19,9 @@ from ledgerline.schemas import CURRENCY_MAP, NA_TOKENS
 # "NaN"; the guard keeps those out.
 INT_PATTERN = r"^[+-]?[0-9]+$"
 NUMBER_PATTERN = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)$"
-_WS_EDGES = r"(?U)^\s+|\s+$"
+# Every character Python's str.strip() removes (str.isspace), so trimming
+# here gives the same text as the source system's strip.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -31,7 +33,7 @@ def is_numeric(dtype: T.DataType) -> bool:
 
 def strip_ws(c: Column) -> Column:
     """Trim all leading/trailing white space (Spark ``trim`` only strips spaces)."""
-    return F.regexp_replace(c.cast("string"), _WS_EDGES, "")
+    return F.btrim(c.cast("string"), F.lit(WHITESPACE))
 
 
 def na_to_null(c: Column) -> Column:
@@ -46,28 +48,42 @@ def clean_text(c: Column, compat_nan: bool = False) -> Column:
     return F.coalesce(t, F.lit("nan")) if compat_nan else t
 
 
-def int_key(c: Column, dtype: T.DataType = T.StringType()) -> Column:
-    """Integer-looking key rendered as text: '007'->'7', '1e3'->'1000', 'C1'->NULL.
+def parse_int_key(t: Column) -> Column:
+    """Integer key from trimmed text (NA tokens already NULL), as text.
 
-    Fractional or infinite values give NULL (an unusable key).
+    Whole numbers in decimal or scientific form are accepted ('1e3' ->
+    '1000'); fractional, infinite or non-numeric text gives NULL.
     """
+    d = t.try_cast("double")
+    return F.coalesce(F.when(t.rlike(INT_PATTERN), t.try_cast("bigint")),
+                      F.when(t.rlike(NUMBER_PATTERN) & (d % F.lit(1.0) == 0.0), d.try_cast("bigint"))
+                      ).cast("string")
+
+
+def int_key(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    """Integer-looking key rendered as text: '007'->'7', '1e3'->'1000', 'C1'->NULL."""
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c.cast("string")
-    s = strip_ws(na_to_null(c))
-    as_int = F.when(s.rlike(INT_PATTERN), s.try_cast("bigint"))
-    d = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
-    whole = F.when(~F.isnan(d) & (d % F.lit(1.0) == 0.0), d.try_cast("bigint"))
-    return F.coalesce(as_int, whole).cast("string")
+    return parse_int_key(strip_ws(na_to_null(c)))
+
+
+def parse_double(t: Column) -> Column:
+    """Number from trimmed text (NA tokens already NULL); the guard keeps out
+    what Spark's cast accepts but a lenient numeric parser does not ('1d',
+    '2f', hex, 'NaN'), so no NaN can come out."""
+    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
 
 
 def to_double(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """Lenient numeric parse: unparsable text and NaN become NULL."""
     if is_numeric(dtype):
         d = c.cast("double")
-    else:
-        s = strip_ws(na_to_null(c))
-        d = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
-    return F.when(~F.isnan(d), d)
+        return F.when(~F.isnan(d), d)
+    return parse_double(strip_ws(na_to_null(c)))
+
+
+def parse_timestamp(t: Column) -> Column:
+    return t.try_cast("timestamp_ntz")
 
 
 def to_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
@@ -76,13 +92,20 @@ def to_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
         return c
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
-    s = strip_ws(na_to_null(c))
-    return s.try_cast("timestamp_ntz")
+    return parse_timestamp(strip_ws(na_to_null(c)))
+
+
+# 'YYYY-MM' with a four-digit year and a one- or two-digit month 1..12: the
+# grammar of the source system's month format ('%Y-%m').
+MONTH_PATTERN = r"^[0-9]{4}-(1[0-2]|0[1-9]|[1-9])$"
 
 
 def month_start(c: Column) -> Column:
     """'YYYY-MM' (one-digit month accepted) -> first day of month; else NULL."""
-    return F.try_to_timestamp(c.cast("string"), F.lit("yyyy-M")).cast("date")
+    c = c.cast("string")
+    return F.when(c.rlike(MONTH_PATTERN),
+                  F.make_date(F.substring(c, 1, 4).cast("int"),
+                              F.substring(c, 6, 2).cast("int"), F.lit(1)))
 
 
 def _map_literal(mapping: dict) -> Column:
@@ -94,10 +117,14 @@ def currency_text(c: Column) -> Column:
     return F.upper(strip_ws(na_to_null(c)))
 
 
+def currency_lookup(text: Column, mapping: dict | None = None) -> Column:
+    """Canonical code for already trimmed, upper-cased currency text."""
+    return F.try_element_at(_map_literal(CURRENCY_MAP if mapping is None else mapping), text)
+
+
 def currency_code(c: Column, mapping: dict | None = None) -> Column:
     """Canonical 3-letter code for a currency spelling, NULL when unknown."""
-    return F.try_element_at(_map_literal(CURRENCY_MAP if mapping is None else mapping),
-                            currency_text(c))
+    return currency_lookup(currency_text(c), mapping)
 
 
 def finite_or_null(c: Column) -> Column:

@@ -24,27 +24,41 @@ def error_text(exc: BaseException | None) -> str | None:
     return text[:S.ERROR_TEXT_LIMIT]
 
 
+def audit_row(entity: str, source_path: str | None, load_uuid: str, stage: str, status: str,
+              row_count: int, exc: BaseException | None = None) -> tuple:
+    """One audit record, stamped with the time the stage ended."""
+    return (entity, os.path.basename(source_path.rstrip("/")) if source_path else None,
+            load_uuid, stage, status, int(row_count), error_text(exc),
+            datetime.now(timezone.utc).replace(tzinfo=None))
+
+
+def append(spark: SparkSession, audit_path: str, rows: list[tuple]) -> None:
+    """Append audit records in one small write. Errors are logged and
+    swallowed: auditing never fails a load."""
+    if not rows:
+        return
+    try:
+        spark.createDataFrame(rows, S.DATALOAD_AUDIT).coalesce(1).write.mode("append").parquet(audit_path)
+    except Exception:  # noqa: BLE001 - audit must not break the load
+        log.exception("audit write failed for %s", [r[3] for r in rows])
+
+
 def record(spark: SparkSession, audit_path: str, entity: str, source_path: str | None,
            load_uuid: str, stage: str, status: str, row_count: int,
            exc: BaseException | None = None) -> None:
-    """Append one audit row. Errors are logged and swallowed: auditing never
-    fails a load."""
-    try:
-        row = (entity, os.path.basename(source_path.rstrip("/")) if source_path else None,
-               load_uuid, stage, status, int(row_count), error_text(exc),
-               datetime.now(timezone.utc).replace(tzinfo=None))
-        spark.createDataFrame([row], S.DATALOAD_AUDIT).coalesce(1).write.mode("append").parquet(audit_path)
-    except Exception:  # noqa: BLE001 - audit must not break the load
-        log.exception("audit write failed for %s/%s", entity, stage)
+    """Append one audit record."""
+    append(spark, audit_path, [audit_row(entity, source_path, load_uuid, stage, status, row_count, exc)])
 
 
 def read_audit(spark: SparkSession, audit_path: str, entity: str | None = None,
                load_uuid: str | None = None, stage: str | None = None,
                status: str | None = None) -> DataFrame:
     """Filtered audit rows, newest first (ties by load and stage)."""
-    try:
+    from ledgerline.sources.store import Store
+
+    if Store(spark, audit_path).exists(audit_path):
         df = spark.read.schema(S.DATALOAD_AUDIT).parquet(audit_path)
-    except Exception:  # noqa: BLE001 - no audit written yet
+    else:  # no audit written yet
         df = spark.createDataFrame([], S.DATALOAD_AUDIT)
     if entity:
         df = df.where(F.col("entity") == entity)

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import normalise as N
 from ledgerline.operators.classify import KNOWN
@@ -55,6 +56,35 @@ def _dtype(df: DataFrame, name: str):
     return df.schema[name].dataType
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(_dtype(df, name), T.StringType)
+
+
+def _with_text(df: DataFrame, names) -> DataFrame:
+    """Trimmed text (reader NA tokens -> NULL) of raw text columns, in its own
+    projection: each parser reads it more than once, and Spark does not
+    inline a non-trivial expression that is used several times, so the
+    trimming runs once per value."""
+    return df.withColumns({f"_t_{n}": N.strip_ws(N.na_to_null(F.col(n)))
+                           for n in names if n in df.columns and _is_text(df, n)})
+
+
+def _drop_text(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_t_")])
+
+
+def _key(df: DataFrame, name: str) -> Column:
+    if _is_text(df, name):
+        return N.parse_int_key(F.col(f"_t_{name}"))
+    return N.int_key(F.col(name), _dtype(df, name))
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    if _is_text(df, name):
+        return N.parse_double(F.col(f"_t_{name}"))
+    return N.to_double(F.col(name), _dtype(df, name))
+
+
 def _optional_ts(df: DataFrame, name: str) -> Column:
     if name in df.columns:
         return N.to_timestamp(F.col(name), _dtype(df, name))
@@ -72,13 +102,14 @@ def _blank(c: Column) -> Column:
 # --- company ---------------------------------------------------------------
 
 def _company_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
-    return df.withColumns({
-        "company_id": N.int_key(F.col("company_id"), _dtype(df, "company_id")),
+    t = _with_text(df, ["company_id"])
+    return _drop_text(t.withColumns({
+        "company_id": _key(df, "company_id"),
         "name": N.clean_text(F.col("name"), p.compat),
         "industry": N.clean_text(F.col("industry"), p.compat),
         "country": N.clean_text(F.col("country"), p.compat),
         "created_at": _optional_ts(df, "created_at"),
-    })
+    }))
 
 
 def _company_rules(p: CleansePolicy):
@@ -112,17 +143,17 @@ def _updated_order(p: CleansePolicy):
 
 
 def _revenue_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
-    cur = N.currency_text(F.col("currency"))
-    if p.compat:
-        cur = F.coalesce(cur, F.lit("NAN"))
-    return df.withColumns({
-        "company_id": N.int_key(F.col("company_id"), _dtype(df, "company_id")),
+    t = _with_text(df, ["company_id", "revenue"]).withColumn(
+        "_t_currency", N.currency_text(F.col("currency")))
+    cur = F.col("_t_currency")
+    return _drop_text(t.withColumns({
+        "company_id": _key(df, "company_id"),
         "month": _month(df, p),
-        "revenue": N.to_double(F.col("revenue"), _dtype(df, "revenue")),
-        "currency": cur,
-        "_currency_code": N.currency_code(F.col("currency")),
+        "revenue": _number(df, "revenue"),
+        "currency": F.coalesce(cur, F.lit("NAN")) if p.compat else cur,
+        "_currency_code": N.currency_lookup(cur),
         "updated_at": _optional_ts(df, "updated_at"),
-    })
+    }))
 
 
 def _revenue_rules(p: CleansePolicy):
@@ -154,12 +185,13 @@ REVENUE = EntitySpec(
 
 
 def _expense_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
-    return df.withColumns({
-        "company_id": N.int_key(F.col("company_id"), _dtype(df, "company_id")),
+    t = _with_text(df, ["company_id", "expenses"])
+    return _drop_text(t.withColumns({
+        "company_id": _key(df, "company_id"),
         "month": _month(df, p),
-        "expenses": N.to_double(F.col("expenses"), _dtype(df, "expenses")),
+        "expenses": _number(df, "expenses"),
         "updated_at": _optional_ts(df, "updated_at"),
-    })
+    }))
 
 
 def _expense_rules(p: CleansePolicy):
@@ -186,12 +218,13 @@ def _fx_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
     def code(name):
         c = N.currency_text(F.col(name))
         return F.coalesce(c, F.lit("NAN")) if p.compat else c
-    return df.withColumns({
+    t = _with_text(df, ["fx_rate"])
+    return _drop_text(t.withColumns({
         "local_currency": code("local_currency"),
         "base_currency": code("base_currency"),
         "date": N.clean_text(F.col("date"), p.compat),
-        "fx_rate": N.to_double(F.col("fx_rate"), _dtype(df, "fx_rate")),
-    })
+        "fx_rate": _number(df, "fx_rate"),
+    }))
 
 
 def _fx_rules(p: CleansePolicy):

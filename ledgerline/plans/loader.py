@@ -11,10 +11,12 @@ succeeded; a failure leaves the current snapshot untouched.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,9 @@ from ledgerline.operators.merge import ACTION, INSERT, UPDATE
 from ledgerline.operators.metrics import metrics_summary
 from ledgerline.operators.report import report_projection, reason_breakdown
 from ledgerline.plans import golden as G
-from ledgerline.plans.audit import record
-from ledgerline.plans.cleanse import cleanse, missing_columns, with_zone
+from ledgerline.plans.audit import append, audit_row
+from ledgerline.plans.cleanse import missing_columns, value_rules, with_zone
+from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import SPECS, CleansePolicy, EntitySpec
 from ledgerline.sources.csv import FeedError, header_columns, read_feed, too_long
 from ledgerline.sources.store import Store
@@ -65,6 +68,7 @@ class LoadResult:
     updated: int
     quarantine: DataFrame | None = field(repr=False, default=None)
     golden: DataFrame | None = field(repr=False, default=None)
+    timings: dict[str, float] = field(default_factory=dict)
 
     @property
     def message(self) -> str:
@@ -84,6 +88,12 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     load_uuid = load_uuid or str(uuid.uuid4())
     run_at = _now()
     audit = store.audit_path()
+    # Audit records are collected per stage and appended together (one small
+    # write per load, or at the failing stage).
+    pending: list[tuple] = []
+
+    def note(stage, status, count, exc=None):
+        pending.append(audit_row(entity, path, load_uuid, stage, status, count, exc))
 
     # Source guards and required columns: checked before Bronze, not audited.
     cols = header_columns(spark, path)
@@ -92,6 +102,7 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
         raise FeedError(f"{entity}: missing required columns {missing}")
 
     # Bronze: text columns + run stamp + file position, written once.
+    t0 = time.perf_counter()
     raw = G.stamp(read_feed(spark, path, multiline), run_at, load_uuid)
     bronze_path = store.zone_path("bronze", entity, load_uuid)
     try:
@@ -104,17 +115,24 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
         if int(seen["rows"]) == 0:
             raise FeedError(f"{entity}: no data rows")
     except Exception as e:
-        record(spark, audit, entity, path, load_uuid, S.STAGE_BRONZE, S.STATUS_FAILURE, 0, e)
+        note(S.STAGE_BRONZE, S.STATUS_FAILURE, 0, e)
+        append(spark, audit, pending)
         raise
     raw_rows = int(seen["rows"])
-    record(spark, audit, entity, path, load_uuid, S.STAGE_BRONZE, S.STATUS_SUCCESS, raw_rows)
+    t1 = time.perf_counter()
+    note(S.STAGE_BRONZE, S.STATUS_SUCCESS, raw_rows)
 
     # Silver + Quarantine: one classified frame, one write partitioned by zone.
+    t2 = time.perf_counter()
     bronze = spark.read.parquet(bronze_path).drop("_corrupt_record")
     dim = None
     if spec.uses_dim:
         dim = store.read("dim_company", S.DIM_COMPANY).select("company_id")
-    classified = with_zone(cleanse(bronze, spec, dim, policy))
+    # The ruled frame feeds both the winner aggregate and the final
+    # classification; keep it so that it is computed once (a lost block is
+    # recomputed from Bronze).
+    ruled = value_rules(bronze, spec, dim, policy).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = with_zone(spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy))))
     zones_path = store.zone_path("classified", entity, load_uuid)
     reason = F.col(S.REASON)
     metrics = {"clean": F.count_if(reason.isNull()), "rejected": F.count_if(reason.isNotNull())}
@@ -122,15 +140,20 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     try:
         seen = store.write_observed(classified, zones_path, metrics, partition_by=[S.ZONE])
     except Exception as e:
-        record(spark, audit, entity, path, load_uuid, S.STAGE_SILVER, S.STATUS_FAILURE, 0, e)
-        record(spark, audit, entity, path, load_uuid, S.STAGE_QUARANTINE, S.STATUS_FAILURE, 0, e)
+        note(S.STAGE_SILVER, S.STATUS_FAILURE, 0, e)
+        note(S.STAGE_QUARANTINE, S.STATUS_FAILURE, 0, e)
+        append(spark, audit, pending)
         raise
+    finally:
+        ruled.unpersist()
     clean_rows, rejected = int(seen["clean"]), int(seen["rejected"])
     by_reason = {r: int(seen[r]) for r in spec.reasons if int(seen[r])}
-    record(spark, audit, entity, path, load_uuid, S.STAGE_SILVER, S.STATUS_SUCCESS, clean_rows)
-    record(spark, audit, entity, path, load_uuid, S.STAGE_QUARANTINE, S.STATUS_SUCCESS, rejected)
+    t3 = time.perf_counter()
+    note(S.STAGE_SILVER, S.STATUS_SUCCESS, clean_rows)
+    note(S.STAGE_QUARANTINE, S.STATUS_SUCCESS, rejected)
 
     # Golden: merge the Silver rows into the current snapshot, publish a new one.
+    t4 = time.perf_counter()
     table = GOLDEN_TABLE[entity]
     silver = spark.read.parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
     target = store.read(table, GOLDEN_SCHEMA[table])
@@ -142,15 +165,19 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
                               "updated": F.count_if(action == UPDATE)},
                              sort_within=SORT_WITHIN[table], drop_after_observe=[ACTION])
     except Exception as e:
-        record(spark, audit, entity, path, load_uuid, S.STAGE_GOLDEN, S.STATUS_FAILURE, 0, e)
+        note(S.STAGE_GOLDEN, S.STATUS_FAILURE, 0, e)
+        append(spark, audit, pending)
         raise
-    record(spark, audit, entity, path, load_uuid, S.STAGE_GOLDEN, S.STATUS_SUCCESS, clean_rows)
+    t5 = time.perf_counter()
+    note(S.STAGE_GOLDEN, S.STATUS_SUCCESS, clean_rows)
+    append(spark, audit, pending)
 
     quarantine = spark.read.parquet(f"{zones_path}/{S.ZONE}={S.ZONE_QUARANTINE}") if rejected else None
     return LoadResult(entity, load_uuid, raw_rows, clean_rows, rejected, by_reason,
                       int(seen["inserted"]), int(seen["updated"]),
                       quarantine=report_projection(quarantine, spec) if quarantine is not None else None,
-                      golden=read_golden(store, table))
+                      golden=read_golden(store, table),
+                      timings={"bronze": t1 - t0, "zones": t3 - t2, "golden": t5 - t4})
 
 
 def read_golden(store: Store, table: str, version: str | None = None) -> DataFrame:

@@ -349,7 +349,7 @@ SELECT count(*) AS total_rows,
        count(rolling_3m_revenue) AS rows_with_rolling FROM fact_m""",
     "read_company": """
 SELECT company_id, name, industry, country FROM dim1
-WHERE industry ILIKE '%build%' AND country ILIKE '%an%'""",
+WHERE industry ILIKE '%build%' AND country ILIKE '%tion_1%'""",
     "read_revenue": "SELECT company_id, month, revenue, currency FROM fact WHERE currency = 'USD'",
     "read_expense": "SELECT company_id, month, expenses FROM fact WHERE month = '1997-06'",
     "read_financials": """

@@ -252,7 +252,7 @@ def metrics_summary(spark, sf):
 # --- filtered reads -------------------------------------------------------------
 
 def read_company(spark, sf):
-    return R.read_company(D.company_dim(spark, sf), industry="build", country="an") \
+    return R.read_company(D.company_dim(spark, sf), industry="build", country="tion_1") \
         .select("company_id", "name", "industry", "country")
 
 

@@ -23,6 +23,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Small inputs still split across all cores; at scale the 128m cap rules.
+    "spark.sql.files.openCostInBytes": "131072",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

@@ -28,6 +28,9 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Current version per table as last published or read by this process
+        # (one writer per Golden table is assumed, as in the source system).
+        self._current: dict[str, str] = {}
 
     # --- zones ---------------------------------------------------------------
     def zone_path(self, zone: str, entity: str, load_uuid: str) -> str:
@@ -53,12 +56,25 @@ class Store:
     def table_path(self, table: str) -> str:
         return f"{self.root}/golden/{table}"
 
+    def exists(self, path: str) -> bool:
+        """Path check through the Hadoop FileSystem of the path (HDFS, S3A, local...)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def current_version(self, table: str) -> str | None:
+        if table in self._current:
+            return self._current[table]
+        log_path = f"{self.table_path(table)}/_versions"
+        if not self.exists(log_path):
+            return None
         try:
-            log = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.table_path(table)}/_versions")
+            log = self.spark.read.schema(_LOG_SCHEMA).json(log_path)
             last = log.orderBy(F.col("committed_at").desc(), F.col("version").desc()).limit(1).collect()
         except AnalysisException:
             return None
+        if last:
+            self._current[table] = last[0]["version"]
         return last[0]["version"] if last else None
 
     def read(self, table: str, schema: T.StructType | None = None, version: str | None = None) -> DataFrame | None:
@@ -76,6 +92,7 @@ class Store:
         entry = self.spark.createDataFrame(
             [(version, datetime.now(timezone.utc).replace(tzinfo=None), int(seen["rows"]))], _LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.table_path(table)}/_versions")
+        self._current[table] = version
         return seen
 
     def versions(self, table: str) -> DataFrame:
