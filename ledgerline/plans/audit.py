@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import os
+import uuid
 import traceback
 from datetime import datetime, timezone
 
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
+from ledgerline.sources import fs
 
 log = logging.getLogger(__name__)
 
@@ -33,12 +36,20 @@ def audit_row(entity: str, source_path: str | None, load_uuid: str, stage: str,
 
 
 def append(spark: SparkSession, audit_path: str, rows: list[tuple]) -> None:
-    """Append audit records in one small write. Errors are logged and
-    swallowed: auditing never fails a load."""
+    """Append audit records as one new JSON-lines file (a driver-side write of
+    a few hundred bytes, no Spark job). Errors are logged and swallowed:
+    auditing never fails a load."""
     if not rows:
         return
+    names = [f.name for f in S.DATALOAD_AUDIT.fields]
+    lines = []
+    for r in rows:
+        rec = dict(zip(names, r))
+        rec["run_at"] = rec["run_at"].isoformat()
+        lines.append(json.dumps(rec))
     try:
-        spark.createDataFrame(rows, S.DATALOAD_AUDIT).coalesce(1).write.mode("append").parquet(audit_path)
+        fname = f"{rows[0][-1].strftime('%Y%m%dT%H%M%S%f')}-{rows[0][2]}-{uuid.uuid4().hex[:8]}.json"
+        fs.write_new(spark, f"{audit_path}/{fname}", "\n".join(lines) + "\n")
     except Exception:  # noqa: BLE001 - audit must not break the load
         log.exception("audit write failed for %s", [r[3] for r in rows])
 
@@ -54,10 +65,8 @@ def read_audit(spark: SparkSession, audit_path: str, entity: str | None = None,
                load_uuid: str | None = None, stage: str | None = None,
                status: str | None = None) -> DataFrame:
     """Filtered audit rows, newest first (ties by load and stage)."""
-    from ledgerline.sources.store import Store
-
-    if Store(spark, audit_path).exists(audit_path):
-        df = spark.read.schema(S.DATALOAD_AUDIT).parquet(audit_path)
+    if fs.exists(spark, audit_path):
+        df = spark.read.schema(S.DATALOAD_AUDIT).json(audit_path)
     else:  # no audit written yet
         df = spark.createDataFrame([], S.DATALOAD_AUDIT)
     if entity:

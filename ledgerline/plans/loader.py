@@ -82,7 +82,7 @@ def _now() -> datetime:
 
 def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
                 policy: CleansePolicy = CleansePolicy(), load_uuid: str | None = None,
-                multiline: bool = False) -> LoadResult:
+                multiline: bool = False, persist_ruled: bool = True) -> LoadResult:
     spec: EntitySpec = SPECS[entity]
     entity = "fx_rate" if spec.name == "fx_rate" else spec.name
     load_uuid = load_uuid or str(uuid.uuid4())
@@ -103,7 +103,7 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
 
     # Bronze: text columns + run stamp + file position, written once.
     t0 = time.perf_counter()
-    raw = G.stamp(read_feed(spark, path, multiline), run_at, load_uuid)
+    raw = G.stamp(read_feed(spark, path, multiline, columns=cols), run_at, load_uuid)
     bronze_path = store.zone_path("bronze", entity, load_uuid)
     try:
         seen = store.write_observed(raw, bronze_path, {
@@ -124,14 +124,16 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
 
     # Silver + Quarantine: one classified frame, one write partitioned by zone.
     t2 = time.perf_counter()
-    bronze = spark.read.parquet(bronze_path).drop("_corrupt_record")
+    bronze = spark.read.schema(raw.schema).parquet(bronze_path).drop("_corrupt_record")
     dim = None
     if spec.uses_dim:
         dim = store.read("dim_company", S.DIM_COMPANY).select("company_id")
     # The ruled frame feeds both the winner aggregate and the final
     # classification; keep it so that it is computed once (a lost block is
     # recomputed from Bronze).
-    ruled = value_rules(bronze, spec, dim, policy).persist(StorageLevel.MEMORY_AND_DISK)
+    ruled = value_rules(bronze, spec, dim, policy)
+    if persist_ruled:
+        ruled = ruled.persist(StorageLevel.MEMORY_AND_DISK)
     classified = with_zone(spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy))))
     zones_path = store.zone_path("classified", entity, load_uuid)
     reason = F.col(S.REASON)
@@ -145,7 +147,8 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
         append(spark, audit, pending)
         raise
     finally:
-        ruled.unpersist()
+        if persist_ruled:
+            ruled.unpersist()
     clean_rows, rejected = int(seen["clean"]), int(seen["rejected"])
     by_reason = {r: int(seen[r]) for r in spec.reasons if int(seen[r])}
     t3 = time.perf_counter()
@@ -155,7 +158,8 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     # Golden: merge the Silver rows into the current snapshot, publish a new one.
     t4 = time.perf_counter()
     table = GOLDEN_TABLE[entity]
-    silver = spark.read.parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
+    zone_schema = classified.drop(S.ZONE).schema
+    silver = spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
     target = store.read(table, GOLDEN_SCHEMA[table])
     merged = MERGE[entity](target, silver, run_at, with_action=True)
     action = F.col(ACTION)
@@ -172,7 +176,8 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     note(S.STAGE_GOLDEN, S.STATUS_SUCCESS, clean_rows)
     append(spark, audit, pending)
 
-    quarantine = spark.read.parquet(f"{zones_path}/{S.ZONE}={S.ZONE_QUARANTINE}") if rejected else None
+    quarantine = (spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_QUARANTINE}")
+                  if rejected else None)
     return LoadResult(entity, load_uuid, raw_rows, clean_rows, rejected, by_reason,
                       int(seen["inserted"]), int(seen["updated"]),
                       quarantine=report_projection(quarantine, spec) if quarantine is not None else None,

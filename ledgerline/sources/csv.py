@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+import csv as _csv
 
 from ledgerline.schemas import ROW_ID, ROW_ORD
+from ledgerline.sources import fs
 
 
 class FeedError(ValueError):
@@ -15,17 +17,21 @@ class FeedError(ValueError):
 
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line (one tiny job on the first line only)."""
-    try:
-        first = spark.read.option("header", False).csv(path).limit(1).collect()
-    except AnalysisException as e:  # PATH_NOT_FOUND and friends
-        raise FileNotFoundError(path) from e
-    if not first:
+    """Column names from the header line (read on the driver, no Spark job)."""
+    if not fs.exists(spark, path):
+        raise FileNotFoundError(path)
+    line = fs.first_line(spark, path)
+    if line is None or not line.strip():
         raise FeedError(f"empty file: {path}")
-    return [c.strip() if c is not None else "" for c in first[0]]
+    try:
+        names = next(_csv.reader([line.lstrip("\ufeff")]))
+    except _csv.Error as e:
+        raise FeedError(f"unreadable header in {path}: {e}") from e
+    return [n.strip() for n in names]
 
 
-def read_feed(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, multiline: bool = False,
+              columns: list[str] | None = None) -> DataFrame:
     """All columns as STRING (types come from explicit parsing, never inference).
 
     Adds ``row_ord`` = (file, block start, row id): a total order equal to
@@ -33,7 +39,7 @@ def read_feed(spark: SparkSession, path: str, multiline: bool = False) -> DataFr
     scan, stored in Bronze and read back from there, so they are computed once.
     Short rows are padded with NULL; rows with too many fields fail the load.
     """
-    cols = header_columns(spark, path)
+    cols = columns if columns is not None else header_columns(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
                           + [T.StructField("_corrupt_record", T.StringType(), True)])
     df = (spark.read.schema(schema)

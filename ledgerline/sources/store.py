@@ -10,12 +10,14 @@ readable (time travel by version id).
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+from ledgerline.sources import fs
 
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.StringType(), False),
@@ -57,31 +59,26 @@ class Store:
         return f"{self.root}/golden/{table}"
 
     def exists(self, path: str) -> bool:
-        """Path check through the Hadoop FileSystem of the path (HDFS, S3A, local...)."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return fs.exists(self.spark, path)
 
     def current_version(self, table: str) -> str | None:
+        """Newest entry of the version log (entries are named by commit time)."""
         if table in self._current:
             return self._current[table]
-        log_path = f"{self.table_path(table)}/_versions"
-        if not self.exists(log_path):
-            return None
-        try:
-            log = self.spark.read.schema(_LOG_SCHEMA).json(log_path)
-            last = log.orderBy(F.col("committed_at").desc(), F.col("version").desc()).limit(1).collect()
-        except AnalysisException:
+        entries = fs.data_files(self.spark, f"{self.table_path(table)}/_versions")
+        if not entries:
             return None
-        if last:
-            self._current[table] = last[0]["version"]
-        return last[0]["version"] if last else None
+        newest = max(entries, key=lambda p: p.rsplit("/", 1)[-1])
+        version = json.loads(fs.first_line(self.spark, newest))["version"]
+        self._current[table] = version
+        return version
 
     def read(self, table: str, schema: T.StructType | None = None, version: str | None = None) -> DataFrame | None:
         v = version or self.current_version(table)
         if v is None:
             return self.spark.createDataFrame([], schema) if schema is not None else None
-        return self.spark.read.parquet(f"{self.table_path(table)}/v={v}")
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.table_path(table)}/v={v}")
 
     def publish(self, table: str, df: DataFrame, version: str, metrics: dict | None = None,
                 sort_within: list[str] | None = None, drop_after_observe=()) -> dict:
@@ -89,9 +86,11 @@ class Store:
         path = f"{self.table_path(table)}/v={version}"
         seen = self.write_observed(df, path, {"rows": F.count(F.lit(1)), **(metrics or {})},
                                    drop_after_observe=drop_after_observe, sort_within=sort_within)
-        entry = self.spark.createDataFrame(
-            [(version, datetime.now(timezone.utc).replace(tzinfo=None), int(seen["rows"]))], _LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(f"{self.table_path(table)}/_versions")
+        # Commit: one small log entry, written only after the snapshot is complete.
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        entry = {"version": version, "committed_at": now.isoformat(), "rows": int(seen["rows"])}
+        name = f"{now.strftime('%Y%m%dT%H%M%S%f')}-{version}.json"
+        fs.write_new(self.spark, f"{self.table_path(table)}/_versions/{name}", json.dumps(entry) + "\n")
         self._current[table] = version
         return seen
 
