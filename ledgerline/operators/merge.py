@@ -24,13 +24,26 @@ INSERT, UPDATE, KEEP = "insert", "update", "keep"
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
           insert_values: Mapping[str, Column] | None = None,
           set_values: Mapping[str, Column] | None = None,
-          with_action: bool = False) -> DataFrame:
+          with_action: bool = False, scope: str | None = None) -> DataFrame:
     """Return the merged table with the target's columns (in target order).
 
     ``update_cols``: copied from the source on match and on insert.
     ``insert_values``: expressions for columns set only on insert.
     ``set_values``: expressions written on every matched or inserted row.
+    ``scope``: a key column with few distinct values per load (the month of
+        a monthly feed). Target rows whose scope value the source does not
+        contain cannot match; they bypass the join (an anti-join against the
+        source's distinct scope values, small enough for AQE to broadcast),
+        so only the touched part of the target is shuffled.
     """
+    if scope is not None:
+        touched = source.select(scope).distinct()
+        kept = target.join(touched, scope, "left_anti").select(*target.columns)
+        if with_action:
+            kept = kept.withColumn(ACTION, F.lit(KEEP))
+        hit = target.join(touched, scope, "left_semi").select(*target.columns)
+        merged = merge(hit, source, keys, update_cols, insert_values, set_values, with_action)
+        return merged.unionByName(kept.select(*merged.columns))
     insert_values = dict(insert_values or {})
     set_values = dict(set_values or {})
     missing = [c for c in update_cols if c not in source.columns]

@@ -50,6 +50,8 @@ class EntitySpec:
     rules: Callable[[CleansePolicy], list[tuple[Column, str]]]
     order: Callable[[CleansePolicy], list[OrderKey]]
     finish: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+    # Columns whose text is parsed into another type (raw text kept in Quarantine).
+    parsed: tuple[str, ...] = ()
 
 
 def _dtype(df: DataFrame, name: str):
@@ -127,7 +129,8 @@ COMPANY = EntitySpec(
     required=("company_id", "name", "industry", "country"), optional=("created_at",),
     report_cols=("company_id", "name", "industry", "country"),
     reasons=(NULL_COMPANY_ID, SUPERSEDED_BY_CORRECTION), uses_dim=False,
-    normalise=_company_normalise, rules=_company_rules, order=_company_order)
+    normalise=_company_normalise, rules=_company_rules, order=_company_order,
+    parsed=("company_id", "created_at"))
 
 
 # --- revenue / expense -----------------------------------------------------
@@ -181,7 +184,8 @@ REVENUE = EntitySpec(
     reasons=(ORPHAN_COMPANY_ID, MALFORMED_CURRENCY, NULL_REVENUE, NEGATIVE_REVENUE,
              INVALID_MONTH, SUPERSEDED_BY_CORRECTION),
     uses_dim=True, normalise=_revenue_normalise, rules=_revenue_rules,
-    order=_updated_order, finish=_revenue_finish)
+    order=_updated_order, finish=_revenue_finish,
+    parsed=("company_id", "revenue", "currency", "updated_at"))
 
 
 def _expense_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
@@ -209,7 +213,8 @@ EXPENSE = EntitySpec(
     report_cols=("company_id", "month", "expenses"),
     reasons=(ORPHAN_COMPANY_ID, NULL_EXPENSE, NEGATIVE_EXPENSE, INVALID_MONTH,
              SUPERSEDED_BY_CORRECTION),
-    uses_dim=True, normalise=_expense_normalise, rules=_expense_rules, order=_updated_order)
+    uses_dim=True, normalise=_expense_normalise, rules=_expense_rules, order=_updated_order,
+    parsed=("company_id", "expenses", "updated_at"))
 
 
 # --- fx_rate ---------------------------------------------------------------
@@ -245,7 +250,8 @@ FX = EntitySpec(
     required=("local_currency", "base_currency", "date", "fx_rate"), optional=(),
     report_cols=("local_currency", "base_currency", "date", "fx_rate"),
     reasons=(INVALID_CURRENCY, INVALID_FX_RATE, INVALID_DATE, SUPERSEDED_BY_CORRECTION),
-    uses_dim=False, normalise=_fx_normalise, rules=_fx_rules, order=_fx_order)
+    uses_dim=False, normalise=_fx_normalise, rules=_fx_rules, order=_fx_order,
+    parsed=("local_currency", "base_currency", "fx_rate"))
 
 
 SPECS = {s.name: s for s in (COMPANY, REVENUE, EXPENSE, FX)}

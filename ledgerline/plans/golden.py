@@ -67,13 +67,13 @@ EXPENSE_COLS = ["expenses", "expenses_updated_at", "expense_pipeline_loaded_at",
 def merge_revenue(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:
     return merge(fact, revenue_source(clean), ["company_id", "month"], REVENUE_COLS,
                  set_values={"updated_at": F.lit(run_at).cast("timestamp")},
-                 with_action=with_action)
+                 with_action=with_action, scope="month")
 
 
 def merge_expense(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:
     return merge(fact, expense_source(clean), ["company_id", "month"], EXPENSE_COLS,
                  set_values={"updated_at": F.lit(run_at).cast("timestamp")},
-                 with_action=with_action)
+                 with_action=with_action, scope="month")
 
 
 def merge_fx(fx: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:

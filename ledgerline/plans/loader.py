@@ -26,7 +26,8 @@ from ledgerline.operators.metrics import metrics_summary
 from ledgerline.operators.report import report_projection, reason_breakdown
 from ledgerline.plans import golden as G
 from ledgerline.plans.audit import append, audit_row
-from ledgerline.plans.cleanse import missing_columns, value_rules, with_zone
+from ledgerline.plans.cleanse import (RAW_SUFFIX, keep_raw_text, missing_columns,
+                                      raw_only_when_rejected, value_rules, with_zone)
 from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import SPECS, CleansePolicy, EntitySpec
 from ledgerline.sources.csv import FeedError, header_columns, read_feed, too_long
@@ -56,6 +57,10 @@ SORT_WITHIN = {
 }
 
 
+class AlreadyLoaded(RuntimeError):
+    """A retried load whose Golden version is already committed."""
+
+
 @dataclass
 class LoadResult:
     entity: str
@@ -82,12 +87,35 @@ def _now() -> datetime:
 
 def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
                 policy: CleansePolicy = CleansePolicy(), load_uuid: str | None = None,
-                multiline: bool = False, persist_ruled: bool = True) -> LoadResult:
+                multiline: bool = False, persist_ruled: bool = False) -> LoadResult:
+    """Load one CSV feed (a file or a folder of files)."""
+    spec: EntitySpec = SPECS[entity]
+    # Source guards and required columns: checked before Bronze, not audited.
+    cols = header_columns(spark, path)
+    missing = missing_columns(cols, spec)
+    if missing:
+        raise FeedError(f"{spec.name}: missing required columns {missing}")
+    feed = read_feed(spark, path, multiline, columns=cols)
+    return load_frame(spark, store, entity, feed, len(cols), path, policy, load_uuid,
+                      persist_ruled=persist_ruled)
+
+
+def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame, n_cols: int,
+               source_name: str, policy: CleansePolicy = CleansePolicy(),
+               load_uuid: str | None = None, persist_ruled: bool = False,
+               stage_mode: str = "errorifexists") -> LoadResult:
+    """Load a feed already read as text (``read_feed`` columns: the feed's
+    columns, ``_corrupt_record``, ``_row_id``, ``row_ord``).
+
+    ``stage_mode="overwrite"`` makes the Bronze and zone folders of a given
+    ``load_uuid`` rewritable, so a retried micro-batch can run again.
+    """
     spec: EntitySpec = SPECS[entity]
     entity = "fx_rate" if spec.name == "fx_rate" else spec.name
     load_uuid = load_uuid or str(uuid.uuid4())
     run_at = _now()
     audit = store.audit_path()
+    path = source_name
     # Audit records are collected per stage and appended together (one small
     # write per load, or at the failing stage).
     pending: list[tuple] = []
@@ -95,20 +123,20 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     def note(stage, status, count, exc=None):
         pending.append(audit_row(entity, path, load_uuid, stage, status, count, exc))
 
-    # Source guards and required columns: checked before Bronze, not audited.
-    cols = header_columns(spark, path)
-    missing = missing_columns(cols, spec)
+    missing = missing_columns(feed.columns, spec)
     if missing:
         raise FeedError(f"{entity}: missing required columns {missing}")
+    if stage_mode == "overwrite" and store.committed(GOLDEN_TABLE[entity], load_uuid):
+        raise AlreadyLoaded(f"{entity} load {load_uuid} is already published")
 
     # Bronze: text columns + run stamp + file position, written once.
     t0 = time.perf_counter()
-    raw = G.stamp(read_feed(spark, path, multiline, columns=cols), run_at, load_uuid)
+    raw = G.stamp(feed, run_at, load_uuid)
     bronze_path = store.zone_path("bronze", entity, load_uuid)
     try:
-        seen = store.write_observed(raw, bronze_path, {
+        seen = store.write_observed(raw, bronze_path, mode=stage_mode, metrics={
             "rows": F.count(F.lit(1)),
-            "too_long": F.count_if(too_long(F.col("_corrupt_record"), len(cols))),
+            "too_long": F.count_if(too_long(F.col("_corrupt_record"), n_cols)),
         })
         if int(seen["too_long"]):
             raise FeedError(f"{entity}: {seen['too_long']} rows with more fields than the header")
@@ -131,16 +159,18 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     # The ruled frame feeds both the winner aggregate and the final
     # classification; keep it so that it is computed once (a lost block is
     # recomputed from Bronze).
-    ruled = value_rules(bronze, spec, dim, policy)
+    ruled = value_rules(keep_raw_text(bronze, spec), spec, dim, policy)
     if persist_ruled:
         ruled = ruled.persist(StorageLevel.MEMORY_AND_DISK)
-    classified = with_zone(spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy))))
+    classified = with_zone(raw_only_when_rejected(
+        spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy)))))
     zones_path = store.zone_path("classified", entity, load_uuid)
     reason = F.col(S.REASON)
     metrics = {"clean": F.count_if(reason.isNull()), "rejected": F.count_if(reason.isNotNull())}
     metrics.update({r: F.count_if(reason == r) for r in spec.reasons})
     try:
-        seen = store.write_observed(classified, zones_path, metrics, partition_by=[S.ZONE])
+        seen = store.write_observed(classified, zones_path, metrics, partition_by=[S.ZONE],
+                                    mode=stage_mode)
     except Exception as e:
         note(S.STAGE_SILVER, S.STATUS_FAILURE, 0, e)
         note(S.STAGE_QUARANTINE, S.STATUS_FAILURE, 0, e)
@@ -159,7 +189,8 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     t4 = time.perf_counter()
     table = GOLDEN_TABLE[entity]
     zone_schema = classified.drop(S.ZONE).schema
-    silver = spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
+    silver = (spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
+              .drop(S.REASON, *[c for c in zone_schema.fieldNames() if c.endswith(RAW_SUFFIX)]))
     target = store.read(table, GOLDEN_SCHEMA[table])
     merged = MERGE[entity](target, silver, run_at, with_action=True)
     action = F.col(ACTION)
@@ -167,7 +198,8 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
         seen = store.publish(table, merged, load_uuid,
                              {"inserted": F.count_if(action == INSERT),
                               "updated": F.count_if(action == UPDATE)},
-                             sort_within=SORT_WITHIN[table], drop_after_observe=[ACTION])
+                             sort_within=SORT_WITHIN[table], drop_after_observe=[ACTION],
+                             mode=stage_mode)
     except Exception as e:
         note(S.STAGE_GOLDEN, S.STATUS_FAILURE, 0, e)
         append(spark, audit, pending)

@@ -30,6 +30,29 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
     return [n.strip() for n in names]
 
 
+def text_schema(cols: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
+                        + [T.StructField("_corrupt_record", T.StringType(), True)])
+
+
+def csv_options(reader, multiline: bool = False):
+    return (reader.option("header", True)
+                  .option("escape", '"')
+                  .option("multiLine", multiline)
+                  .option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", "_corrupt_record"))
+
+
+def with_position(df: DataFrame, file_col=None, block_col=None) -> DataFrame:
+    """Add ``_row_id`` (unique) and ``row_ord`` = (file, block start, row id),
+    a total order equal to the order of the rows in their files."""
+    file_col = file_col if file_col is not None else F.col("_metadata.file_path")
+    block_col = block_col if block_col is not None else F.col("_metadata.file_block_start")
+    return (df.withColumn(ROW_ID, F.monotonically_increasing_id())
+              .withColumn(ROW_ORD, F.struct(file_col.alias("file"), block_col.alias("block"),
+                                            F.col(ROW_ID).alias("pos"))))
+
+
 def read_feed(spark: SparkSession, path: str, multiline: bool = False,
               columns: list[str] | None = None) -> DataFrame:
     """All columns as STRING (types come from explicit parsing, never inference).
@@ -40,20 +63,8 @@ def read_feed(spark: SparkSession, path: str, multiline: bool = False,
     Short rows are padded with NULL; rows with too many fields fail the load.
     """
     cols = columns if columns is not None else header_columns(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
-                          + [T.StructField("_corrupt_record", T.StringType(), True)])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("escape", '"')
-          .option("multiLine", multiline)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .csv(path))
-    rid = F.monotonically_increasing_id()
-    return (df.withColumn(ROW_ID, rid)
-              .withColumn(ROW_ORD, F.struct(F.col("_metadata.file_path").alias("file"),
-                                            F.col("_metadata.file_block_start").alias("block"),
-                                            F.col(ROW_ID).alias("pos"))))
+    df = csv_options(spark.read.schema(text_schema(cols)), multiline).csv(path)
+    return with_position(df)
 
 
 def too_long(corrupt: Column, n_cols: int) -> Column:

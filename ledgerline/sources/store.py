@@ -81,11 +81,19 @@ class Store:
         return reader.parquet(f"{self.table_path(table)}/v={v}")
 
     def publish(self, table: str, df: DataFrame, version: str, metrics: dict | None = None,
-                sort_within: list[str] | None = None, drop_after_observe=()) -> dict:
-        """Write a full new snapshot, then append it to the version log."""
+                sort_within: list[str] | None = None, drop_after_observe=(),
+                mode: str = "errorifexists") -> dict:
+        """Write a full new snapshot, then append it to the version log.
+
+        ``mode="overwrite"`` rewrites an uncommitted folder of the same
+        version left by a failed attempt (never a committed one).
+        """
         path = f"{self.table_path(table)}/v={version}"
+        if mode == "overwrite" and self.committed(table, version):
+            raise ValueError(f"{table} version {version} is already committed")
         seen = self.write_observed(df, path, {"rows": F.count(F.lit(1)), **(metrics or {})},
-                                   drop_after_observe=drop_after_observe, sort_within=sort_within)
+                                   drop_after_observe=drop_after_observe, sort_within=sort_within,
+                                   mode=mode)
         # Commit: one small log entry, written only after the snapshot is complete.
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         entry = {"version": version, "committed_at": now.isoformat(), "rows": int(seen["rows"])}
@@ -94,6 +102,11 @@ class Store:
         self._current[table] = version
         return seen
 
+    def committed(self, table: str, version: str) -> bool:
+        """Is ``version`` in the table's version log?"""
+        entries = fs.data_files(self.spark, f"{self.table_path(table)}/_versions")
+        return any(e.endswith(f"-{version}.json") for e in entries)
+
     def versions(self, table: str) -> DataFrame:
         return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.table_path(table)}/_versions")
 

@@ -153,3 +153,17 @@ def test_write_feed_roundtrip(spark, workdir):
     write_feed(df, f"{workdir}/rt.csv", order_by="row_ord")
     back = read_feed(spark, f"{workdir}/rt.csv").orderBy(S.ROW_ORD).select("v").collect()
     assert [r.v for r in back] == ["a,1", " b "]
+
+
+def test_quarantine_keeps_raw_text(spark, workdir):
+    store = Store(spark, workdir)
+    load_entity(spark, store, "company", _write(f"{workdir}/in/c.csv", "company_id,name,industry,country\n1,a,b,c\n"))
+    rev = _write(f"{workdir}/in/r.csv",
+                 "company_id,month,revenue,currency,updated_at\n1,2024-01,abc,USD,2024-01-01\n1,2024-02,5,USD,2024-01-01\n")
+    res = load_entity(spark, store, "revenue", rev)
+    zone = store.zone_path("classified", "revenue", res.load_uuid)
+    rows = {r.month: (r.revenue_raw, r.quarantine_reason) for r in spark.read.parquet(zone).collect()}
+    assert rows == {"2024-01": ("abc", S.NULL_REVENUE), "2024-02": (None, None)}
+    silver = spark.read.parquet(f"{zone}/zone=silver")
+    assert read_golden(store, "fact_company_monthly_financials").count() == 1
+    assert "revenue_raw" in silver.columns  # stored NULL on clean rows, dropped before the merge

@@ -111,3 +111,15 @@ def test_two_upserts_equal_full_outer_join(spark):
     cols = ["company_id", "month", "revenue", "expenses", "currency"]
     assert sorted(map(tuple, a.select(cols).collect()), key=str) == sorted(map(tuple, b.select(cols).collect()), key=str)
     assert a.count() == 3
+
+
+def test_scoped_merge_equals_full_merge(spark):
+    target = spark.createDataFrame([("1", "m1", 1.0), ("1", "m2", 2.0), ("2", "m3", 3.0)],
+                                   "k string, month string, v double")
+    source = spark.createDataFrame([("1", "m2", None), ("3", "m2", 9.0), ("4", "m4", 4.0)],
+                                   "k string, month string, v double")
+    full = merge(target, source, ["k", "month"], ["v"], with_action=True)
+    scoped = merge(target, source, ["k", "month"], ["v"], with_action=True, scope="month")
+    assert sorted(map(tuple, full.collect()), key=str) == sorted(map(tuple, scoped.collect()), key=str)
+    plan = scoped._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
