@@ -36,10 +36,19 @@ def strip_ws(c: Column) -> Column:
     return F.btrim(c.cast("string"), F.lit(WHITESPACE))
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _na_tokens() -> Column:
+    # One SQL literal (a single plan-building call instead of one per token).
+    return F.expr("array(" + ", ".join(_sql_text(t) for t in NA_TOKENS) + ")")
+
+
 def na_to_null(c: Column) -> Column:
     """Treat the reader's NA tokens as missing (exact, untrimmed match)."""
     s = c.cast("string")
-    return F.when(~s.isin(NA_TOKENS), s)
+    return F.when(~F.array_contains(_na_tokens(), s), s)
 
 
 def clean_text(c: Column, compat_nan: bool = False) -> Column:
@@ -109,7 +118,7 @@ def month_start(c: Column) -> Column:
 
 
 def _map_literal(mapping: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+    return F.expr("map(" + ", ".join(_sql_text(x) for x in chain.from_iterable(mapping.items())) + ")")
 
 
 def currency_text(c: Column) -> Column:

@@ -75,7 +75,8 @@ def clean(spark, sf_dir, entity, policy=CleansePolicy()) -> DataFrame:
 
 def fact_table(spark, sf_dir, policy=CleansePolicy(), with_metrics: bool = True) -> DataFrame:
     """Fact after the revenue load then the expense load (then metrics)."""
-    f = G.merge_revenue(G.empty(spark, S.FACT_FINANCIALS), clean(spark, sf_dir, "revenue", policy), RUN_AT)
+    f = G.merge_revenue(G.empty(spark, S.FACT_FINANCIALS), clean(spark, sf_dir, "revenue", policy), RUN_AT,
+                        scoped=False)
     f = G.merge_expense(f, clean(spark, sf_dir, "expense", policy), RUN_AT)
     return G.merge_metrics(f) if with_metrics else f
 

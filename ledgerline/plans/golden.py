@@ -64,16 +64,20 @@ EXPENSE_COLS = ["expenses", "expenses_updated_at", "expense_pipeline_loaded_at",
                 "expense_pipeline_load_uuid"]
 
 
-def merge_revenue(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:
+def merge_revenue(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False,
+                  scoped: bool = True) -> DataFrame:
+    """``scoped``: only the months present in the feed take part in the join
+    (pass False when the fact is known to be empty)."""
     return merge(fact, revenue_source(clean), ["company_id", "month"], REVENUE_COLS,
                  set_values={"updated_at": F.lit(run_at).cast("timestamp")},
-                 with_action=with_action, scope="month")
+                 with_action=with_action, scope="month" if scoped else None)
 
 
-def merge_expense(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:
+def merge_expense(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False,
+                  scoped: bool = True) -> DataFrame:
     return merge(fact, expense_source(clean), ["company_id", "month"], EXPENSE_COLS,
                  set_values={"updated_at": F.lit(run_at).cast("timestamp")},
-                 with_action=with_action, scope="month")
+                 with_action=with_action, scope="month" if scoped else None)
 
 
 def merge_fx(fx: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:

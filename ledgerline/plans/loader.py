@@ -191,8 +191,12 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     zone_schema = classified.drop(S.ZONE).schema
     silver = (spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
               .drop(S.REASON, *[c for c in zone_schema.fieldNames() if c.endswith(RAW_SUFFIX)]))
+    first_load = store.current_version(table) is None
     target = store.read(table, GOLDEN_SCHEMA[table])
-    merged = MERGE[entity](target, silver, run_at, with_action=True)
+    if entity in ("revenue", "expense"):
+        merged = MERGE[entity](target, silver, run_at, with_action=True, scoped=not first_load)
+    else:
+        merged = MERGE[entity](target, silver, run_at, with_action=True)
     action = F.col(ACTION)
     try:
         seen = store.publish(table, merged, load_uuid,
