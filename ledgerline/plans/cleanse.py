@@ -17,30 +17,6 @@ def missing_columns(df_or_columns, spec: EntitySpec) -> list[str]:
     return [c for c in spec.required if c not in cols]
 
 
-RAW_SUFFIX = "_raw"
-
-
-def keep_raw_text(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Copy the received text of every parsed column to ``<col>_raw``.
-
-    Normalisation replaces unparsable text by NULL; the copy keeps what was
-    received so that a quarantined row can still be inspected. Only text
-    inputs get a copy (typed inputs lose nothing).
-    """
-    text = [c for c in spec.parsed if c in df.columns
-            and df.schema[c].dataType.typeName() == "string"]
-    return df.withColumns({c + RAW_SUFFIX: F.col(c) for c in text}) if text else df
-
-
-def raw_only_when_rejected(df: DataFrame, reason_col: str = REASON) -> DataFrame:
-    """Raw copies are kept for quarantined rows only (NULL, so nearly free, on clean rows)."""
-    raws = [c for c in df.columns if c.endswith(RAW_SUFFIX)]
-    if not raws:
-        return df
-    bad = F.col(reason_col).isNotNull()
-    return df.withColumns({c: F.when(bad, F.col(c)) for c in raws})
-
-
 def value_rules(df: DataFrame, spec: EntitySpec, dim_keys: DataFrame | None = None,
                 policy: CleansePolicy = CleansePolicy(), row_id: str = ROW_ID) -> DataFrame:
     """Normalise and apply the prioritised value rules (no dedup yet)."""

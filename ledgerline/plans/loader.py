@@ -26,8 +26,7 @@ from ledgerline.operators.metrics import metrics_summary
 from ledgerline.operators.report import report_projection, reason_breakdown
 from ledgerline.plans import golden as G
 from ledgerline.plans.audit import append, audit_row
-from ledgerline.plans.cleanse import (RAW_SUFFIX, keep_raw_text, missing_columns,
-                                      raw_only_when_rejected, value_rules, with_zone)
+from ledgerline.plans.cleanse import missing_columns, value_rules, with_zone
 from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import SPECS, CleansePolicy, EntitySpec
 from ledgerline.sources.csv import FeedError, header_columns, read_feed, too_long
@@ -87,7 +86,7 @@ def _now() -> datetime:
 
 def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
                 policy: CleansePolicy = CleansePolicy(), load_uuid: str | None = None,
-                multiline: bool = False, persist_ruled: bool = False) -> LoadResult:
+                multiline: bool = False, persist_ruled: bool = True) -> LoadResult:
     """Load one CSV feed (a file or a folder of files)."""
     spec: EntitySpec = SPECS[entity]
     # Source guards and required columns: checked before Bronze, not audited.
@@ -102,7 +101,7 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
 
 def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame, n_cols: int,
                source_name: str, policy: CleansePolicy = CleansePolicy(),
-               load_uuid: str | None = None, persist_ruled: bool = False,
+               load_uuid: str | None = None, persist_ruled: bool = True,
                stage_mode: str = "errorifexists") -> LoadResult:
     """Load a feed already read as text (``read_feed`` columns: the feed's
     columns, ``_corrupt_record``, ``_row_id``, ``row_ord``).
@@ -159,11 +158,10 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     # The ruled frame feeds both the winner aggregate and the final
     # classification; keep it so that it is computed once (a lost block is
     # recomputed from Bronze).
-    ruled = value_rules(keep_raw_text(bronze, spec), spec, dim, policy)
+    ruled = value_rules(bronze, spec, dim, policy)
     if persist_ruled:
         ruled = ruled.persist(StorageLevel.MEMORY_AND_DISK)
-    classified = with_zone(raw_only_when_rejected(
-        spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy)))))
+    classified = with_zone(spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy))))
     zones_path = store.zone_path("classified", entity, load_uuid)
     reason = F.col(S.REASON)
     metrics = {"clean": F.count_if(reason.isNull()), "rejected": F.count_if(reason.isNotNull())}
@@ -189,8 +187,7 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     t4 = time.perf_counter()
     table = GOLDEN_TABLE[entity]
     zone_schema = classified.drop(S.ZONE).schema
-    silver = (spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
-              .drop(S.REASON, *[c for c in zone_schema.fieldNames() if c.endswith(RAW_SUFFIX)]))
+    silver = spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}").drop(S.REASON)
     first_load = store.current_version(table) is None
     target = store.read(table, GOLDEN_SCHEMA[table])
     if entity in ("revenue", "expense"):
@@ -221,6 +218,22 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
                       timings={"bronze": t1 - t0, "zones": t3 - t2, "golden": t5 - t4})
 
 
+def quarantine_with_raw(spark: SparkSession, store: Store, entity: str, load_uuid: str) -> DataFrame:
+    """Quarantined rows of one load with the text they arrived with.
+
+    Normalisation turns unparsable text into NULL; the received text stays in
+    Bronze under the same row id, so it is joined back on demand (the
+    quarantine is usually small, so AQE broadcasts it) instead of being
+    carried through the load.
+    """
+    spec = SPECS[entity]
+    entity = "fx_rate" if spec.name == "fx_rate" else spec.name
+    q = spark.read.parquet(f"{store.zone_path('classified', entity, load_uuid)}/{S.ZONE}={S.ZONE_QUARANTINE}")
+    bronze = spark.read.parquet(store.zone_path("bronze", entity, load_uuid))
+    raw = bronze.select(S.ROW_ID, *[F.col(c).alias(f"{c}_raw") for c in spec.parsed if c in bronze.columns])
+    return q.join(raw, S.ROW_ID, "left")
+
+
 def read_golden(store: Store, table: str, version: str | None = None) -> DataFrame:
     return store.read(table, GOLDEN_SCHEMA[table], version)
 
