@@ -65,6 +65,9 @@ def main() -> None:
     res = run(spark, sf_dir)
     total = time.perf_counter() - t
     timed = {k: round(v, 3) for k, v in res.items() if not k.endswith("_rows")}
+    rates = {f"{e}_rows_per_sec": round(res[f"{e}_rows"] / res[f"{e}_load"]) for e in FEEDS}
+    rates.update({f"{e}_data_work_rows_per_sec": round(res[f"{e}_rows"] / res[f"{e}_data_work"])
+                  for e in FEEDS})
     pipeline = sum(res[f"{e}_load"] for e in FEEDS) + res["metrics"]
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
@@ -73,6 +76,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timed,
         "rows": {k: v for k, v in res.items() if k.endswith("_rows")},
+        "rates": rates,
         "wall_with_setup": round(total, 3),
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,

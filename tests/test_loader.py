@@ -165,3 +165,25 @@ def test_quarantine_keeps_raw_text(spark, workdir):
     assert [(r.month, r.revenue, r.revenue_raw, r.quarantine_reason) for r in q] == [
         ("2024-01", None, "abc", S.NULL_REVENUE)]
     assert read_golden(store, "fact_company_monthly_financials").count() == 1
+
+
+def test_audit_error_text_and_basename(spark, workdir):
+    from ledgerline.plans.audit import audit_row, error_text
+
+    try:
+        raise ValueError("x" * 5000)
+    except ValueError as e:
+        text = error_text(e)
+    assert text.startswith("ValueError: xxx") and len(text) == S.ERROR_TEXT_LIMIT
+    row = audit_row("revenue", f"{workdir}/in/monthly_revenue.csv", "u", S.STAGE_BRONZE, S.STATUS_SUCCESS, 3)
+    assert row[1] == "monthly_revenue.csv" and row[5] == 3 and row[6] is None
+
+
+def test_null_keys_are_spread_not_joined(spark):
+    from ledgerline.operators.classify import KNOWN, flag_known
+
+    df = spark.createDataFrame([(None, i) for i in range(50)] + [("1", 50), ("2", 51)],
+                               "company_id string, _row_id long")
+    dim = spark.createDataFrame([("1",)], "company_id string")
+    got = {r._row_id: r[KNOWN] for r in flag_known(df, dim, "company_id").collect()}
+    assert got[50] is True and got[51] is False and not any(got[i] for i in range(50))
