@@ -59,6 +59,8 @@ def workspace_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
