@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTION = "_merge_action"
-INSERT, UPDATE, KEEP = "insert", "update", "keep"
+INSERT, UPDATE, KEEP, STALE = "insert", "update", "keep", "stale"
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
           insert_values: Mapping[str, Column] | None = None,
           set_values: Mapping[str, Column] | None = None,
-          with_action: bool = False, scope: str | None = None) -> DataFrame:
+          with_action: bool = False, scope: str | None = None,
+          newer: tuple[str, str] | None = None) -> DataFrame:
     """Return the merged table with the target's columns (in target order).
 
     ``update_cols``: copied from the source on match and on insert.
@@ -35,6 +36,9 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
         contain cannot match; they bypass the join (an anti-join against the
         source's distinct scope values, small enough for AQE to broadcast),
         so only the touched part of the target is shuffled.
+    ``newer``: (source column, target column); a matched key is updated only
+        when the source value is not older than the target's (NULL target
+        always loses). Rejected updates get the action "stale".
     """
     if scope is not None:
         touched = source.select(scope).distinct()
@@ -42,7 +46,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
         if with_action:
             kept = kept.withColumn(ACTION, F.lit(KEEP))
         hit = target.join(touched, scope, "left_semi").select(*target.columns)
-        merged = merge(hit, source, keys, update_cols, insert_values, set_values, with_action)
+        merged = merge(hit, source, keys, update_cols, insert_values, set_values, with_action,
+                       newer=newer)
         return merged.unionByName(kept.select(*merged.columns))
     insert_values = dict(insert_values or {})
     set_values = dict(set_values or {})
@@ -50,10 +55,16 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
     if missing:
         raise ValueError(f"source lacks update columns {missing}")
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = source.select(*keys, *update_cols).withColumn("_in_s", F.lit(True)).alias("s")
+    s_cols = list(dict.fromkeys([*keys, *update_cols, *([newer[0]] if newer else [])]))
+    s = source.select(*s_cols).withColumn("_in_s", F.lit(True)).alias("s")
     joined = t.join(s, list(keys), "full_outer")
     in_t = F.col("t._in_t").isNotNull()
     in_s = F.col("s._in_s").isNotNull()
+    stale = F.lit(False)
+    if newer is not None:
+        src_v, tgt_v = F.col(f"s.{newer[0]}"), F.col(f"t.{newer[1]}")
+        stale = in_s & in_t & tgt_v.isNotNull() & (src_v.isNull() | (src_v < tgt_v))
+        in_s = in_s & ~stale
     out = []
     for name in target.columns:
         if name in keys:
@@ -67,7 +78,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
         else:
             out.append(F.col(f"t.{name}"))
     if with_action:
-        out.append(F.when(in_s & in_t, F.lit(UPDATE)).when(in_s, F.lit(INSERT))
+        out.append(F.when(stale, F.lit(STALE)).when(in_s & in_t, F.lit(UPDATE)).when(in_s, F.lit(INSERT))
                    .otherwise(F.lit(KEEP)).alias(ACTION))
     return joined.select(*out)
 
@@ -78,7 +89,7 @@ def merge_counts(merged_with_action: DataFrame) -> DataFrame:
     return merged_with_action.agg(
         F.count_if(a == INSERT).alias("inserted"),
         F.count_if(a == UPDATE).alias("updated"),
-        F.count_if(a == KEEP).alias("unchanged"))
+        F.count_if((a == KEEP) | (a == STALE)).alias("unchanged"))
 
 
 def empty_like(spark, schema) -> DataFrame:

@@ -31,10 +31,14 @@ class CleansePolicy:
         instead of NULL, and no INVALID_MONTH / INVALID_DATE reasons exist.
     null_updated_at: "loses" (a row with no timestamp never beats a dated
         one) or "wins" (the source system's sort puts it last, so it wins).
+    on_conflict: "last" (a later load always overwrites, as the source
+        system's code does) or "newest" (its documented rule: a record older
+        than the stored one does not overwrite it).
     """
 
     compat: bool = False
     null_updated_at: str = "loses"
+    on_conflict: str = "last"
 
 
 @dataclass(frozen=True)

@@ -65,19 +65,23 @@ EXPENSE_COLS = ["expenses", "expenses_updated_at", "expense_pipeline_loaded_at",
 
 
 def merge_revenue(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False,
-                  scoped: bool = True) -> DataFrame:
+                  scoped: bool = True, on_conflict: str = "last") -> DataFrame:
     """``scoped``: only the months present in the feed take part in the join
-    (pass False when the fact is known to be empty)."""
+    (pass False when the fact is known to be empty). ``on_conflict``: "last"
+    (the latest load wins) or "newest" (an older record never overwrites a
+    newer stored one)."""
+    newer = ("revenue_updated_at", "revenue_updated_at") if on_conflict == "newest" else None
     return merge(fact, revenue_source(clean), ["company_id", "month"], REVENUE_COLS,
                  set_values={"updated_at": F.lit(run_at).cast("timestamp")},
-                 with_action=with_action, scope="month" if scoped else None)
+                 with_action=with_action, scope="month" if scoped else None, newer=newer)
 
 
 def merge_expense(fact: DataFrame, clean: DataFrame, run_at: datetime, with_action=False,
-                  scoped: bool = True) -> DataFrame:
+                  scoped: bool = True, on_conflict: str = "last") -> DataFrame:
+    newer = ("expenses_updated_at", "expenses_updated_at") if on_conflict == "newest" else None
     return merge(fact, expense_source(clean), ["company_id", "month"], EXPENSE_COLS,
                  set_values={"updated_at": F.lit(run_at).cast("timestamp")},
-                 with_action=with_action, scope="month" if scoped else None)
+                 with_action=with_action, scope="month" if scoped else None, newer=newer)
 
 
 def merge_fx(fx: DataFrame, clean: DataFrame, run_at: datetime, with_action=False) -> DataFrame:

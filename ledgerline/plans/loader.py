@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
-from ledgerline.operators.merge import ACTION, INSERT, UPDATE
+from ledgerline.operators.merge import ACTION, INSERT, STALE, UPDATE
 from ledgerline.operators.metrics import metrics_summary
 from ledgerline.operators.report import report_projection, reason_breakdown
 from ledgerline.plans import golden as G
@@ -73,6 +73,7 @@ class LoadResult:
     quarantine: DataFrame | None = field(repr=False, default=None)
     golden: DataFrame | None = field(repr=False, default=None)
     timings: dict[str, float] = field(default_factory=dict)
+    stale: int = 0  # updates refused under on_conflict="newest"
 
     @property
     def message(self) -> str:
@@ -191,14 +192,16 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     first_load = store.current_version(table) is None
     target = store.read(table, GOLDEN_SCHEMA[table])
     if entity in ("revenue", "expense"):
-        merged = MERGE[entity](target, silver, run_at, with_action=True, scoped=not first_load)
+        merged = MERGE[entity](target, silver, run_at, with_action=True, scoped=not first_load,
+                               on_conflict=policy.on_conflict)
     else:
         merged = MERGE[entity](target, silver, run_at, with_action=True)
     action = F.col(ACTION)
     try:
         seen = store.publish(table, merged, load_uuid,
                              {"inserted": F.count_if(action == INSERT),
-                              "updated": F.count_if(action == UPDATE)},
+                              "updated": F.count_if(action == UPDATE),
+                              "stale": F.count_if(action == STALE)},
                              sort_within=SORT_WITHIN[table], drop_after_observe=[ACTION],
                              mode=stage_mode)
     except Exception as e:
@@ -215,7 +218,8 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
                       int(seen["inserted"]), int(seen["updated"]),
                       quarantine=report_projection(quarantine, spec) if quarantine is not None else None,
                       golden=read_golden(store, table),
-                      timings={"bronze": t1 - t0, "zones": t3 - t2, "golden": t5 - t4})
+                      timings={"bronze": t1 - t0, "zones": t3 - t2, "golden": t5 - t4},
+                      stale=int(seen["stale"]))
 
 
 def quarantine_with_raw(spark: SparkSession, store: Store, entity: str, load_uuid: str) -> DataFrame:

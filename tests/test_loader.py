@@ -187,3 +187,23 @@ def test_null_keys_are_spread_not_joined(spark):
     dim = spark.createDataFrame([("1",)], "company_id string")
     got = {r._row_id: r[KNOWN] for r in flag_known(df, dim, "company_id").collect()}
     assert got[50] is True and got[51] is False and not any(got[i] for i in range(50))
+
+
+def test_on_conflict_newest(spark, workdir):
+    from ledgerline.plans.entities import CleansePolicy
+
+    comp = _write(f"{workdir}/in/c.csv", "company_id,name,industry,country\n1,a,b,c\n")
+    hdr = "company_id,month,revenue,currency,updated_at\n"
+    new = _write(f"{workdir}/in/r1.csv", hdr + "1,2024-01,10,USD,2024-02-01\n")
+    old = _write(f"{workdir}/in/r2.csv", hdr + "1,2024-01,99,USD,2024-01-01\n1,2024-02,5,USD,2024-01-01\n")
+    got = {}
+    for mode in ("last", "newest"):
+        store = Store(spark, f"{workdir}/{mode}")
+        policy = CleansePolicy(on_conflict=mode)
+        load_entity(spark, store, "company", comp)
+        load_entity(spark, store, "revenue", new, policy)
+        res = load_entity(spark, store, "revenue", old, policy)
+        fact = read_golden(store, "fact_company_monthly_financials")
+        got[mode] = ({r.month: r.revenue for r in fact.collect()}, res.stale, res.inserted, res.updated)
+    assert got["last"] == ({"2024-01": 99.0, "2024-02": 5.0}, 0, 1, 1)
+    assert got["newest"] == ({"2024-01": 10.0, "2024-02": 5.0}, 1, 1, 0)
