@@ -102,6 +102,25 @@ class Store:
         self._current[table] = version
         return seen
 
+    def version_at(self, table: str, instant: datetime) -> str | None:
+        """The version that was current at ``instant`` (UTC, naive), if any.
+
+        Log entry names start with the commit time, so this is a listing and
+        a name comparison; no Spark job.
+        """
+        stamp = instant.strftime("%Y%m%dT%H%M%S%f")
+        entries = [p.rsplit("/", 1)[-1] for p in
+                   fs.data_files(self.spark, f"{self.table_path(table)}/_versions")]
+        before = [e for e in entries if e.split("-", 1)[0] <= stamp]
+        return max(before).split("-", 1)[1][:-len(".json")] if before else None
+
+    def read_as_of(self, table: str, instant: datetime, schema: T.StructType | None = None) -> DataFrame | None:
+        """Time travel: the table as it was at ``instant``."""
+        v = self.version_at(table, instant)
+        if v is None:
+            return self.spark.createDataFrame([], schema) if schema is not None else None
+        return self.read(table, schema, version=v)
+
     def committed(self, table: str, version: str) -> bool:
         """Is ``version`` in the table's version log?"""
         entries = fs.data_files(self.spark, f"{self.table_path(table)}/_versions")

@@ -207,3 +207,22 @@ def test_on_conflict_newest(spark, workdir):
         got[mode] = ({r.month: r.revenue for r in fact.collect()}, res.stale, res.inserted, res.updated)
     assert got["last"] == ({"2024-01": 99.0, "2024-02": 5.0}, 0, 1, 1)
     assert got["newest"] == ({"2024-01": 10.0, "2024-02": 5.0}, 1, 1, 0)
+
+
+def test_time_travel(spark, workdir):
+    import datetime as dt
+    import time as _time
+
+    store = Store(spark, workdir)
+    hdr = "company_id,name,industry,country\n"
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    v1 = load_entity(spark, store, "company", _write(f"{workdir}/in/c1.csv", hdr + "1,a,b,c\n")).load_uuid
+    _time.sleep(0.01)
+    between = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    v2 = load_entity(spark, store, "company", _write(f"{workdir}/in/c2.csv", hdr + "2,a,b,c\n")).load_uuid
+    assert store.version_at("dim_company", before) is None
+    assert store.version_at("dim_company", between) == v1
+    assert store.current_version("dim_company") == v2
+    assert store.read_as_of("dim_company", between).count() == 1
+    assert read_golden(store, "dim_company").count() == 2
+    assert store.versions("dim_company").count() == 2
