@@ -73,6 +73,47 @@ def hot_key_revenue(spark, sf_dir):
                .withColumn(S.ROW_ID, F.col("row_ord")))
 
 
+def replay_feeds(spark, sf_dir: str, folder: str, copies: int) -> dict[str, str]:
+    """Revenue and expense feeds at ``copies`` times their size: whole copies
+    of the derived feeds with the month moved by 100 years per copy (new
+    keys) and a unique row position; companies and FX as derived."""
+    from ledgerline.sources.csv import write_feed
+
+    paths = {}
+    for entity, build in X.RAW_FEEDS.items():
+        df = build(spark, sf_dir)
+        if entity in ("revenue", "expense"):
+            parts = []
+            for c in range(copies):
+                year = F.substring("month", 1, 4).cast("int") + F.lit(100 * c)
+                parts.append(df.withColumn("month", F.concat(year.cast("string"), F.substring("month", 5, 3)))
+                               .withColumn("row_ord", F.col("row_ord") + F.lit(c * 1_000_000_000)))
+            df = parts[0]
+            for p in parts[1:]:
+                df = df.unionByName(p)
+        path = f"{folder}/incoming/{entity}.csv"
+        write_feed(df, path, order_by="row_ord")
+        paths[entity] = path
+    return paths
+
+
+def replay(spark, sf_dir: str, copies: int) -> dict[str, float]:
+    folder = new_run_dir(spark, "bench-replay")
+    store = Store(spark, folder)
+    paths = replay_feeds(spark, sf_dir, folder, copies)
+    out: dict[str, float] = {}
+    for entity in ("company", "revenue", "expense"):
+        res = load_entity(spark, store, entity, paths[entity])
+        out[f"replay_{entity}_load"] = sum(res.timings.values())
+        out[f"replay_{entity}_data_work"] = res.timings["bronze"] + res.timings["zones"]
+        out[f"replay_{entity}_rows"] = res.raw_rows
+    t = time.perf_counter()
+    summary = calculate_metrics(spark, store)
+    out["replay_metrics"] = time.perf_counter() - t
+    out["replay_metrics_rows"] = summary.get("total_rows", 0)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -87,10 +128,16 @@ def main() -> None:
     t = time.perf_counter()
     res = run(spark, sf_dir)
     total = time.perf_counter() - t
+    copies = int(os.environ.get("BENCH_REPLAY_COPIES", "3"))
+    if copies > 0:
+        res.update(replay(spark, sf_dir, copies))
     timed = {k: round(v, 3) for k, v in res.items() if not k.endswith("_rows")}
     rates = {f"{e}_rows_per_sec": round(res[f"{e}_rows"] / res[f"{e}_load"]) for e in FEEDS}
     rates.update({f"{e}_data_work_rows_per_sec": round(res[f"{e}_rows"] / res[f"{e}_data_work"])
                   for e in FEEDS})
+    rates.update({f"replay_{e}_data_work_rows_per_sec":
+                  round(res[f"replay_{e}_rows"] / res[f"replay_{e}_data_work"])
+                  for e in ("revenue", "expense") if f"replay_{e}_rows" in res})
     pipeline = sum(res[f"{e}_load"] for e in FEEDS) + res["metrics"]
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -87,8 +88,14 @@ def _now() -> datetime:
 
 def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
                 policy: CleansePolicy = CleansePolicy(), load_uuid: str | None = None,
-                multiline: bool = False, persist_ruled: bool = True) -> LoadResult:
-    """Load one CSV feed (a file or a folder of files)."""
+                multiline: bool = False, persist_ruled: bool = True,
+                preprocess: Callable[[DataFrame], DataFrame] | None = None) -> LoadResult:
+    """Load one CSV feed (a file or a folder of files).
+
+    ``preprocess``: an optional caller-supplied step applied to the Bronze
+    rows (as ``DataFrame.transform``) before cleansing; if it fails, the load
+    stops before any Golden change and a BRONZE failure is audited.
+    """
     spec: EntitySpec = SPECS[entity]
     # Source guards and required columns: checked before Bronze, not audited.
     cols = header_columns(spark, path)
@@ -97,13 +104,14 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
         raise FeedError(f"{spec.name}: missing required columns {missing}")
     feed = read_feed(spark, path, multiline, columns=cols)
     return load_frame(spark, store, entity, feed, len(cols), path, policy, load_uuid,
-                      persist_ruled=persist_ruled)
+                      persist_ruled=persist_ruled, preprocess=preprocess)
 
 
 def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame, n_cols: int,
                source_name: str, policy: CleansePolicy = CleansePolicy(),
                load_uuid: str | None = None, persist_ruled: bool = True,
-               stage_mode: str = "errorifexists") -> LoadResult:
+               stage_mode: str = "errorifexists",
+               preprocess: Callable[[DataFrame], DataFrame] | None = None) -> LoadResult:
     """Load a feed already read as text (``read_feed`` columns: the feed's
     columns, ``_corrupt_record``, ``_row_id``, ``row_ord``).
 
@@ -153,6 +161,16 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     # Silver + Quarantine: one classified frame, one write partitioned by zone.
     t2 = time.perf_counter()
     bronze = spark.read.schema(raw.schema).parquet(bronze_path).drop("_corrupt_record")
+    if preprocess is not None:
+        try:
+            bronze = bronze.transform(preprocess)
+            missing = missing_columns(bronze.columns, spec)
+            if missing:
+                raise FeedError(f"{entity}: preprocess dropped required columns {missing}")
+        except Exception as e:
+            pending[-1] = audit_row(entity, path, load_uuid, S.STAGE_BRONZE, S.STATUS_FAILURE, 0, e)
+            append(spark, audit, pending)
+            raise
     dim = None
     if spec.uses_dim:
         dim = store.read("dim_company", S.DIM_COMPANY).select("company_id")

@@ -226,3 +226,18 @@ def test_time_travel(spark, workdir):
     assert store.read_as_of("dim_company", between).count() == 1
     assert read_golden(store, "dim_company").count() == 2
     assert store.versions("dim_company").count() == 2
+
+
+def test_preprocess_hook(spark, workdir):
+    store = Store(spark, workdir)
+    p = _write(f"{workdir}/in/c.csv", "company_id,name,industry,country\n1,a,b,c\n2,x,y,z\n")
+    res = load_entity(spark, store, "company", p,
+                      preprocess=lambda df: df.withColumn("name", F.upper("name")))
+    assert sorted(r.name for r in read_golden(store, "dim_company").collect()) == ["A", "X"]
+    v = store.current_version("dim_company")
+    with pytest.raises(FeedError):
+        load_entity(spark, store, "company", p, preprocess=lambda df: df.drop("country"))
+    assert store.current_version("dim_company") == v
+    last = [(r.stage, r.status) for r in read_audit(spark, store.audit_path()).collect()
+            if r.load_uuid != res.load_uuid]
+    assert last == [(S.STAGE_BRONZE, S.STATUS_FAILURE)]
