@@ -88,7 +88,7 @@ def _now() -> datetime:
 
 def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
                 policy: CleansePolicy = CleansePolicy(), load_uuid: str | None = None,
-                multiline: bool = False, persist_ruled: bool = True,
+                multiline: bool = False, persist_ruled: bool = False,
                 preprocess: Callable[[DataFrame], DataFrame] | None = None) -> LoadResult:
     """Load one CSV feed (a file or a folder of files).
 
@@ -109,7 +109,7 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
 
 def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame, n_cols: int,
                source_name: str, policy: CleansePolicy = CleansePolicy(),
-               load_uuid: str | None = None, persist_ruled: bool = True,
+               load_uuid: str | None = None, persist_ruled: bool = False,
                stage_mode: str = "errorifexists",
                preprocess: Callable[[DataFrame], DataFrame] | None = None) -> LoadResult:
     """Load a feed already read as text (``read_feed`` columns: the feed's
@@ -174,9 +174,11 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     dim = None
     if spec.uses_dim:
         dim = store.read("dim_company", S.DIM_COMPANY).select("company_id")
-    # The ruled frame feeds both the winner aggregate and the final
-    # classification; keep it so that it is computed once (a lost block is
-    # recomputed from Bronze).
+    # The ruled frame feeds the winner aggregate and the final classification.
+    # By default both read Bronze (the winner side only its key, order and
+    # rule columns, pruned at the Parquet scan); caching it instead would put
+    # the whole feed into executor memory and local disks at scale.
+    # ``persist_ruled`` caches it (MEMORY_AND_DISK; lost blocks are recomputed).
     ruled = value_rules(bronze, spec, dim, policy)
     if persist_ruled:
         ruled = ruled.persist(StorageLevel.MEMORY_AND_DISK)
