@@ -7,7 +7,7 @@ over the published tables. Writing the CSV inputs is setup and not timed.
 Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs, best reported; default 2), BENCH_REPLAY_COPIES
+BENCH_RUNS (timed runs, best reported; default 3), BENCH_REPLAY_COPIES
 (revenue/expense replay at N times the sf size; default 3, 0 = off).
 """
 
@@ -130,7 +130,7 @@ def main() -> None:
     # Best of BENCH_RUNS timed runs (fresh folders each), reported whole: the
     # run with the lowest pipeline total, not a mix of runs.
     best, total = None, 0.0
-    for _ in range(max(1, int(os.environ.get("BENCH_RUNS", "2")))):
+    for _ in range(max(1, int(os.environ.get("BENCH_RUNS", "3")))):
         t = time.perf_counter()
         res = run(spark, sf_dir)
         wall = time.perf_counter() - t
@@ -160,7 +160,7 @@ def main() -> None:
         "wall_with_setup": round(total, 3),
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
-        "runs": max(1, int(os.environ.get("BENCH_RUNS", "2"))),
+        "runs": max(1, int(os.environ.get("BENCH_RUNS", "3"))),
     }))
     spark.stop()
 
