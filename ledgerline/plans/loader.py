@@ -208,7 +208,11 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     t4 = time.perf_counter()
     table = GOLDEN_TABLE[entity]
     zone_schema = classified.drop(S.ZONE).schema
-    silver = spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}").drop(S.REASON)
+    if clean_rows:
+        silver = spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
+    else:  # every row quarantined: no Silver folder was written
+        silver = spark.createDataFrame([], zone_schema)
+    silver = silver.drop(S.REASON)
     first_load = store.current_version(table) is None
     target = store.read(table, GOLDEN_SCHEMA[table])
     if entity in ("revenue", "expense"):

@@ -42,6 +42,8 @@ def intake(spark: SparkSession, store: Store, entity: str, folder: str, columns:
     results: list[LoadResult] = []
 
     def run_batch(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():  # a trigger with no new files
+            return
         feed = with_position(df, F.col("_file"), F.col("_block")).drop("_file", "_block")
         try:
             results.append(load_frame(spark, store, entity, feed, len(columns),

@@ -241,3 +241,13 @@ def test_preprocess_hook(spark, workdir):
     last = [(r.stage, r.status) for r in read_audit(spark, store.audit_path()).collect()
             if r.load_uuid != res.load_uuid]
     assert last == [(S.STAGE_BRONZE, S.STATUS_FAILURE)]
+
+
+def test_all_rows_quarantined(spark, workdir):
+    store = Store(spark, workdir)
+    res = load_entity(spark, store, "company",
+                      _write(f"{workdir}/in/c.csv", "company_id,name,industry,country\n,a,b,c\nx,d,e,f\n"))
+    assert (res.raw_rows, res.clean_rows, res.quarantined_rows) == (2, 0, 2)
+    assert res.by_reason == {S.NULL_COMPANY_ID: 2}
+    assert read_golden(store, "dim_company").count() == 0
+    assert res.quarantine.count() == 2
