@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.normalise import month_start
+from ledgerline.schemas import METRIC_COLUMNS
 
 
 def month_window(key: str = "company_id"):
@@ -31,8 +32,7 @@ def compute_metrics(fact: DataFrame, key: str = "company_id") -> DataFrame:
     prev = F.lag(rev).over(w)
     rolling = F.sum(rev).over(w.rowsBetween(-2, 0))
     profit = rev - exp
-    cols = [c for c in fact.columns if c not in
-            ("gross_profit", "gross_margin_pct", "mom_revenue_growth_pct", "rolling_3m_revenue")]
+    cols = [c for c in fact.columns if c not in METRIC_COLUMNS]
     out = (fact.withColumn("_month_dt", month_start(F.col("month")))
                .withColumn("_prev", prev)
                .withColumn("_roll", rolling)
@@ -43,8 +43,8 @@ def compute_metrics(fact: DataFrame, key: str = "company_id") -> DataFrame:
                               (rev - F.col("_prev")) / F.col("_prev") * 100)
                         .alias("mom_revenue_growth_pct"),
                        F.when(eligible, F.col("_roll")).alias("rolling_3m_revenue")))
-    return out.select(*fact.columns) if set(fact.columns) >= {
-        "gross_profit", "gross_margin_pct", "mom_revenue_growth_pct", "rolling_3m_revenue"} else out
+    # Keep the fact's column order when it already has the metric columns.
+    return out.select(*fact.columns) if set(METRIC_COLUMNS) <= set(fact.columns) else out
 
 
 def recompute_scope(fact: DataFrame, company_id: str | None = None) -> DataFrame:
