@@ -41,16 +41,14 @@ def flag_known(df: DataFrame, dim_keys: DataFrame | None, key: str, dim_key: str
     if dim_keys is None:
         return df.withColumn(KNOWN, F.col(key).isNotNull())
     dk = dim_key or key
-    ids = dim_keys.select(F.col(dk).cast("string").alias("_jk")).where(F.col("_jk").isNotNull())
+    ids = (dim_keys.select(F.col(dk).cast("string").alias("_jk"), F.lit(True).alias(KNOWN))
+                   .where(F.col("_jk").isNotNull()))
     if not dim_unique:
-        ids = ids.distinct()
-    ids = ids.withColumn(KNOWN, F.lit(True))
+        ids = ids.dropDuplicates(["_jk"])
     spread = F.coalesce(F.col(key).cast("string"),
                         F.concat(F.lit("\u0000null:"), F.col(row_id).cast("string")))
-    return (df.withColumn("_jk", spread)
-              .join(ids, "_jk", "left")
-              .drop("_jk")
-              .withColumn(KNOWN, F.coalesce(F.col(KNOWN), F.lit(False))))
+    joined = df.withColumn("_jk", spread).join(ids, "_jk", "left")
+    return joined.select(*df.columns, F.coalesce(F.col(KNOWN), F.lit(False)).alias(KNOWN))
 
 
 def orphan_rows(df: DataFrame, dim_keys: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:

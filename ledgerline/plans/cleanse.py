@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.classify import KNOWN, classify, flag_known
+from ledgerline.operators.classify import KNOWN, first_reason, flag_known
 from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import CleansePolicy, EntitySpec
 from ledgerline.schemas import REASON, ROW_ID, ZONE, ZONE_QUARANTINE, ZONE_SILVER
@@ -23,8 +23,8 @@ def value_rules(df: DataFrame, spec: EntitySpec, dim_keys: DataFrame | None = No
     n = spec.normalise(df, policy)
     if spec.uses_dim:
         n = flag_known(n, dim_keys, "company_id", row_id=row_id)
-    out = classify(n, spec.rules(policy))
-    return out.drop(KNOWN) if KNOWN in out.columns else out
+    keep = [c for c in n.columns if c not in (KNOWN, REASON)]
+    return n.select(*keep, first_reason(spec.rules(policy)).alias(REASON))
 
 
 def cleanse(df: DataFrame, spec: EntitySpec, dim_keys: DataFrame | None = None,

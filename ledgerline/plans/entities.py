@@ -66,17 +66,22 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(_dtype(df, name), T.StringType)
 
 
-def _with_text(df: DataFrame, names) -> DataFrame:
+def _with_text(df: DataFrame, names, extra: dict | None = None) -> DataFrame:
     """Trimmed text (reader NA tokens -> NULL) of raw text columns, in its own
     projection: each parser reads it more than once, and Spark does not
     inline a non-trivial expression that is used several times, so the
     trimming runs once per value."""
-    return df.withColumns({f"_t_{n}": N.strip_ws(N.na_to_null(F.col(n)))
-                           for n in names if n in df.columns and _is_text(df, n)})
+    cols = {f"_t_{n}": N.strip_ws(N.na_to_null(F.col(n)))
+            for n in names if n in df.columns and _is_text(df, n)}
+    cols.update(extra or {})
+    return df.withColumns(cols) if cols else df
 
 
-def _drop_text(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_t_")])
+def _project(t: DataFrame, df: DataFrame, values: dict) -> DataFrame:
+    """One projection: the feed's columns (parsed ones replaced), new columns
+    appended; the temporary text columns fall away."""
+    cols = [values[c].alias(c) if c in values else F.col(c) for c in df.columns]
+    return t.select(*cols, *[v.alias(k) for k, v in values.items() if k not in df.columns])
 
 
 def _key(df: DataFrame, name: str) -> Column:
@@ -109,13 +114,13 @@ def _blank(c: Column) -> Column:
 
 def _company_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
     t = _with_text(df, ["company_id"])
-    return _drop_text(t.withColumns({
+    return _project(t, df, {
         "company_id": _key(df, "company_id"),
         "name": N.clean_text(F.col("name"), p.compat),
         "industry": N.clean_text(F.col("industry"), p.compat),
         "country": N.clean_text(F.col("country"), p.compat),
         "created_at": _optional_ts(df, "created_at"),
-    }))
+    })
 
 
 def _company_rules(p: CleansePolicy):
@@ -150,17 +155,16 @@ def _updated_order(p: CleansePolicy):
 
 
 def _revenue_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
-    t = _with_text(df, ["company_id", "revenue"]).withColumn(
-        "_t_currency", N.currency_text(F.col("currency")))
+    t = _with_text(df, ["company_id", "revenue"], {"_t_currency": N.currency_text(F.col("currency"))})
     cur = F.col("_t_currency")
-    return _drop_text(t.withColumns({
+    return _project(t, df, {
         "company_id": _key(df, "company_id"),
         "month": _month(df, p),
         "revenue": _number(df, "revenue"),
         "currency": F.coalesce(cur, F.lit("NAN")) if p.compat else cur,
         "_currency_code": N.currency_lookup(cur),
         "updated_at": _optional_ts(df, "updated_at"),
-    }))
+    })
 
 
 def _revenue_rules(p: CleansePolicy):
@@ -194,12 +198,12 @@ REVENUE = EntitySpec(
 
 def _expense_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
     t = _with_text(df, ["company_id", "expenses"])
-    return _drop_text(t.withColumns({
+    return _project(t, df, {
         "company_id": _key(df, "company_id"),
         "month": _month(df, p),
         "expenses": _number(df, "expenses"),
         "updated_at": _optional_ts(df, "updated_at"),
-    }))
+    })
 
 
 def _expense_rules(p: CleansePolicy):
@@ -228,12 +232,12 @@ def _fx_normalise(df: DataFrame, p: CleansePolicy) -> DataFrame:
         c = N.currency_text(F.col(name))
         return F.coalesce(c, F.lit("NAN")) if p.compat else c
     t = _with_text(df, ["fx_rate"])
-    return _drop_text(t.withColumns({
+    return _project(t, df, {
         "local_currency": code("local_currency"),
         "base_currency": code("base_currency"),
         "date": N.clean_text(F.col("date"), p.compat),
         "fx_rate": _number(df, "fx_rate"),
-    }))
+    })
 
 
 def _fx_rules(p: CleansePolicy):
