@@ -79,10 +79,10 @@ def mark_superseded(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey
                .groupBy(*keys)
                .agg(pick(F.struct(ordering.alias("o"), F.col(row_id).alias("id"))).alias("w"))
                .select(F.col("w.id").alias(row_id), F.lit(True).alias("_winner")))
-    marked = (F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
-               .when(F.col("_winner").isNull(), F.lit(reason)).alias(reason_col))
     return (df.join(winners, row_id, "left")
-              .select(*[marked if c == reason_col else F.col(c) for c in df.columns]))
+              .withColumn(reason_col, F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
+                                       .when(F.col("_winner").isNull(), F.lit(reason)))
+              .drop("_winner"))
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
