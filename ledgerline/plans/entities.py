@@ -34,11 +34,15 @@ class CleansePolicy:
     on_conflict: "last" (a later load always overwrites, as the source
         system's code does) or "newest" (its documented rule: a record older
         than the stored one does not overwrite it).
+    strict_months: also quarantine months that are not 'YYYY-MM' text
+        (INVALID_MONTH). Then a company holds at most one fact row per
+        calendar month, which bounds each metrics window partition.
     """
 
     compat: bool = False
     null_updated_at: str = "loses"
     on_conflict: str = "last"
+    strict_months: bool = False
 
 
 @dataclass(frozen=True)
@@ -148,6 +152,11 @@ def _month(df: DataFrame, p: CleansePolicy) -> Column:
     return N.clean_text(F.col("month"), p.compat)
 
 
+def _bad_month(p: CleansePolicy) -> Column:
+    bad = _blank(F.col("month"))
+    return bad | ~F.col("month").rlike(N.MONTH_PATTERN) if p.strict_months else bad
+
+
 def _updated_order(p: CleansePolicy):
     # Newest updated_at first, ties: the later row of the file wins.
     return [OrderKey("updated_at", descending=True, nulls_last=(p.null_updated_at != "wins")),
@@ -173,7 +182,7 @@ def _revenue_rules(p: CleansePolicy):
              (F.col("revenue").isNull(), NULL_REVENUE),
              (F.col("revenue") < 0, NEGATIVE_REVENUE)]
     if not p.compat:
-        rules.append((_blank(F.col("month")), INVALID_MONTH))
+        rules.append((_bad_month(p), INVALID_MONTH))
     return rules
 
 
@@ -211,7 +220,7 @@ def _expense_rules(p: CleansePolicy):
              (F.col("expenses").isNull(), NULL_EXPENSE),
              (F.col("expenses") < 0, NEGATIVE_EXPENSE)]
     if not p.compat:
-        rules.append((_blank(F.col("month")), INVALID_MONTH))
+        rules.append((_bad_month(p), INVALID_MONTH))
     return rules
 
 

@@ -147,3 +147,12 @@ def test_keep_latest_string_order_ascending(spark):
                                ).withColumn(S.ROW_ID, F.col(S.ROW_ORD))
     got = {r["k"]: r["s"] for r in keep_latest(df, ["k"], [OrderKey("s", descending=False)]).collect()}
     assert got == {"a": "b", "c": "z"}
+
+
+def test_strict_months_switch(spark):
+    rows = [("1", "2024-01", "10", "USD", "2024-01-01", 1), ("1", "Jan 2024", "10", "USD", "2024-01-01", 2),
+            ("1", "2024-1", "10", "USD", "2024-01-01", 3)]
+    dim = _dim(spark, ["1"])
+    assert _reasons(cleanse(_rev(spark, rows), REVENUE, dim)) == {1: None, 2: None, 3: None}
+    strict = cleanse(_rev(spark, rows), REVENUE, dim, CleansePolicy(strict_months=True))
+    assert _reasons(strict) == {1: None, 2: S.INVALID_MONTH, 3: None}
