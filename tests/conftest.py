@@ -29,3 +29,11 @@ def workdir(spark):
     from ledgerline.session import new_run_dir
 
     return new_run_dir(spark, "test")
+
+
+def _write_text(path, text):
+    local = path.replace("file:", "")
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "w") as f:
+        f.write(text)
+    return path

@@ -36,3 +36,21 @@ def test_intake_matches_batch(spark, workdir):
     # Restarting from the same checkpoint finds nothing new.
     _, again = intake(spark, stream, "revenue", f"{feeds}/revenue", cols)
     assert again == []
+
+
+def test_retried_batch_is_skipped_once_published(spark, workdir):
+    import pytest
+
+    from ledgerline.plans.loader import AlreadyLoaded, load_frame
+    from ledgerline.sources.csv import read_feed
+    from conftest import _write_text
+
+    p = _write_text(f"{workdir}/in/c.csv", "company_id,name,industry,country\n1,a,b,c\n")
+    store = Store(spark, workdir)
+    feed = read_feed(spark, p)
+    first = load_frame(spark, store, "company", feed, 4, p, load_uuid="batch-0", stage_mode="overwrite")
+    assert first.clean_rows == 1
+    v = store.current_version("dim_company")
+    with pytest.raises(AlreadyLoaded):
+        load_frame(spark, store, "company", read_feed(spark, p), 4, p, load_uuid="batch-0", stage_mode="overwrite")
+    assert store.current_version("dim_company") == v == "batch-0"
