@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.llm import toxicity
 from ledgerline.llm.decontam import decontaminate
+from ledgerline.llm.packing import pack
+from ledgerline.llm.pii import find
 from ledgerline.llm.shared import prepare, table
+from ledgerline.llm.simhash import near_duplicates
 
 
 def op1_decontamination(spark, sf_dir):
@@ -15,8 +19,44 @@ def op1_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_pii(spark, sf_dir):
+    """Personal data in every whole text."""
+    return find(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+def remainder(column, n: int):
+    """crc32 of an id's text, modulo ``n``; null for a null id."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every whole text, learned from two thirds of the labels."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 3) == 1, F.lit(True)))
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "score", "predicted", "tox_matches")
+
+
+def op8_packing(spark, sf_dir):
+    """All documents in sequences of 2048 tokens."""
+    prepare(spark)
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark, sf_dir):
+    """Near-duplicate groups of all documents."""
+    prepare(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op5_pii": op5_pii,
+    "op7_toxicity": op7_toxicity,
+    "op8_packing": op8_packing,
+    "op9_simhash": op9_simhash,
 }
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm.pii import BASE, KINDS, find, redact
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(v):
+    d = [int(c) for c in reversed(v)]
+    return (sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+
+def digits(v):
+    return re.sub("[^0-9]", "", v)
+
+
+def brute(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 14 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
+    spans = ",".join(f"{BASE[k]}:{s}:{e}" for s, k, e in sorted(out))
+    return [sum(k == i for _, k, _ in out) for i in range(4)], hashlib.sha256(spans.encode()).hexdigest()
+
+
+PIECES = ["a.b@c.de", "x@y", "@", "a@b.c@d.e", "@@a@b..c", "1.2.3.4", "1.2.3.4.5", "256.1.1.1", "000255.01.0.9", "4111 1111 1111 1111",
+          "4111111111111112", "4012-8888-8888-1881", "+1 (456) 555-2186", "+12", "+44 20 7946 0958 12345", "é", "😀", "ü@x.y", " ", "\n", "-", ".",
+          "word", "7", "+", "(", "password=e3b3ed3cc854", "123-45-6789", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "DE89370400440532013001"]
+SPECIAL = [None, "", "ssn 123-45-6789 or 123-45-6789", "4" * 4000, "a" * 4000 + "@", "1." * 6000, "a@" + "b." * 20000 + "c",
+           "+" + "1 " * 20000, "x" * 200000 + " a@b.cd", "4111111111111111 4111111111111111"]
+
+
+def rows():
+    r = random.Random(4)
+    return [(i, "".join(r.choices(PIECES, k=r.randint(1, 14)))) for i in range(400)] + [(1000 + i, t) for i, t in enumerate(SPECIAL)] + [(3, "a@b.cd")] * 2
+
+
+def test_base_matches_brute_force(spark):
+    df = spark.createDataFrame([(*r, "n") for r in rows()], "doc_id long, text string, N_IP string").repartition(4)
+    got = find(df, keep=["doc_id", "N_IP"])
+    assert got.columns.count("n_ip") == 1 and "N_IP" not in got.columns
+    have = sorted((r.doc_id, [r.n_email, r.n_ip, r.n_card, r.n_phone], r.base_sha256) for r in got.collect())
+    assert have == sorted((i, *brute(t)) for i, t in rows())
+
+
+def test_method_adds_confirmed_spans(spark):
+    texts = ["iban GB82 WEST 1234 5698 7654 32.", "iban GB82 WEST 1234 5698 7654 33.", "my ssn is 123-45-6789", "part 123-45-6789",
+             "x DE89370400440532013000 y", "password=e3b3ed3cc8548923d6", "mail me: a@b.cd", "a@b.cd"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in find(df).collect()}
+    assert [got[i].spans for i in range(6)] == ["iban:5:32", "", "ssn:10:21", "", "iban:2:24", "secret:0:27"]
+    assert got[6].found[0].score > got[7].found[0].score
+    assert all(got[i].text[s.start:s.end] == s.value for i in got for s in got[i].found)
+
+
+def test_spans_on_all_kinds_are_ordered_and_cover_base(spark):
+    df = spark.createDataFrame(rows(), "doc_id long, text string")
+    for r in find(df).collect():
+        order = [(s.start, s.kind_no) for s in r.found]
+        assert order == sorted(order) and sum(s.kind in BASE for s in r.found) == r.n_email + r.n_ip + r.n_card + r.n_phone
+        assert r.spans == ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.found)
+        assert all(list(KINDS)[s.kind_no] == s.kind for s in r.found)
+
+
+def test_redact_masks_the_union(spark):
+    texts = [None, "", "clean", "hi a@b.cd, call +1 456 555 2186!", "1.2.3.4111111111111111", "password=a@b.cdef 😀 x@y.zz"]
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, other string")
+    got = redact(df)
+    assert got.columns == df.columns
+    out = {r.doc_id: r.text for r in got.collect()}
+    assert [out[i] for i in range(4)] == [None, "", "clean", "hi <EMAIL>, call <PHONE>!"]
+    assert out[5] == "<SECRET> 😀 <EMAIL>"
+
+
+def test_redact_leaves_nothing_to_find(spark):
+    got = find(redact(spark.createDataFrame([r for r in rows() if r[0] < 400], "doc_id long, text string")))
+    assert got.where(F.col("n_email") > 0).count() <= 40  # a mask may join its neighbours, texts here are glued at random
+
+
+def test_plan_has_no_python(spark):
+    plan = find(spark.createDataFrame(rows()[:3], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("fn", [find, redact])
+def test_empty_table(spark, fn):
+    assert fn(spark.createDataFrame([], "doc_id long, text string")).count() == 0
