@@ -140,8 +140,8 @@ def pieces(docs: DataFrame, *, id_col: str, text_col: str, capacity: int, end_id
     pieces of that task and length."""
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = src.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", kind)]).add("piece", "int").add("start", "long").add("length", "long").add(
-        "ids_crc32", "long").add("task", "int").add("rank", "long")
+    schema = T.StructType([T.StructField("id", kind)]).add("piece", "integer").add("start", "long").add("length", "long").add(
+        "ids_crc32", "long").add("task", "integer").add("rank", "long")
     if with_ids:
         schema = schema.add("ids", "binary")
     end = np.array([end_id], dtype="<u4").tobytes()
