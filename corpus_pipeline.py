@@ -1,19 +1,94 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread."""
+"""The corpus pipeline over ``documents``: each stage is written as Parquet and
+reread as the documents of the next one.
+
+1. toxicity      documents that the lexicon rejects go
+2. near_copies   one document of each SimHash group stays
+3. benchmark     documents that hold a benchmark window go
+4. privacy       spans of personal data are masked in the text
+5. sequences     what is left is packed into sequences of tokens
+
+Columns of the input, also such that are named like an operator's result, pass
+through the first four stages unchanged, but for ``text`` and ``n_chars``
+(its length) in the fourth. Null and empty texts are neither toxic nor
+contaminated; they form one near-copy group, of which one document stays.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from ledgerline.llm.shared import prepare
+from pyspark.sql import functions as F
+
+from ledgerline.llm import toxicity
+from ledgerline.llm.decontam import decontaminate
+from ledgerline.llm.packing import pack
+from ledgerline.llm.pii import redact
+from ledgerline.llm.registry import remainder
+from ledgerline.llm.shared import prepare, table
+from ledgerline.llm.simhash import deduplicate
+
+
+def _plain(docs):
+    """The documents with positional names, and the name of a column."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), lambda c: f"c{docs.columns.index(c)}"
+
+
+def _named(result, docs):
+    return result.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def keep_clean(spark, docs, sf_dir):
+    """Documents whose toxicity is under the operator's threshold. It learns
+    from the same share of the labels as the query of the operator."""
+    labels = table(prepare(spark), sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    plain, name = _plain(docs)
+    scored = toxicity.score(plain, toxicity.fit(docs, labels), text_col=name("text"))
+    return _named(scored.where("predicted = 0"), docs)
+
+
+def keep_one_of_copies(spark, docs, sf_dir):
+    """One document of each near-duplicate group."""
+    prepare(spark)
+    return deduplicate(docs)
+
+
+def keep_uncontaminated(spark, docs, sf_dir):
+    """Documents without any benchmark window."""
+    plain, name = _plain(docs)
+    marked = decontaminate(plain, table(prepare(spark), sf_dir, "benchmark"), text_col=name("text"))
+    return _named(marked.where("NOT contaminated"), docs)
+
+
+def mask_personal_data(spark, docs, sf_dir):
+    """Documents with personal data masked; ``n_chars`` follows the text."""
+    masked = redact(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        masked = masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+    return masked
+
+
+def into_sequences(spark, docs, sf_dir):
+    """Pieces of the documents with their places in sequences."""
+    prepare(spark)
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", keep_clean),
+    ("near_copies", keep_one_of_copies),
+    ("benchmark", keep_uncontaminated),
+    ("privacy", mask_personal_data),
+    ("sequences", into_sequences),
+]
 
-STAGES = []
-ORACLE_SQL = None  # learned scores and packing have no SQL form; tests hold run() against brute force
+ORACLE_SQL = None  # a learned curve, XXH64 and token ids have no DuckDB form; tests hold run() against brute force
 
 
 def run(spark, sf_dir):
-    """All stages over ``documents``; the last one's rows."""
+    """The rows of the last stage, over the ``documents`` of a folder."""
     prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     folder = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex[:12]}"
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")

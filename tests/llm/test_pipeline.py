@@ -1,0 +1,68 @@
+import random
+
+import pytest
+
+import corpus_pipeline as C
+from ledgerline.llm.simhash import fingerprint
+
+BENCH = "the quiet river runs past seven old stone bridges near town"
+R = random.Random(8)
+VOCAB = [f"{a}{b}" for a in ("ri", "sto", "ma", "lu", "ke") for b in ("ver", "ne", "ka", "do")]
+
+
+def prose(n):
+    return " ".join(R.choices(VOCAB, k=n))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    clean = [(i, prose(80)) for i in range(120)]
+    toxic = [(200 + i, prose(10) + " vilefolk scrubhead " + prose(10) + " vilefolk") for i in range(40)]
+    copies = [(300 + i, clean[i][1]) for i in range(10)]
+    held = [(400, prose(30) + " " + BENCH.upper() + "! " + prose(30))]
+    private = [(500, prose(60) + " write a.b@c.de or +1 (456) 555-2186 now")]
+    edge = [(600, None), (601, ""), (602, "x" * 30000), (None, prose(50))]
+    docs = clean + toxic + copies + held + private + edge
+    spark.createDataFrame([(d, t, "en", "s", None if t is None else len(t), 0.5) for d, t in docs],
+                          "doc_id long, text string, lang string, source string, n_chars long, score double").write.parquet(f"{folder}/documents.parquet")
+    labels = [(d, 1, 0) for d, _ in clean] + [(d, 1, 1) for d, _ in toxic]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, BENCH)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, dict(clean), dict(toxic), dict(copies)
+
+
+def test_stages_keep_and_change_what_they_should(spark, corpus, tmp_path):
+    folder, clean, toxic, copies = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, seen = docs.columns, []
+    for k, (name, stage) in enumerate(C.STAGES):
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if name != C.STAGES[-1][0]:
+            assert docs.columns == columns
+            seen.append({r.doc_id: r for r in docs.collect()})
+    after_toxic, after_copies, after_benchmark, after_private = seen
+    assert not set(after_toxic) & set(toxic) and set(clean) <= set(after_toxic)
+    assert not set(after_copies) & set(copies) and set(clean) <= set(after_copies)
+    assert {600, 601} & set(after_copies) == {600}  # null and empty share fingerprint zero
+    assert set(after_copies) - set(after_benchmark) == {400}
+    assert after_private[500].text.endswith("write <EMAIL> or <PHONE> now") and after_private[500].n_chars == len(after_private[500].text)
+    assert all(after_private[d].text == t and after_private[d].score == 0.5 for d, t in clean.items())
+    packed = docs.collect()
+    assert {r.doc_id for r in packed} == set(after_private)
+    prints = [fingerprint(r.text) for r in after_copies.values()]
+    assert all((a ^ b).bit_count() > 2 for i, a in enumerate(prints) for b in prints[:i])
+
+
+def test_run_gives_the_last_stage(spark, corpus):
+    got = C.run(spark, corpus[0])
+    assert {"doc_id", "piece", "sequence_id", "offset"} <= set(got.columns) and got.count() > 120
+
+
+def test_empty_documents(spark, corpus, tmp_path):
+    folder = corpus[0]
+    spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
