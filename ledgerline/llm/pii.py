@@ -143,11 +143,9 @@ def find(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = No
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` (same columns) with each run of overlapping spans replaced by
     the kind of its first span in angle brackets."""
-    found = find(docs.withColumn("__text", F.col(f"`{text_col}`")), text_col="__text",
-                 keep=[*docs.columns, "__text"])
-    lost = [c for c in docs.columns if c.lower() in {n.lower() for n in RESULT_NAMES}]
-    if lost:
-        raise ValueError(f"columns are named like results of find(): {lost}")
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # names that cannot clash with results
+    found = find(docs.toDF(*plain).withColumn("__text", F.col(plain[docs.columns.index(text_col)])), text_col="__text",
+                 keep=[*plain, "__text"])
 
     def join(runs, s):
         last = F.element_at(runs, -1)
@@ -166,4 +164,4 @@ def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
     empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     new = F.when(F.size("found") > 0, _let(F.aggregate("found", empty, join), rebuilt)).otherwise(F.col("__text"))
-    return found.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return found.select(*[(new if c == text_col else F.col(p)).alias(c) for p, c in zip(plain, docs.columns)])

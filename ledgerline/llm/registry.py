@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import toxicity
+from ledgerline.llm import katz, merkle, toxicity
 from ledgerline.llm.decontam import decontaminate
+from ledgerline.llm.html_crf import extract
+from ledgerline.llm.imatch import compare_with_edits
 from ledgerline.llm.packing import pack
 from ledgerline.llm.pii import find
+from ledgerline.llm.quality import classify
 from ledgerline.llm.shared import prepare, table
 from ledgerline.llm.simhash import near_duplicates
 
@@ -19,15 +22,49 @@ def op1_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def remainder(column, n: int):
+    """crc32 of an id's text, modulo ``n``; null for a null id."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+def op2_quality(spark, sf_dir):
+    """Quality of every whole text, learned from four fifths of the labels."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 0, F.lit(True)))
+    return classify(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0), held_out="held_out")
+
+
+def op3_merkle(spark, sf_dir):
+    """Fixity audit of the pages' archives against a replica derived from
+    them: some records have their first byte changed, some archives lost their
+    last record."""
+    prepare(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").withColumn("html", F.coalesce("html", F.lit("")))
+    good = merkle.archives(pages).checkpoint()
+    hit = (F.col("page_id") % 97 == 13) & (F.length("html") > 0)
+    own = pages.select("page_id", merkle.record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("t"), F.when(hit, merkle.record_text(
+        F.col("page_id"), F.col("url"), F.concat(F.lit("#"), F.expr("substring(html, 2)")))).alias("bad")).where("bad IS NOT NULL")
+    changed = own.select(F.col("page_id").alias("record"), F.sha2("t", 256).alias("digest"), F.sha2("bad", 256).alias("bad")).distinct()
+    copy = good.join(changed, ["record", "digest"], "left").withColumn("digest", F.coalesce("bad", "digest")).drop("bad")
+    last = good.groupBy("archive", "volume").agg(F.max("offset").alias("offset")).where("archive % 5 = 0")
+    return merkle.audit_report(good, copy.join(last, ["archive", "volume", "offset"], "left_anti"))
+
+
+def op4_html_crf(spark, sf_dir):
+    """Main text of every page."""
+    prepare(spark)
+    return extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op5_pii(spark, sf_dir):
     """Personal data in every whole text."""
     return find(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
-def remainder(column, n: int):
-    """crc32 of an id's text, modulo ``n``; null for a null id."""
-    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+def op6_imatch(spark, sf_dir):
+    """Fingerprints of all texts, of their edited texts, and likeness."""
+    return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
 def op7_toxicity(spark, sf_dir):
@@ -51,12 +88,24 @@ def op9_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_katz(spark, sf_dir):
+    """Log probability of every whole text, learned from six sevenths."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 7) == 2, F.lit(True)))
+    return katz.score(docs)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
+    "op3_merkle": op3_merkle,
+    "op4_html_crf": op4_html_crf,
     "op5_pii": op5_pii,
+    "op6_imatch": op6_imatch,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
+    "op10_katz": op10_katz,
 }
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -82,6 +131,41 @@ ORACLE_SQL = {
         FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)""",
 }
 
+_RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+  || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+  || strlen({html}) || chr(13) || chr(10) || chr(13) || chr(10) || {html} || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+
+def _merkle_sql() -> str:
+    """The audit over whole trees, compared level by level below nodes that
+    differ; plain tables have ids and small archives, so one volume each."""
+    parts = [f"""p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+        n AS (SELECT CAST(floor(page_id / 64.0) AS BIGINT) AS archive, page_id AS record, sha256({_RECORD.format(html="html")}) AS digest,
+                     CASE WHEN page_id % 97 = 13 AND length(html) > 0 THEN sha256({_RECORD.format(html="('#' || substr(html, 2))")}) END AS bad,
+                     strlen({_RECORD.format(html="html")}) AS length FROM p),
+        a AS (SELECT archive, record, digest, bad, length, coalesce(sum(length) OVER (PARTITION BY archive ORDER BY record, digest
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset" FROM n),
+        b AS (SELECT archive, record, coalesce(bad, digest) AS digest, length, "offset" FROM a
+              QUALIFY NOT (archive % 5 = 0 AND "offset" = max("offset") OVER (PARTITION BY archive)))"""]
+    for r in "ab":
+        parts.append(f"""{r}0 AS (SELECT archive, CAST("offset" // 65536 AS BIGINT) AS node,
+            sha256(string_agg(CAST("offset" AS BIGINT) || ':' || length || ':' || digest, ';' ORDER BY "offset", length, digest)) AS h FROM {r} GROUP BY ALL)""")
+        for i in range(1, 5):
+            parts.append(f"{r}{i} AS (SELECT archive, node // 16 AS node, sha256(string_agg(node || ':' || h, ';' ORDER BY node)) AS h FROM {r}{i - 1} GROUP BY archive, node // 16)")
+    for i in range(4, -1, -1):
+        below = "" if i == 4 else f"JOIN d{i + 1} ON d{i + 1}.archive = c.archive AND d{i + 1}.node = c.node // 16 AND d{i + 1}.differs"
+        parts.append(f"""d{i} AS (SELECT c.* FROM (SELECT coalesce(a{i}.archive, b{i}.archive) AS archive, coalesce(a{i}.node, b{i}.node) AS node, a{i}.h AS ha, b{i}.h AS hb,
+            a{i}.h IS DISTINCT FROM b{i}.h AS differs FROM a{i} FULL JOIN b{i} ON a{i}.archive = b{i}.archive AND a{i}.node = b{i}.node) c {below})""")
+    parts.append("""steps AS (SELECT archive, count(*) AS nodes_compared FROM (SELECT archive FROM d4 UNION ALL SELECT archive FROM d3 UNION ALL
+            SELECT archive FROM d2 UNION ALL SELECT archive FROM d1 UNION ALL SELECT archive FROM d0) GROUP BY archive),
+        damage AS (SELECT a.archive, count(*) AS n_damaged, string_agg(a.record || '@' || CAST(a."offset" AS BIGINT) || '+' || a.length || ':' ||
+            CASE WHEN b.digest IS NULL THEN 'missing' ELSE 'altered' END, ',' ORDER BY a."offset") AS damaged
+            FROM a LEFT JOIN b ON a.archive = b.archive AND a."offset" = b."offset" WHERE a.digest IS DISTINCT FROM b.digest GROUP BY a.archive)""")
+    return "WITH " + ",\n".join(parts) + """
+        SELECT d4.archive, CAST(0 AS BIGINT) AS volume, ha AS root_a, hb AS root_b, NOT differs AS same, nodes_compared,
+               coalesce(n_damaged, 0) AS n_damaged, coalesce(damaged, '') AS damaged
+        FROM d4 JOIN steps USING (archive) LEFT JOIN damage USING (archive)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return {**ORACLE_SQL, "op3_merkle": _merkle_sql()}

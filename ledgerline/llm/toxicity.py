@@ -50,7 +50,7 @@ LOOKALIKES = dict(zip("асԁеһіјӏорԛѕԝхуαεικνορτυχ", "acd
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 
 _ODD = re.compile(r"[ -¿̀-ԯ -⿿　＀-￯]")
-_SIGN = re.compile(r"(?<=[^\W\d_])[013457@$8]+(?=[^\W\d_])|(?<!\w)[013457@$8](?=[^\W\d_]{2})")
+_SIGN = re.compile(r"(?<=[^\W\d_])[013457@$8]+(?=[^\W\d_])|(?<!\w)[013457@$8](?=[^\W\d_])")
 _HAS_SIGN = re.compile(r"[013457@$8]")
 _LOOK = str.maketrans(LOOKALIKES)
 _SIGNS = str.maketrans(SIGNS)
@@ -71,9 +71,10 @@ def fold(text: str | None) -> str:
 
 
 def beginnings(words) -> set[str]:
-    """All beginnings of the words within the lengths of ``PREFIX``."""
+    """All beginnings of the words within the lengths of ``PREFIX``, and the
+    whole words of at least three letters with a blank after them."""
     lo, hi = PREFIX
-    return {w[:k] for w in words for k in range(lo, min(hi, len(w)) + 1)} | {w for w in words if len(w) == lo - 1}
+    return {w[:k] for w in words for k in range(lo, min(hi, len(w)) + 1)} | {w + " " for w in words if len(w) >= lo - 1}
 
 
 def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
@@ -83,7 +84,8 @@ def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[s
     weight = {p: float(np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1))) for p, (a, b) in counts.items()}
     longer = Counter()
     for p in counts:
-        longer[p[:-1]] = max(longer[p[:-1]], counts[p][0])
+        if p[-1] != " ":  # a whole word does not replace the beginning that also covers its other forms
+            longer[p[:-1]] = max(longer[p[:-1]], counts[p][0])
     kept: dict[str, float] = {}
     for p in sorted(counts, key=lambda p: (len(p), p)):
         if weight[p] < MIN_LOG_ODDS or longer[p] >= 0.95 * counts[p][0]:
@@ -96,7 +98,8 @@ def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[s
 
 
 class Matcher:
-    """One automaton of lexicon entries (" entry") and exceptions (" phrase ")."""
+    """One automaton of lexicon entries (" beginning" or " word ") and exceptions
+    (" phrase ")."""
 
     def __init__(self, lexicon: dict[str, float], exceptions: list[str]):
         self.auto = ahocorasick.Automaton()
@@ -109,8 +112,8 @@ class Matcher:
 
     def features(self, text: str | None) -> tuple[int, int, int, float]:
         """(words, matches, distinct entries, weight) of a whole text."""
-        s = fold(text)
-        n = len(s.split())
+        words = fold(text).split()
+        n, s = len(words), f" {' '.join(words)} "
         if not n or not len(self.auto):
             return n, 0, 0, 0.0
         hits, shields = [], []
@@ -183,13 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     counts = {r.term: (r["1"] or 0, r["0"] or 0) for r in _counts(rows, candidates).collect()}
     model["lexicon"] = choose(counts, toxic, clean)
     model["exceptions"] += _exceptions(rows, model["lexicon"], toxic, clean)
-    matcher = Matcher(model["lexicon"], model["exceptions"])
 
     def make():
         return lambda texts: [matcher_of(model).features(t) for t in texts]
 
     got = annotate(rows, "text", "n long, k long, d long, w double", make, keep=["toxic"]).toPandas()
-    del matcher
     model["curve"] = fit_curve(curve_inputs(got.n, got.k, got.d, got.w), got.toxic.to_numpy(float)).tolist()
     return model
 
@@ -200,7 +201,7 @@ def _exceptions(rows: DataFrame, lexicon: dict[str, float], toxic: int, clean: i
 
     def make():
         def fn(texts):
-            return [([w for w in set(fold(t).split()) if any(w[:k] in lexicon for k in range(lo, min(hi, len(w)) + 1))],) for t in texts]
+            return [([w for w in set(fold(t).split()) if any(f"{w} "[:k] in lexicon for k in range(lo, min(hi, len(w) + 1) + 1))],) for t in texts]
         return fn
 
     words = annotate(rows, "text", "words array<string>", make, keep=["toxic"])

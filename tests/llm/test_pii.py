@@ -73,7 +73,7 @@ def test_spans_on_all_kinds_are_ordered_and_cover_base(spark):
 
 def test_redact_masks_the_union(spark):
     texts = [None, "", "clean", "hi a@b.cd, call +1 456 555 2186!", "1.2.3.4111111111111111", "password=a@b.cdef 😀 x@y.zz"]
-    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, other string")
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
     got = redact(df)
     assert got.columns == df.columns
     out = {r.doc_id: r.text for r in got.collect()}
