@@ -91,8 +91,17 @@ def to_double(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     return parse_double(strip_ws(na_to_null(c)))
 
 
+# A time of day followed by an offset or zone: an instant, not a wall clock.
+OFFSET_PATTERN = r"[0-9]:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?\s*(Z|z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
+
+
 def parse_timestamp(t: Column) -> Column:
-    return t.try_cast("timestamp_ntz")
+    """Wall-clock text as it is; text with an offset as its instant in UTC, so
+    that times written in different zones compare rightly."""
+    # Colons make '+0530' an offset that the cast knows.
+    fixed = F.regexp_replace(t, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    instant = F.when(t.rlike(OFFSET_PATTERN), F.to_utc_timestamp(fixed.try_cast("timestamp"), F.current_timezone()).cast("timestamp_ntz"))
+    return F.when(t.rlike(OFFSET_PATTERN), instant).otherwise(t.try_cast("timestamp_ntz"))
 
 
 def to_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
@@ -142,5 +151,6 @@ def finite_or_null(c: Column) -> Column:
 
 
 def iso_text(c: Column) -> Column:
-    """ISO-8601 text of a date/timestamp column."""
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    """ISO-8601 text of a timestamp column; microseconds only when not zero."""
+    return F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))

@@ -66,9 +66,12 @@ def winner_expr(df: DataFrame, order: Sequence[OrderKey]) -> tuple[Column, str]:
 
 def mark_superseded(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
                     row_id: str = ROW_ID, reason_col: str = REASON,
-                    reason: str = SUPERSEDED_BY_CORRECTION) -> DataFrame:
+                    reason: str = SUPERSEDED_BY_CORRECTION, drop: Sequence[str] = ()) -> DataFrame:
     """Among rows with no reason yet, all but the first per key get ``reason``.
 
+    ``drop``: columns that only the order needs; they do not go through the
+    join on the row id.
+
     Rows that already carry a reason take no part, so a bad newer row never
     supersedes a good older one.
     """
@@ -82,7 +85,7 @@ def mark_superseded(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey
     marked = (F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
                .when(F.col("_winner").isNull(), F.lit(reason)).alias(reason_col))
     return (df.join(winners, row_id, "left")
-              .select(*[marked if c == reason_col else F.col(c) for c in df.columns]))
+              .select(*[marked if c == reason_col else F.col(c) for c in df.columns if c not in drop]))
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],

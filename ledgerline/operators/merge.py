@@ -6,8 +6,9 @@ with NULL in the columns the source does not own. Target-only keys stay.
 
 Both sides hold each key at most once (the target by construction, the
 source after keep-latest dedup), so the full outer join cannot meet a hot
-key; it shuffles both sides on the key, or AQE broadcasts the source when its
-measured size is small.
+key; it shuffles both sides on the key (a full outer join has no broadcast
+form). What it costs is bounded by what the caller passes as the target: the
+loads pass only the year folders that the feed touches.
 """
 
 from __future__ import annotations

@@ -2,9 +2,10 @@
 
 One window specification (partition by company, order by month) serves the
 previous-row lag and the 3-row rolling sum, so the plan has one shuffle and
-one Window node. A company partition holds at most one row per month (the
-fact key is unique), so its size is bounded by the calendar, not by the
-data volume.
+one Window node. A company partition holds one row per distinct month text (the
+fact key is unique). Well-formed months bound it by the calendar; by default odd
+month text is kept as well, so only ``CleansePolicy(strict_months=True)``
+bounds it for any feed.
 """
 
 from __future__ import annotations

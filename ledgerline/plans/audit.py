@@ -49,7 +49,8 @@ def append(spark: SparkSession, audit_path: str, rows: list[tuple]) -> None:
         lines.append(json.dumps(rec))
     try:
         fname = f"{rows[0][-1].strftime('%Y%m%dT%H%M%S%f')}-{rows[0][2]}-{uuid.uuid4().hex[:8]}.json"
-        fs.write_new(spark, f"{audit_path}/{fname}", "\n".join(lines) + "\n")
+        if not fs.write_new(spark, f"{audit_path}/{fname}", "\n".join(lines) + "\n"):
+            log.error("audit file %s exists", fname)
     except Exception:  # noqa: BLE001 - audit must not break the load
         log.exception("audit write failed for %s", [r[3] for r in rows])
 

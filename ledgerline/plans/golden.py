@@ -25,6 +25,11 @@ def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def stored_time(updated_at: Column) -> Column:
+    """What Golden keeps of a feed's ``updated_at``: its date."""
+    return updated_at.cast("date")
+
+
 # --- source projections (only the columns each feed owns) -------------------
 
 def company_source(clean: DataFrame) -> DataFrame:
@@ -33,14 +38,14 @@ def company_source(clean: DataFrame) -> DataFrame:
 
 def revenue_source(clean: DataFrame) -> DataFrame:
     return clean.select("company_id", "month", "revenue", "currency",
-                        F.col("updated_at").cast("date").alias("revenue_updated_at"),
+                        stored_time(F.col("updated_at")).alias("revenue_updated_at"),
                         F.col(S.LOADED_AT).alias("revenue_pipeline_loaded_at"),
                         F.col(S.LOAD_UUID).alias("revenue_pipeline_load_uuid"))
 
 
 def expense_source(clean: DataFrame) -> DataFrame:
     return clean.select("company_id", "month", "expenses",
-                        F.col("updated_at").cast("date").alias("expenses_updated_at"),
+                        stored_time(F.col("updated_at")).alias("expenses_updated_at"),
                         F.col(S.LOADED_AT).alias("expense_pipeline_loaded_at"),
                         F.col(S.LOAD_UUID).alias("expense_pipeline_load_uuid"))
 

@@ -30,8 +30,9 @@ from ledgerline.plans.audit import append, audit_row
 from ledgerline.plans.cleanse import missing_columns, value_rules, with_zone
 from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import SPECS, CleansePolicy, EntitySpec
+from ledgerline.plans.read import fact_year
 from ledgerline.sources.csv import FeedError, header_columns, read_feed, too_long
-from ledgerline.sources.store import Store
+from ledgerline.sources.store import StaleBase, Store
 
 GOLDEN_TABLE = {
     "company": "dim_company",
@@ -50,6 +51,8 @@ MERGE = {
     "expense": G.merge_expense,
     "fx_rate": G.merge_fx,
 }
+#: Tables with a folder per year.
+YEARLY = {"fact_company_monthly_financials"}
 SORT_WITHIN = {
     "dim_company": ["company_id"],
     "fact_company_monthly_financials": ["company_id", "month"],
@@ -86,15 +89,16 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
+def load_entity(spark: SparkSession, store: Store, entity: str, path: str | list[str],
                 policy: CleansePolicy = CleansePolicy(), load_uuid: str | None = None,
-                multiline: bool = False, persist_ruled: bool = False,
+                multiline: bool | None = None, persist_ruled: bool = False,
                 preprocess: Callable[[DataFrame], DataFrame] | None = None) -> LoadResult:
-    """Load one CSV feed (a file or a folder of files).
+    """Load one CSV feed (a file, a folder of files or a list of files).
 
     ``preprocess``: an optional caller-supplied step applied to the Bronze
-    rows (as ``DataFrame.transform``) before cleansing; if it fails, the load
-    stops before any Golden change and a BRONZE failure is audited.
+    rows (as ``DataFrame.transform``) before cleansing; if it fails, at once or
+    while it runs, the load stops before any Golden change and a BRONZE
+    failure is audited. ``multiline``: see ``read_feed``.
     """
     spec: EntitySpec = SPECS[entity]
     # Source guards and required columns: checked before Bronze, not audited.
@@ -103,10 +107,14 @@ def load_entity(spark: SparkSession, store: Store, entity: str, path: str,
     if missing:
         raise FeedError(f"{spec.name}: missing required columns {missing}")
     feed = read_feed(spark, path, multiline, columns=cols)
-    return load_frame(spark, store, entity, feed, len(cols), path, policy, load_uuid,
+    return load_frame(spark, store, entity, feed, len(cols), path if isinstance(path, str) else path[0], policy, load_uuid,
                       persist_ruled=persist_ruled, preprocess=preprocess)
 
 
+class NoRows(FeedError):
+    """A feed with a header only: refused like an empty file, not audited."""
+
+
 def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame, n_cols: int,
                source_name: str, policy: CleansePolicy = CleansePolicy(),
                load_uuid: str | None = None, persist_ruled: bool = False,
@@ -117,133 +125,174 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
 
     ``stage_mode="overwrite"`` makes the Bronze and zone folders of a given
     ``load_uuid`` rewritable, so a retried micro-batch can run again.
+
+    Each stage's audit record is written when the stage ends, so a killed
+    driver leaves the trace of what was done. Whatever fails, while a plan is
+    built or while it runs, is audited as a failure of its stage.
     """
     spec: EntitySpec = SPECS[entity]
     entity = "fx_rate" if spec.name == "fx_rate" else spec.name
     load_uuid = load_uuid or str(uuid.uuid4())
-    run_at = _now()
-    audit = store.audit_path()
-    path = source_name
-    # Audit records are collected per stage and appended together (one small
-    # write per load, or at the failing stage).
-    pending: list[tuple] = []
-
-    def note(stage, status, count, exc=None):
-        pending.append(audit_row(entity, path, load_uuid, stage, status, count, exc))
-
     missing = missing_columns(feed.columns, spec)
     if missing:
         raise FeedError(f"{entity}: missing required columns {missing}")
     if stage_mode == "overwrite" and store.committed(GOLDEN_TABLE[entity], load_uuid):
         raise AlreadyLoaded(f"{entity} load {load_uuid} is already published")
 
-    # Bronze: text columns + run stamp + file position, written once.
-    t0 = time.perf_counter()
-    raw = G.stamp(feed, run_at, load_uuid)
-    bronze_path = store.zone_path("bronze", entity, load_uuid)
+    def note(stages, status, counts, exc=None):
+        append(spark, store.audit_path(), [audit_row(entity, source_name, load_uuid, s, status, n, exc) for s, n in zip(stages, counts)])
+
+    load = _Load(spark, store, spec, entity, policy, load_uuid, stage_mode, _now())
+    stages = [S.STAGE_BRONZE]
+    t = [time.perf_counter()]
     try:
-        seen = store.write_observed(raw, bronze_path, mode=stage_mode, metrics={
-            "rows": F.count(F.lit(1)),
-            "too_long": F.count_if(too_long(F.col("_corrupt_record"), n_cols)),
-        })
-        if int(seen["too_long"]):
-            raise FeedError(f"{entity}: {seen['too_long']} rows with more fields than the header")
-        if int(seen["rows"]) == 0:
-            raise FeedError(f"{entity}: no data rows")
+        bronze, raw_rows = load.bronze(feed, n_cols, preprocess)
+        note(stages, S.STATUS_SUCCESS, [raw_rows])
+        t.append(time.perf_counter())
+        stages = [S.STAGE_SILVER, S.STAGE_QUARANTINE]
+        seen = load.zones(bronze, persist_ruled)
+        clean_rows, rejected = int(seen["clean"]), int(seen["rejected"])
+        by_reason = dict(sorted(((r, int(seen[r])) for r in spec.reasons if int(seen[r])), key=lambda x: -x[1]))
+        note(stages, S.STATUS_SUCCESS, [clean_rows, rejected])
+        t.append(time.perf_counter())
+        stages = [S.STAGE_GOLDEN]
+        seen = load.golden()
+        merged = int(seen["inserted"]) + int(seen["updated"])
+        note(stages, S.STATUS_SUCCESS, [merged])
+        t.append(time.perf_counter())
+    except NoRows:
+        raise
     except Exception as e:
-        note(S.STAGE_BRONZE, S.STATUS_FAILURE, 0, e)
-        append(spark, audit, pending)
+        note(stages, S.STATUS_FAILURE, [0] * len(stages), e)
         raise
-    raw_rows = int(seen["rows"])
-    t1 = time.perf_counter()
-    note(S.STAGE_BRONZE, S.STATUS_SUCCESS, raw_rows)
-
-    # Silver + Quarantine: one classified frame, one write partitioned by zone.
-    t2 = time.perf_counter()
-    bronze = spark.read.schema(raw.schema).parquet(bronze_path).drop("_corrupt_record")
-    if preprocess is not None:
+    stale = int(seen["stale"])
+    quarantine = load.zone(S.ZONE_QUARANTINE) if rejected else None
+    late = load.late_rows() if stale else None
+    if late is not None:
+        quarantine = late if quarantine is None else quarantine.unionByName(late, allowMissingColumns=True)
+        by_reason[S.OLDER_THAN_STORED] = stale
+        note([S.STAGE_QUARANTINE], S.STATUS_SUCCESS, [rejected + stale])
+    return LoadResult(entity, load_uuid, raw_rows, clean_rows - stale, rejected + stale, by_reason,
+                      int(seen["inserted"]), int(seen["updated"]),
+                      quarantine=report_projection(quarantine, spec) if quarantine is not None else None,
+                      golden=read_golden(store, GOLDEN_TABLE[entity]),
+                      timings={"bronze": t[1] - t[0], "zones": t[2] - t[1], "golden": t[3] - t[2]}, stale=stale)
+
+
+class _Load:
+    """The stages of one load; each reads what the stage before it wrote."""
+
+    def __init__(self, spark, store, spec, entity, policy, load_uuid, mode, run_at):
+        self.spark, self.store, self.spec, self.entity, self.policy = spark, store, spec, entity, policy
+        self.load_uuid, self.mode, self.run_at = load_uuid, mode, run_at
+        self.zones_path = store.zone_path("classified", entity, load_uuid)
+
+    def bronze(self, feed: DataFrame, n_cols: int, preprocess) -> tuple[DataFrame, int]:
+        """Text columns + run stamp + file position, written once."""
+        raw = G.stamp(feed, self.run_at, self.load_uuid)
+        path = self.store.zone_path("bronze", self.entity, self.load_uuid)
         try:
-            bronze = bronze.transform(preprocess)
-            missing = missing_columns(bronze.columns, spec)
-            if missing:
-                raise FeedError(f"{entity}: preprocess dropped required columns {missing}")
+            seen = self.store.write_observed(raw, path, mode=self.mode, metrics={
+                "rows": F.count(F.lit(1)),
+                "too_long": F.count_if(too_long(F.col("_corrupt_record"), n_cols)),
+            })
         except Exception as e:
-            pending[-1] = audit_row(entity, path, load_uuid, S.STAGE_BRONZE, S.STATUS_FAILURE, 0, e)
-            append(spark, audit, pending)
+            if "header does not conform" in str(e):
+                raise FeedError(f"{self.entity}: files with differing headers") from e
             raise
-    dim = None
-    if spec.uses_dim:
-        dim = store.read("dim_company", S.DIM_COMPANY).select("company_id")
-    # The ruled frame feeds the winner aggregate and the final classification.
-    # By default both read Bronze (the winner side only its key, order and
-    # rule columns, pruned at the Parquet scan); caching it instead would put
-    # the whole feed into executor memory and local disks at scale.
-    # ``persist_ruled`` caches it (MEMORY_AND_DISK; lost blocks are recomputed).
-    ruled = value_rules(bronze, spec, dim, policy)
-    if persist_ruled:
-        ruled = ruled.persist(StorageLevel.MEMORY_AND_DISK)
-    classified = with_zone(spec.finish(mark_superseded(ruled, spec.keys, spec.order(policy))))
-    zones_path = store.zone_path("classified", entity, load_uuid)
-    reason = F.col(S.REASON)
-    metrics = {"clean": F.count_if(reason.isNull()), "rejected": F.count_if(reason.isNotNull())}
-    metrics.update({r: F.count_if(reason == r) for r in spec.reasons})
-    try:
-        seen = store.write_observed(classified, zones_path, metrics, partition_by=[S.ZONE],
-                                    mode=stage_mode)
-    except Exception as e:
-        note(S.STAGE_SILVER, S.STATUS_FAILURE, 0, e)
-        note(S.STAGE_QUARANTINE, S.STATUS_FAILURE, 0, e)
-        append(spark, audit, pending)
-        raise
-    finally:
+        if int(seen["too_long"]):
+            raise FeedError(f"{self.entity}: {seen['too_long']} rows with more fields than the header")
+        if not int(seen["rows"]):
+            raise NoRows(f"{self.entity}: no data rows")
+        rows = self.spark.read.schema(raw.schema).parquet(path).drop("_corrupt_record")
+        if preprocess is not None:
+            done = rows.transform(preprocess)
+            missing = missing_columns(done.columns, self.spec) + [c for c in (S.ROW_ID, S.ROW_ORD, S.LOADED_AT, S.LOAD_UUID) if c not in done.columns]
+            if missing:
+                raise FeedError(f"{self.entity}: preprocess dropped columns {missing}")
+            # Written, so that a failure while it runs belongs to this stage.
+            prepared = self.store.zone_path("prepared", self.entity, self.load_uuid)
+            done.write.mode(self.mode).parquet(prepared)
+            rows = self.spark.read.schema(done.schema).parquet(prepared)
+        return rows, int(seen["rows"])
+
+    def zones(self, bronze: DataFrame, persist_ruled: bool) -> dict:
+        """Silver + Quarantine: one classified frame, one write partitioned by zone.
+
+        The ruled frame feeds the winner aggregate and the final
+        classification. By default both read Bronze (the winner side only its
+        key, order and rule columns, pruned at the Parquet scan); caching it
+        instead would put the whole feed into executor memory and local disks
+        at scale. ``persist_ruled`` caches it (MEMORY_AND_DISK; lost blocks are
+        recomputed). The file position has served by then and is not written
+        again; the row id leads back to it.
+        """
+        dim = None
+        if self.spec.uses_dim:
+            dim = self.store.read("dim_company", S.DIM_COMPANY).select("company_id")
+        ruled = value_rules(bronze, self.spec, dim, self.policy)
         if persist_ruled:
-            ruled.unpersist()
-    clean_rows, rejected = int(seen["clean"]), int(seen["rejected"])
-    by_reason = {r: int(seen[r]) for r in spec.reasons if int(seen[r])}
-    t3 = time.perf_counter()
-    note(S.STAGE_SILVER, S.STATUS_SUCCESS, clean_rows)
-    note(S.STAGE_QUARANTINE, S.STATUS_SUCCESS, rejected)
-
-    # Golden: merge the Silver rows into the current snapshot, publish a new one.
-    t4 = time.perf_counter()
-    table = GOLDEN_TABLE[entity]
-    zone_schema = classified.drop(S.ZONE).schema
-    if clean_rows:
-        silver = spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_SILVER}")
-    else:  # every row quarantined: no Silver folder was written
-        silver = spark.createDataFrame([], zone_schema)
-    silver = silver.drop(S.REASON)
-    first_load = store.current_version(table) is None
-    target = store.read(table, GOLDEN_SCHEMA[table])
-    if entity in ("revenue", "expense"):
-        merged = MERGE[entity](target, silver, run_at, with_action=True, scoped=not first_load,
-                               on_conflict=policy.on_conflict)
-    else:
-        merged = MERGE[entity](target, silver, run_at, with_action=True)
-    action = F.col(ACTION)
-    try:
-        seen = store.publish(table, merged, load_uuid,
-                             {"inserted": F.count_if(action == INSERT),
-                              "updated": F.count_if(action == UPDATE),
-                              "stale": F.count_if(action == STALE)},
-                             sort_within=SORT_WITHIN[table], drop_after_observe=[ACTION],
-                             mode=stage_mode)
-    except Exception as e:
-        note(S.STAGE_GOLDEN, S.STATUS_FAILURE, 0, e)
-        append(spark, audit, pending)
-        raise
-    t5 = time.perf_counter()
-    note(S.STAGE_GOLDEN, S.STATUS_SUCCESS, clean_rows)
-    append(spark, audit, pending)
-
-    quarantine = (spark.read.schema(zone_schema).parquet(f"{zones_path}/{S.ZONE}={S.ZONE_QUARANTINE}")
-                  if rejected else None)
-    return LoadResult(entity, load_uuid, raw_rows, clean_rows, rejected, by_reason,
-                      int(seen["inserted"]), int(seen["updated"]),
-                      quarantine=report_projection(quarantine, spec) if quarantine is not None else None,
-                      golden=read_golden(store, table),
-                      timings={"bronze": t1 - t0, "zones": t3 - t2, "golden": t5 - t4},
-                      stale=int(seen["stale"]))
+            ruled = ruled.persist(StorageLevel.MEMORY_AND_DISK)
+        classified = mark_superseded(ruled, self.spec.keys, self.spec.order(self.policy), drop=[S.ROW_ORD])
+        classified = with_zone(self.spec.finish(classified))
+        self.zone_schema = classified.drop(S.ZONE).schema
+        reason = F.col(S.REASON)
+        metrics = {"clean": F.count_if(reason.isNull()), "rejected": F.count_if(reason.isNotNull())}
+        metrics.update({r: F.count_if(reason == r) for r in self.spec.reasons})
+        try:
+            seen = self.store.write_observed(classified, self.zones_path, metrics, partition_by=[S.ZONE], mode=self.mode)
+        finally:
+            if persist_ruled:
+                ruled.unpersist()
+        self.has_clean = bool(int(seen["clean"]))
+        return seen
+
+    def zone(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.zone_schema).parquet(f"{self.zones_path}/{S.ZONE}={name}")
+
+    def golden(self, attempts: int = 3) -> dict:
+        """Merge the Silver rows into the current version, publish a new one.
+        Of a fact only the years in the feed are read and written. Whoever
+        loses a race for the next version merges again into the new one."""
+        silver = self.zone(S.ZONE_SILVER) if self.has_clean else self.spark.createDataFrame([], self.zone_schema)
+        silver = silver.drop(S.REASON)
+        table = GOLDEN_TABLE[self.entity]
+        by_year = table in YEARLY
+        parts = None
+        if by_year:
+            parts = [r[0] for r in silver.select(fact_year(F.col("month"))).distinct().collect()]  # bounded by the calendar
+        action = F.col(ACTION)
+        counts = {"inserted": F.count_if(action == INSERT), "updated": F.count_if(action == UPDATE), "stale": F.count_if(action == STALE)}
+        for attempt in range(attempts):
+            base = self.store.current(table)
+            self.base = base
+            target = self.store.read(table, GOLDEN_SCHEMA[table], entry=base, parts=[f"{S.YEAR}={p}" for p in parts] if by_year else None)
+            if by_year:
+                merged = MERGE[self.entity](target, silver, self.run_at, with_action=True, scoped=False, on_conflict=self.policy.on_conflict)
+                merged = merged.withColumn(S.YEAR, fact_year(F.col("month")))
+            else:
+                merged = MERGE[self.entity](target, silver, self.run_at, with_action=True)
+            try:
+                return self.store.publish(table, merged, self.load_uuid, counts, sort_within=([S.YEAR] if by_year else []) + SORT_WITHIN[table],
+                                          drop_after_observe=[ACTION], mode="overwrite" if attempt else self.mode, base=base,
+                                          partition_by=S.YEAR if by_year else None, parts=parts)
+            except StaleBase:
+                if attempt == attempts - 1:
+                    raise
+
+    def late_rows(self) -> DataFrame:
+        """Rows that were refused as older than the stored ones, written to
+        Quarantine with their reason."""
+        table, silver = GOLDEN_TABLE[self.entity], self.zone(S.ZONE_SILVER)
+        stored, source = {"revenue": ("revenue_updated_at", G.revenue_source), "expense": ("expenses_updated_at", G.expense_source)}[self.entity]
+        before = self.store.read(table, GOLDEN_SCHEMA[table], entry=self.base)
+        # Refused keys: those whose stored record is still the one of an earlier load.
+        late = (silver.join(before.where(F.col(stored).isNotNull()).select("company_id", "month", F.col(stored).alias("_stored")), ["company_id", "month"])
+                .where(F.col("updated_at").isNull() | (G.stored_time(F.col("updated_at")) < F.col("_stored")))
+                .drop("_stored").withColumn(S.REASON, F.lit(S.OLDER_THAN_STORED)).select(*self.zone_schema.names))
+        path = self.store.zone_path("late", self.entity, self.load_uuid)
+        late.write.mode(self.mode).parquet(path)
+        return self.spark.read.schema(self.zone_schema).parquet(path)
 
 
 def quarantine_with_raw(spark: SparkSession, store: Store, entity: str, load_uuid: str) -> DataFrame:
@@ -262,24 +311,43 @@ def quarantine_with_raw(spark: SparkSession, store: Store, entity: str, load_uui
     return q.join(raw, S.ROW_ID, "left")
 
 
-def read_golden(store: Store, table: str, version: str | None = None) -> DataFrame:
-    return store.read(table, GOLDEN_SCHEMA[table], version)
+def read_golden(store: Store, table: str, version: str | None = None, with_year: bool = False) -> DataFrame:
+    """A Golden table. ``with_year`` adds the fact's partition column, by which
+    filtered reads skip the folders of other years."""
+    return store.read(table, GOLDEN_SCHEMA[table], version, partition_col=S.YEAR if with_year and table in YEARLY else None)
 
 
 def calculate_metrics(spark: SparkSession, store: Store, company_id: str | None = None) -> dict:
-    """Recompute the four metric columns (all companies or one) and publish."""
+    """Recompute the four metric columns (all companies or one) and publish.
+
+    The summary counts the rows of the scope, on the way of the write. For one
+    company only the years that hold it are read and written again."""
     table = "fact_company_monthly_financials"
-    fact = read_golden(store, table)
-    scope = fact if company_id is None else fact.where(F.col("company_id") == str(company_id))
-    if scope.isEmpty():
-        return {"status": "no_data", "company_id": company_id}
-    new = G.merge_metrics(fact, company_id)
-    version = f"metrics-{uuid.uuid4()}"
-    elig = F.col("revenue").isNotNull() & F.col("expenses").isNotNull()
-    seen = store.publish(table, new, version, {"eligible": F.count_if(elig)},
-                         sort_within=SORT_WITHIN[table])
-    return {"status": "success", "company_id": company_id, "total_rows": int(seen["rows"]),
-            "eligible_rows": int(seen["eligible"]), "version": version}
+    for attempt in range(3):
+        base = store.current(table)
+        fact = store.read(table, S.FACT_FINANCIALS, entry=base, partition_col=S.YEAR)
+        scope = F.lit(True)
+        years = [p.split("=", 1)[1] for p in base.parts] if base else []
+        if company_id is not None:
+            scope = F.col("company_id") == str(company_id)
+            years = [r[0] for r in fact.where(scope).select(S.YEAR).distinct().collect()]  # bounded by the calendar
+        if not years:
+            return {"status": "no_data", "message": f"No rows found in {table} to compute metrics for.", "company_id": company_id,
+                    "total_rows": 0, "eligible_rows": 0, "updated_rows": 0}
+        part = store.read(table, S.FACT_FINANCIALS, entry=base, parts=[f"{S.YEAR}={y}" for y in years])
+        new = G.merge_metrics(part, company_id).withColumn(S.YEAR, fact_year(F.col("month")))
+        eligible = F.col("revenue").isNotNull() & F.col("expenses").isNotNull()
+        version = f"metrics-{uuid.uuid4()}"
+        try:
+            seen = store.publish(table, new, version, {"total": F.count_if(scope), "eligible": F.count_if(scope & eligible)},
+                                 sort_within=[S.YEAR, *SORT_WITHIN[table]], base=base, partition_by=S.YEAR, parts=years)
+        except StaleBase:
+            if attempt == 2:
+                raise
+            continue
+        return {"status": "success", "message": f"Metrics computed and saved for {int(seen['eligible'])} eligible rows.",
+                "company_id": company_id, "total_rows": int(seen["total"]), "eligible_rows": int(seen["eligible"]),
+                "updated_rows": int(seen["total"]), "computed_at": datetime.now(timezone.utc).isoformat(), "version": version}
 
 
 __all__ = ["load_entity", "calculate_metrics", "read_golden", "LoadResult", "reason_breakdown",

@@ -7,10 +7,11 @@ means "no filter". Currency arguments are upper-cased.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.normalise import finite_or_null
+from ledgerline.functions.normalise import finite_or_null, iso_text
+from ledgerline.schemas import YEAR
 
 
 def _eq(df: DataFrame, col: str, value, upper: bool = False, when_truthy: bool = True) -> DataFrame:
@@ -20,6 +21,20 @@ def _eq(df: DataFrame, col: str, value, upper: bool = False, when_truthy: bool =
     return df
 
 
+def fact_year(month: Column) -> Column:
+    """The partition of the fact that holds a month: its year, or "other" for
+    text that is no month."""
+    return F.when(month.rlike(r"^[0-9]{4}-[0-9]{1,2}$"), F.substring(month, 1, 4)).otherwise(F.lit("other"))
+
+
+def _month(df: DataFrame, month) -> DataFrame:
+    """Rows of a month; of a fact with its partition column only the folder
+    that can hold them is read."""
+    if month and YEAR in df.columns:
+        df = df.where(F.col(YEAR) == fact_year(F.lit(str(month))))
+    return _eq(df, "month", month)
+
+
 def read_company(dim: DataFrame, company_id=None, name=None, industry=None, country=None) -> DataFrame:
     df = _eq(dim, "company_id", company_id, when_truthy=False)
     for col, v in (("name", name), ("industry", industry), ("country", country)):
@@ -31,14 +46,12 @@ def read_company(dim: DataFrame, company_id=None, name=None, industry=None, coun
 
 def read_revenue(fact: DataFrame, company_id=None, month=None, currency=None) -> DataFrame:
     df = _eq(fact, "company_id", company_id, when_truthy=False)
-    df = _eq(df, "month", month)
-    df = _eq(df, "currency", currency, upper=True)
-    return df
+    df = _month(df, month)
+    return _eq(df, "currency", currency, upper=True)
 
 
 def read_expense(fact: DataFrame, company_id=None, month=None) -> DataFrame:
-    df = _eq(fact, "company_id", company_id, when_truthy=False)
-    return _eq(df, "month", month)
+    return _month(_eq(fact, "company_id", company_id, when_truthy=False), month)
 
 
 def read_financials(fact: DataFrame, company_id=None, month=None, currency=None) -> DataFrame:
@@ -59,16 +72,17 @@ def sanitised(df: DataFrame) -> DataFrame:
 
 
 def as_json(df: DataFrame) -> DataFrame:
-    """One JSON object per row, dates and timestamps in ISO-8601 text."""
+    """One JSON object per row with every key, NULL as ``null``; dates and
+    timestamps in ISO-8601 text, with microseconds when there are any."""
     cols = []
     for f in df.schema.fields:
         t = f.dataType.typeName()
         if t == "date":
             cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
         elif t in ("timestamp", "timestamp_ntz"):
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd'T'HH:mm:ss").alias(f.name))
+            cols.append(iso_text(F.col(f.name)).alias(f.name))
         elif t in ("double", "float"):
             cols.append(finite_or_null(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
-    return df.select(F.to_json(F.struct(*cols)).alias("json"))
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))

@@ -58,6 +58,8 @@ ERROR_TEXT_LIMIT = 2000
 # ---------------------------------------------------------------------------
 INVALID_MONTH = "INVALID_MONTH"
 INVALID_DATE = "INVALID_DATE"
+# Only under on_conflict="newest" (departure D7): the row is older than the stored one.
+OLDER_THAN_STORED = "OLDER_THAN_STORED"
 
 # Column names used across the engine.
 REASON = "quarantine_reason"
@@ -68,7 +70,9 @@ LOAD_UUID = "pipeline_load_uuid"
 ZONE = "zone"
 ZONE_SILVER = "silver"
 ZONE_QUARANTINE = "quarantine"
+YEAR = "fact_year"  # partition column of the fact's folders
 
+# The column names of the Golden and audit tables are those of the source system.
 DIM_COMPANY = T.StructType([
     T.StructField("company_id", T.StringType(), False),
     T.StructField("name", T.StringType(), True),

@@ -16,18 +16,47 @@ class FeedError(ValueError):
     """The feed cannot be loaded (empty, unreadable, malformed rows, missing columns)."""
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line (read on the driver, no Spark job)."""
-    if not fs.exists(spark, path):
+def files_of(spark: SparkSession, path: str | list[str]) -> tuple[str | None, int]:
+    """(first file by name, greatest length) of the non-empty files of a feed."""
+    found = [fs.data_files(spark, p) for p in ([path] if isinstance(path, str) else path)]
+    return min((p for p, _, _ in found if p), default=None), max((n for _, n, _ in found), default=0)
+
+
+def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names from the first file's header line (read on the driver, no
+    Spark job). The scan checks that every other file has the same header."""
+    if isinstance(path, str) and not fs.exists(spark, path):
         raise FileNotFoundError(path)
-    line = fs.first_line(spark, path)
+    first, _ = files_of(spark, path)
+    line = fs.first_line(spark, first) if first else None
     if line is None or not line.strip():
         raise FeedError(f"empty file: {path}")
     try:
-        names = next(_csv.reader([line.lstrip("\ufeff")]))
+        return next(_csv.reader([line.lstrip("\ufeff")]))
     except _csv.Error as e:
         raise FeedError(f"unreadable header in {path}: {e}") from e
-    return [n.strip() for n in names]
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
+    return int(text.rstrip("kmg")) * unit
+
+
+def has_quoted_newline(spark: SparkSession, path: str | list[str]) -> bool:
+    """Does any line of the feed hold an odd number of quotes, so that a quoted
+    field may go on in the next line? (A scan of lines that stops early.)"""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
+def spans_lines(spark: SparkSession, path: str | list[str]) -> bool:
+    """Must the feed be parsed file by file, so that no quoted newline is cut?
+    Files of one split lose nothing by it. Only where files are larger are the
+    lines looked at first, and split when every one of them is whole."""
+    if files_of(spark, path)[1] <= _split_bytes(spark):
+        return True
+    return has_quoted_newline(spark, path)
 
 
 def text_schema(cols: list[str]) -> T.StructType:
@@ -37,6 +66,7 @@ def text_schema(cols: list[str]) -> T.StructType:
 
 def csv_options(reader, multiline: bool = False):
     return (reader.option("header", True)
+                  .option("enforceSchema", False)
                   .option("escape", '"')
                   .option("multiLine", multiline)
                   .option("mode", "PERMISSIVE")
@@ -53,16 +83,26 @@ def with_position(df: DataFrame, file_col=None, block_col=None) -> DataFrame:
                                             F.col(ROW_ID).alias("pos"))))
 
 
-def read_feed(spark: SparkSession, path: str, multiline: bool = False,
+def read_feed(spark: SparkSession, path: str | list[str], multiline: bool | None = None,
               columns: list[str] | None = None) -> DataFrame:
     """All columns as STRING (types come from explicit parsing, never inference).
 
     Adds ``row_ord`` = (file, block start, row id): a total order equal to
     the file order, and ``_row_id``, unique per row. Both are taken at the
     scan, stored in Bronze and read back from there, so they are computed once.
-    Short rows are padded with NULL; rows with too many fields fail the load.
+    Short rows are padded with NULL; rows with too many fields fail the load,
+    and so does a file whose header differs from the first one's (the scan
+    raises it).
+
+    ``multiline``: None finds out whether quoted newlines need whole files to
+    be parsed (see ``spans_lines``); True always parses whole files; False
+    splits files at lines and refuses a feed with a quoted newline.
     """
     cols = columns if columns is not None else header_columns(spark, path)
+    if multiline is None:
+        multiline = spans_lines(spark, path)
+    elif not multiline and has_quoted_newline(spark, path):
+        raise FeedError(f"quoted newline in {path}: it cannot be split at lines")
     df = csv_options(spark.read.schema(text_schema(cols)), multiline).csv(path)
     return with_position(df)
 
@@ -74,8 +114,9 @@ def too_long(corrupt: Column, n_cols: int) -> Column:
     NULL), long rows fail the load.
     """
     # Commas outside double-quoted sections separate fields.
-    fields = F.size(F.split(corrupt, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
-    return corrupt.isNotNull() & (fields > n_cols)
+    plain = F.regexp_replace(corrupt, r'"[^"]*+(?:"|$)', "")
+    commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    return corrupt.isNotNull() & (commas >= n_cols)
 
 
 def write_feed(df: DataFrame, path: str, order_by: str | None = None) -> None:

@@ -1,13 +1,19 @@
 """Small driver-side file operations through the Hadoop FileSystem API.
 
 Used only for tiny control files (a CSV header line, version-log entries,
-audit records): one file-system call instead of a Spark job each. Works for
-any Hadoop-compatible store (local, HDFS, S3A, ABFS, GCS).
+audit records): one file-system call instead of a Spark job each. Folders of
+more than ``FEW`` entries are not walked here but listed by a Spark job. Works
+for any Hadoop-compatible store (local, HDFS, S3A, ABFS, GCS).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+_STATUS = re.compile(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -21,42 +27,85 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Files under ``path`` (recursive), skipping hidden and marker files, by name."""
+#: Entries of a folder that the driver looks at one by one.
+FEW = 64
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, bool, int]] | None:
+    """(path, is folder, length) of what lies in a folder, or of one file; None
+    if there are more than ``FEW``."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    if fs.isFile(p):
-        return [str(p.toString())]
-    out = []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith((".", "_")) and st.getLen() > 0:
-            out.append(str(st.getPath().toString()))
-    return sorted(out)
+    found = fs.listStatus(p)
+    if len(found) > FEW:
+        return None
+    return [(m[1], m[2] == "true", int(m[3] or 0)) for m in (_STATUS.search(x.toString()) for x in found)]
+
+
+def _shown(path: str) -> bool:
+    return not path.rsplit("/", 1)[-1].startswith((".", "_"))
+
+
+def data_files(spark: SparkSession, path: str) -> tuple[str | None, int, int]:
+    """(first file by name, greatest length, number) of the files under
+    ``path`` (recursive), without hidden, marker and empty files."""
+    found = listing(spark, path)
+    if found is None:
+        row = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
+               .agg(F.min("path"), F.max("length"), F.count("*")).first())
+        return row[0], row[1] or 0, row[2]
+    parts = [data_files(spark, p) if folder else (p, n, 1) for p, folder, n in found if _shown(p) and (folder or n)]
+    return (min((p for p, _, _ in parts if p), default=None), max((n for _, n, _ in parts), default=0), sum(k for _, _, k in parts))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The first line of a control file, or None if there is no such file."""
+    return first_line(spark, path) if exists(spark, path) else None
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of the first data file (None when there is no data)."""
-    files = data_files(spark, path)
-    if not files:
-        return None
+    """First line of a file (None when it is empty); compressed files are
+    opened with the codec of their name."""
     jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, files[0])
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    fs, p = _fs(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
     try:
         return reader.readLine()
     finally:
         reader.close()
 
 
-def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` with ``text``; fails if it already exists."""
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text``; False, and nothing written, if it exists."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # a Java exception: only "it exists" is expected here
+        if fs.exists(p):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def write_over(spark: SparkSession, path: str, text: str) -> None:
+    """Write ``path``, replacing it."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -1,16 +1,24 @@
-"""Zone folders and versioned Golden snapshots in the shared workspace.
-
-Golden tables are Parquet snapshots ``<root>/golden/<table>/v=<version>/``.
-A new version is written completely before it becomes current; the current
-version is the newest entry of a small append-only version log
-(``_versions``), so a reader never sees a half-written table and a job that
-dies mid-write leaves the previous version current. Old versions stay
-readable (time travel by version id).
+"""Zone folders and versioned Golden tables in the shared workspace.
+
+A Golden table is a set of Parquet folders ``golden/<table>/v=<version>/`` and
+a log ``_versions/<number>.json``. Each log entry names the folder that holds
+each partition of the table, so a new version writes only the partitions it
+changes and shares the others with the version before it. Entries are
+numbered; an entry is created only if its number is free, after its data is
+complete. Whoever built on an older entry finds the number taken and gets
+``StaleBase``: no update is lost, and a reader never sees a half-written table.
+Nothing about a table is cached, so a long-running process sees the versions
+of others. Old versions stay readable until ``expire`` is called.
+
+Creating a file only if it is absent is atomic on HDFS and on stores with
+conditional writes; on others one writer per table has to be kept by the
+scheduler.
 """
 
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,19 +28,35 @@ from pyspark.sql import types as T
 from ledgerline.sources import fs
 
 _LOG_SCHEMA = T.StructType([
+    T.StructField("number", T.LongType(), False),
     T.StructField("version", T.StringType(), False),
     T.StructField("committed_at", T.TimestampType(), False),
     T.StructField("rows", T.LongType(), True),
+    T.StructField("parts", T.MapType(T.StringType(), T.StringType()), True),
 ])
+#: The partition of a table that has none.
+WHOLE = ""
+
+
+class StaleBase(RuntimeError):
+    """Another writer published a version since the base of this one was read."""
+
+
+@dataclass(frozen=True)
+class Entry:
+    """One version: its number, id, time, rows written, and partition folders."""
+
+    number: int
+    version: str
+    committed_at: str
+    rows: int
+    parts: dict[str, str] = field(default_factory=dict)
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # Current version per table as last published or read by this process
-        # (one writer per Golden table is assumed, as in the source system).
-        self._current: dict[str, str] = {}
 
     # --- zones ---------------------------------------------------------------
     def zone_path(self, zone: str, entity: str, load_uuid: str) -> str:
@@ -54,80 +78,142 @@ class Store:
         w.parquet(path)
         return obs.get
 
-    # --- golden snapshots ------------------------------------------------------
+    # --- golden tables ---------------------------------------------------------
     def table_path(self, table: str) -> str:
         return f"{self.root}/golden/{table}"
 
     def exists(self, path: str) -> bool:
         return fs.exists(self.spark, path)
 
+    def _log(self, table: str) -> str:
+        return f"{self.table_path(table)}/_versions"
+
+    def _entry(self, table: str, number: int) -> Entry | None:
+        text = fs.read_text(self.spark, f"{self._log(table)}/{number:012d}.json")
+        return Entry(**json.loads(text)) if text else None
+
+    def _newest(self, table: str) -> int:
+        """Number of the newest entry, -1 if there is none: from the noted
+        number on, which may lag, to the last that exists."""
+        text = fs.read_text(self.spark, f"{self.table_path(table)}/_newest")
+        number = int(text) if text else -1
+        while fs.exists(self.spark, f"{self._log(table)}/{number + 1:012d}.json"):
+            number += 1
+        return number
+
+    def current(self, table: str) -> Entry | None:
+        """The newest log entry, read anew at each call."""
+        number = self._newest(table)
+        return self._entry(table, number) if number >= 0 else None
+
     def current_version(self, table: str) -> str | None:
-        """Newest entry of the version log (entries are named by commit time)."""
-        if table in self._current:
-            return self._current[table]
-        entries = fs.data_files(self.spark, f"{self.table_path(table)}/_versions")
-        if not entries:
-            return None
-        newest = max(entries, key=lambda p: p.rsplit("/", 1)[-1])
-        version = json.loads(fs.first_line(self.spark, newest))["version"]
-        self._current[table] = version
-        return version
-
-    def read(self, table: str, schema: T.StructType | None = None, version: str | None = None) -> DataFrame | None:
-        v = version or self.current_version(table)
-        if v is None:
-            return self.spark.createDataFrame([], schema) if schema is not None else None
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(f"{self.table_path(table)}/v={v}")
+        entry = self.current(table)
+        return entry.version if entry else None
+
+    def entry_of(self, table: str, version: str) -> Entry | None:
+        """The log entry of a version id, by the number noted beside the log."""
+        text = fs.read_text(self.spark, f"{self.table_path(table)}/_numbers/{version}")
+        entry = self._entry(table, int(text)) if text else None
+        return entry if entry and entry.version == version else None
+
+    def committed(self, table: str, version: str) -> bool:
+        """Is ``version`` in the table's version log?"""
+        return self.entry_of(table, version) is not None
+
+    def read(self, table: str, schema: T.StructType | None = None, version: str | None = None,
+             entry: Entry | None = None, parts: list[str] | None = None, partition_col: str | None = None) -> DataFrame | None:
+        """A version of a table (default: the current one), or some partitions
+        of it. ``partition_col`` adds the partition as a column, by which the
+        scan prunes folders."""
+        entry = entry or (self.entry_of(table, version) if version else self.current(table))
+        if version and entry is None:
+            raise ValueError(f"{table} has no version {version}")
+        shown = [T.StructField(partition_col, T.StringType())] if partition_col else []
+        if entry is None:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *shown])) if schema is not None else None
+        found = {p: v for p, v in entry.parts.items() if parts is None or p in parts}
+        if not found:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *shown]))
+        folders = [f"{self.table_path(table)}/v={v}" + (f"/{p}" if p else "") for p, v in sorted(found.items())]
+        reader = self.spark.read.option("basePath", self.table_path(table))
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, *shown]))
+        df = reader.parquet(*folders)
+        return df.drop("v") if schema is None else df.select(*schema.names, *[f.name for f in shown])
 
     def publish(self, table: str, df: DataFrame, version: str, metrics: dict | None = None,
                 sort_within: list[str] | None = None, drop_after_observe=(),
-                mode: str = "errorifexists") -> dict:
-        """Write a full new snapshot, then append it to the version log.
-
-        ``mode="overwrite"`` rewrites an uncommitted folder of the same
-        version left by a failed attempt (never a committed one).
+                mode: str = "errorifexists", base: Entry | None = None, partition_by: str | None = None,
+                parts: list[str] | None = None) -> dict:
+        """Write the changed part of a table, then append the version to the log.
+
+        ``base``: the entry that ``df`` was built on (None: an empty table).
+        ``partition_by`` / ``parts``: ``df`` holds exactly these values of that
+        column and replaces their folders; all other folders of ``base`` stay.
+        ``mode="overwrite"`` rewrites an uncommitted folder of the same version
+        left by a failed attempt (never a committed one).
         """
         path = f"{self.table_path(table)}/v={version}"
         if mode == "overwrite" and self.committed(table, version):
             raise ValueError(f"{table} version {version} is already committed")
         seen = self.write_observed(df, path, {"rows": F.count(F.lit(1)), **(metrics or {})},
                                    drop_after_observe=drop_after_observe, sort_within=sort_within,
-                                   mode=mode)
-        # Commit: one small log entry, written only after the snapshot is complete.
+                                   mode=mode, partition_by=[partition_by] if partition_by else None)
+        new = {f"{partition_by}={p}": version for p in parts} if partition_by else {WHOLE: version}
+        number = base.number + 1 if base else 0
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        entry = {"version": version, "committed_at": now.isoformat(), "rows": int(seen["rows"])}
-        name = f"{now.strftime('%Y%m%dT%H%M%S%f')}-{version}.json"
-        fs.write_new(self.spark, f"{self.table_path(table)}/_versions/{name}", json.dumps(entry) + "\n")
-        self._current[table] = version
+        entry = Entry(number, version, now.isoformat(), int(seen["rows"]), {**(base.parts if base else {}), **new})
+        fs.write_over(self.spark, f"{self.table_path(table)}/_numbers/{version}", f"{number}\n")
+        # Commit: one small entry under a number that must be free.
+        if not fs.write_new(self.spark, f"{self._log(table)}/{number:012d}.json", json.dumps(entry.__dict__) + "\n"):
+            raise StaleBase(f"{table}: version {number} was published by another writer")
+        fs.write_over(self.spark, f"{self.table_path(table)}/_newest", f"{number}\n")
         return seen
 
     def version_at(self, table: str, instant: datetime) -> str | None:
-        """The version that was current at ``instant`` (UTC, naive), if any.
-
-        Log entry names start with the commit time, so this is a listing and
-        a name comparison; no Spark job.
-        """
-        stamp = instant.strftime("%Y%m%dT%H%M%S%f")
-        entries = [p.rsplit("/", 1)[-1] for p in
-                   fs.data_files(self.spark, f"{self.table_path(table)}/_versions")]
-        before = [e for e in entries if e.split("-", 1)[0] <= stamp]
-        return max(before).split("-", 1)[1][:-len(".json")] if before else None
+        """The version that was current at ``instant`` (UTC, naive), if any:
+        a binary search over the numbered entries."""
+        entry = self._entry_at(table, instant)
+        return entry.version if entry else None
+
+    def _entry_at(self, table: str, instant: datetime) -> Entry | None:
+        lo, hi, best = 0, self._newest(table) + 1, None
+        while lo < hi:
+            mid = (lo + hi) // 2
+            entry = self._entry(table, mid)
+            if entry is None:  # expired
+                lo = mid + 1
+            elif datetime.fromisoformat(entry.committed_at) <= instant:
+                lo, best = mid + 1, entry
+            else:
+                hi = mid
+        return best
 
     def read_as_of(self, table: str, instant: datetime, schema: T.StructType | None = None) -> DataFrame | None:
         """Time travel: the table as it was at ``instant``."""
-        v = self.version_at(table, instant)
-        if v is None:
+        entry = self._entry_at(table, instant)
+        if entry is None:
             return self.spark.createDataFrame([], schema) if schema is not None else None
-        return self.read(table, schema, version=v)
-
-    def committed(self, table: str, version: str) -> bool:
-        """Is ``version`` in the table's version log?"""
-        entries = fs.data_files(self.spark, f"{self.table_path(table)}/_versions")
-        return any(e.endswith(f"-{version}.json") for e in entries)
+        return self.read(table, schema, entry=entry)
 
     def versions(self, table: str) -> DataFrame:
-        return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.table_path(table)}/_versions")
+        return self.spark.read.schema(_LOG_SCHEMA).json(self._log(table))
+
+    def expire(self, table: str, keep: int = 1) -> list[str]:
+        """Drop all but the newest ``keep`` versions; the folders that none of
+        them uses are deleted. Gives the deleted folders' version ids."""
+        newest = self._newest(table)
+        used = {v for k in range(max(newest - keep + 1, 0), newest + 1) for v in self._entry(table, k).parts.values()}
+        gone: set[str] = set()
+        number = newest - keep
+        while number >= 0 and (entry := self._entry(table, number)):
+            gone |= {entry.version, *entry.parts.values()} - used
+            fs.delete(self.spark, f"{self._log(table)}/{number:012d}.json")
+            fs.delete(self.spark, f"{self.table_path(table)}/_numbers/{entry.version}")
+            number -= 1
+        for version in gone:
+            fs.delete(self.spark, f"{self.table_path(table)}/v={version}")
+        return sorted(gone)
 
     # --- audit -----------------------------------------------------------------
     def audit_path(self) -> str:

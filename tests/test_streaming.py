@@ -35,7 +35,7 @@ def test_intake_matches_batch(spark, workdir):
     assert a == b
     # Restarting from the same checkpoint finds nothing new.
     _, again = intake(spark, stream, "revenue", f"{feeds}/revenue", cols)
-    assert again == []
+    assert list(again) == []
 
 
 def test_retried_batch_is_skipped_once_published(spark, workdir):
