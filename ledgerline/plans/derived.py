@@ -77,7 +77,7 @@ def fact_table(spark, sf_dir, policy=CleansePolicy(), with_metrics: bool = True)
     """Fact after the revenue load then the expense load (then metrics)."""
     f = G.merge_revenue(G.empty(spark, S.FACT_FINANCIALS), clean(spark, sf_dir, "revenue", policy), RUN_AT,
                         scoped=False)
-    f = G.merge_expense(f, clean(spark, sf_dir, "expense", policy), RUN_AT)
+    f = G.merge_expense(f, clean(spark, sf_dir, "expense", policy), RUN_AT, scoped=False)
     return G.merge_metrics(f) if with_metrics else f
 
 

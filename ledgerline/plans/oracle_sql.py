@@ -8,7 +8,7 @@ join with ``CASE``. The shared tables are pre-registered views.
 from __future__ import annotations
 
 from ledgerline.plans.derived import RUN_UUID
-from ledgerline.schemas import CURRENCY_MAP
+from ledgerline.schemas import CURRENCY_MAP, FACT_FINANCIALS
 from ledgerline.sources.fixtures import FX_CURRENCIES, REVENUE_CURRENCIES
 
 UUID2 = "00000000-0000-4000-8000-000000000005"
@@ -168,9 +168,9 @@ fact_m AS (
          round(CASE WHEN elig THEN roll END, 2) AS rolling_3m_revenue
   FROM fact_w),
 company_b2 AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS company_id, upper(c_name) AS name, c_mktsegment AS industry,
+  SELECT CAST(c_custkey + 50 AS VARCHAR) AS company_id, upper(c_name) AS name, c_mktsegment AS industry,
          n_name AS country
-  FROM customer JOIN nation ON c_nationkey=n_nationkey WHERE c_acctbal > 0),
+  FROM customer JOIN nation ON c_nationkey=n_nationkey),
 dim2 AS (
   SELECT COALESCE(t.company_id, s.company_id) AS company_id,
          CASE WHEN s.company_id IS NOT NULL THEN s.name ELSE t.name END AS name,
@@ -180,6 +180,11 @@ dim2 AS (
          CASE WHEN s.company_id IS NOT NULL AND t.company_id IS NOT NULL THEN 'update'
               WHEN s.company_id IS NOT NULL THEN 'insert' ELSE 'keep' END AS action
   FROM dim1 t FULL OUTER JOIN company_b2 s ON t.company_id = s.company_id),
+revenue_b2 AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY company_id, month ORDER BY dated DESC, row_ord DESC) AS rn FROM (
+      SELECT company_id, month, revenue, row_ord, updated_at + CASE WHEN row_ord % 2 = 0 THEN INTERVAL (-10) DAY ELSE INTERVAL 10 DAY END AS dated
+      FROM revenue_ruled WHERE rule_reason IS NULL)) WHERE rn = 1),
 fx1 AS (SELECT local_currency, base_currency, date, fx_rate FROM fx_cls WHERE quarantine_reason IS NULL),
 fx_b2 AS (
   SELECT local_currency, base_currency, date, fx_rate FROM (
@@ -244,12 +249,17 @@ SELECT event_id, value_text, {to_double('value_text')} AS value_num FROM (
                            ELSE 'NaN' END AS value_text
   FROM events)""",
     "coerce_timestamp": """
-SELECT event_id, ts_text, strftime(TRY_CAST(trim(ts_text) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS ts_parsed FROM (
+SELECT event_id, ts_text, strftime(ts_parsed, '%Y-%m-%d %H:%M:%S') AS ts_parsed FROM (
   SELECT event_id,
-         CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+         CASE event_id % 7 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
                            WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
                            WHEN 2 THEN strftime(ts, '%Y-%m-%d')
-                           ELSE 'not a time' END AS ts_text
+                           WHEN 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:30'
+                           WHEN 4 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z'
+                           WHEN 5 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-0800'
+                           ELSE 'not a time' END AS ts_text,
+         CASE event_id % 7 WHEN 2 THEN date_trunc('day', ts) WHEN 3 THEN ts - INTERVAL 330 MINUTE
+                           WHEN 5 THEN ts + INTERVAL 8 HOUR WHEN 6 THEN NULL ELSE ts END AS ts_parsed
   FROM events)""",
     "currency_normalise": """
 SELECT row_ord, currency_text, currency_code FROM revenue_norm""",
@@ -367,6 +377,39 @@ SELECT company_id, month, revenue, currency FROM rev_clean""",
     "load_expense": """
 SELECT company_id, month, revenue, expenses, currency FROM fact""",
     "load_fx": "SELECT local_currency, base_currency, date, fx_rate FROM fx1",
+    "load_metrics": """
+SELECT company_id, month, revenue, expenses, gross_profit, gross_margin_pct, mom_revenue_growth_pct,
+       rolling_3m_revenue FROM fact_m""",
+    "load_metrics_one": """
+SELECT company_id, month, revenue, expenses, CASE WHEN company_id = '7' THEN gross_profit END AS gross_profit,
+       CASE WHEN company_id = '7' THEN gross_margin_pct END AS gross_margin_pct,
+       CASE WHEN company_id = '7' THEN mom_revenue_growth_pct END AS mom_revenue_growth_pct,
+       CASE WHEN company_id = '7' THEN rolling_3m_revenue END AS rolling_3m_revenue FROM fact_m""",
+    "metrics_run": """
+SELECT scope, 'success' AS status, 'Metrics computed and saved for ' || eligible_rows || ' eligible rows.' AS message,
+       total_rows, eligible_rows, total_rows AS updated_rows FROM (
+  SELECT 'all' AS scope, count(*) AS total_rows, count(*) FILTER (WHERE elig) AS eligible_rows FROM fact_w
+  UNION ALL SELECT 'one', count(*), count(*) FILTER (WHERE elig) FROM fact_w WHERE company_id = '7')""",
+    "scan_quoted": """
+SELECT CAST(c_custkey AS VARCHAR) AS company_id,
+       c_name || CASE c_custkey % 4 WHEN 0 THEN ', "Ltd"' WHEN 1 THEN chr(10) || 'Inc, 2,b,c' WHEN 2 THEN '"' || chr(10) || '"' ELSE '' END AS name,
+       c_mktsegment AS industry, n_name || CASE WHEN c_custkey % 5 = 0 THEN chr(10) || '9,x,y,z' ELSE '' END AS country
+FROM customer JOIN nation ON c_nationkey=n_nationkey""",
+    "late_records": """
+SELECT f.company_id, f.month, CASE WHEN late THEN f.revenue ELSE s.revenue * 2 END AS revenue,
+       strftime(CASE WHEN late THEN CAST(f.updated_at AS DATE) ELSE CAST(s.dated AS DATE) END, '%Y-%m-%d') AS revenue_updated_at,
+       CASE WHEN late THEN 'stale' ELSE 'update' END AS action
+FROM (SELECT f.company_id, f.month, f.revenue, f.updated_at, CAST(s.dated AS DATE) < CAST(f.updated_at AS DATE) AS late
+      FROM rev_clean f JOIN revenue_b2 s ON f.company_id = s.company_id AND f.month = s.month) f
+JOIN revenue_b2 s ON f.company_id = s.company_id AND f.month = s.month""",
+    "fact_as_json": f"""
+SELECT '{','.join(f.name for f in FACT_FINANCIALS.fields)}' AS json_keys, f.company_id, f.month, m.revenue, m.expenses, m.currency, gross_profit,
+       gross_margin_pct, mom_revenue_growth_pct, rolling_3m_revenue, strftime(revenue_updated_at, '%Y-%m-%d') AS revenue_updated_at,
+       strftime(expenses_updated_at, '%Y-%m-%d') AS expenses_updated_at,
+       CASE WHEN revenue_pipeline_load_uuid IS NOT NULL THEN '2024-03-01T00:00:00' END AS revenue_pipeline_loaded_at,
+       CASE WHEN expense_pipeline_load_uuid IS NOT NULL THEN '2024-03-01T00:00:00' END AS expense_pipeline_loaded_at,
+       revenue_pipeline_load_uuid, expense_pipeline_load_uuid, '2024-03-01T00:00:00' AS updated_at
+FROM fact f JOIN fact_m m ON f.company_id = m.company_id AND f.month = m.month""",
 }
 
 

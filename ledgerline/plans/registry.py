@@ -23,8 +23,9 @@ from ledgerline.plans import read as R
 from ledgerline.plans.cleanse import cleanse, with_zone
 from ledgerline.plans.entities import COMPANY, EXPENSE, FX, REVENUE
 from ledgerline.plans.oracle_sql import UUID2, UUID_FX2
-from ledgerline.session import apply_required_conf
+from ledgerline.session import apply_required_conf, new_run_dir
 from ledgerline.sources import fixtures as X
+from ledgerline.sources.csv import read_feed, write_feed
 
 ENTITIES = ("company", "revenue", "expense", "fx_rate")
 ONE_COMPANY = "7"
@@ -72,10 +73,14 @@ def coerce_numeric(spark, sf):
 
 
 def coerce_timestamp(spark, sf):
-    i = F.col("event_id") % 4
+    i = F.col("event_id") % 7
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     text = (F.when(i == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-             .when(i == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+             .when(i == 1, iso)
              .when(i == 2, F.date_format("ts", "yyyy-MM-dd"))
+             .when(i == 3, F.concat(iso, F.lit("+05:30")))
+             .when(i == 4, F.concat(iso, F.lit("Z")))
+             .when(i == 5, F.concat(iso, F.lit("-0800")))
              .otherwise(F.lit("not a time")))
     e = X.table(spark, sf, "events").select("event_id", text.alias("ts_text"))
     return e.select("event_id", "ts_text",
@@ -205,9 +210,9 @@ def fact_upsert(spark, sf):
 
 def fact_upsert_counts(spark, sf):
     empty = G.empty(spark, S.FACT_FINANCIALS)
-    f1 = G.merge_revenue(empty, D.clean(spark, sf, "revenue"), D.RUN_AT, with_action=True)
+    f1 = G.merge_revenue(empty, D.clean(spark, sf, "revenue"), D.RUN_AT, with_action=True, scoped=False)
     c1 = merge_counts(f1).select(F.lit("revenue").alias("step"), "*")
-    f2 = G.merge_expense(f1.drop(ACTION), D.clean(spark, sf, "expense"), D.RUN_AT, with_action=True)
+    f2 = G.merge_expense(f1.drop(ACTION), D.clean(spark, sf, "expense"), D.RUN_AT, with_action=True, scoped=False)
     c2 = merge_counts(f2).select(F.lit("expense").alias("step"), "*")
     return c1.unionByName(c2)
 
@@ -312,8 +317,49 @@ def audit_query(spark, sf):
         .select("entity", "stage", "status", "row_count")
 
 
+def load_metrics(spark, sf):
+    """The fact after the metrics run over all companies."""
+    return _run(spark, sf)["fact_after_metrics"].select(*_metric_cols())
+
+
+def load_metrics_one(spark, sf):
+    """The fact after the metrics run for one company, before the full run."""
+    return _run(spark, sf)["fact_after_one"].select(*_metric_cols())
+
+
+def metrics_run(spark, sf):
+    """What the two metrics runs reported about their scope."""
+    rows = [(scope, m["status"], m["message"], m["total_rows"], m["eligible_rows"], m["updated_rows"]) for scope, m in _run(spark, sf)["metrics"].items()]
+    return spark.createDataFrame(rows, "scope string, status string, message string, total_rows long, eligible_rows long, updated_rows long")
+
+
+def scan_quoted(spark, sf):
+    """A feed with quotes, commas and newlines in its fields, written as CSV
+    files and scanned back."""
+    path = f"{new_run_dir(spark, 'quoted')}/company.csv"
+    write_feed(X.company_quoted(spark, sf), path, order_by="row_ord")
+    return read_feed(spark, path).select("company_id", "name", "industry", "country")
+
+
+def late_records(spark, sf):
+    """A second revenue feed under the newest-wins rule: what happens to each
+    row of the fact."""
+    b2 = G.stamp(D.with_row_id(X.revenue_batch2(spark, sf)), D.RUN_AT, UUID2)
+    clean2 = cleanse(b2, REVENUE, D.dim_keys(spark, sf)).where(F.col(S.REASON).isNull())
+    fact = G.merge_revenue(G.empty(spark, S.FACT_FINANCIALS), D.clean(spark, sf, "revenue"), D.RUN_AT, scoped=False)
+    merged = G.merge_revenue(fact, clean2, D.RUN_AT, with_action=True, scoped=False, on_conflict="newest")
+    return merged.select("company_id", "month", "revenue", _fmt_date("revenue_updated_at").alias("revenue_updated_at"), F.col(ACTION).alias("action"))
+
+
 def fact_as_json(spark, sf):
-    return R.as_json(D.fact_table(spark, sf))
+    """The fact as JSON rows, read back: its keys in order and its values (the
+    two engines write floats differently, so text is not compared)."""
+    j = R.as_json(D.fact_table(spark, sf))
+    kinds = {f.name: f.dataType.typeName() for f in S.FACT_FINANCIALS.fields}
+    value = {c: F.get_json_object("json", f"$.{c}") for c in kinds}
+    value |= {c: value[c].cast("double") for c, k in kinds.items() if k == "double"}
+    value["rolling_3m_revenue"] = F.round(value["rolling_3m_revenue"], 2)
+    return j.select(F.array_join(F.json_object_keys("json"), ",").alias("json_keys"), *[v.alias(c) for c, v in value.items()])
 
 
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -371,4 +417,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _wrap(v) for
     "load_expense": load_expense,
     "load_fx": load_fx,
     "fact_as_json": fact_as_json,
+    "load_metrics": load_metrics,
+    "load_metrics_one": load_metrics_one,
+    "metrics_run": metrics_run,
+    "scan_quoted": scan_quoted,
+    "late_records": late_records,
 }.items()}

@@ -53,13 +53,12 @@ def company_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def company_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A later company feed: every customer with a positive balance, renamed."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
-                                                "c_mktsegment", "c_acctbal")
+    """A later company feed: every customer, renamed, under an id 50 higher, so
+    that some ids are known and some are new."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (c.where(F.col("c_acctbal") > 0)
-             .join(n, c.c_nationkey == n.n_nationkey)
-             .select(F.col("c_custkey").cast("string").alias("company_id"),
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+             .select((F.col("c_custkey") + 50).cast("string").alias("company_id"),
                      F.upper(F.col("c_name")).alias("name"),
                      F.col("c_mktsegment").alias("industry"),
                      F.col("n_name").alias("country"),
@@ -67,6 +66,27 @@ def company_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("c_custkey").alias("row_ord")))
 
 
+def company_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A company feed with quotes, commas and newlines inside its fields, also
+    in the last column."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("c_custkey")
+    tail = (F.when(k % 4 == 0, F.lit(', "Ltd"')).when(k % 4 == 1, F.lit("\nInc, 2,b,c")).when(k % 4 == 2, F.lit('"\n"')).otherwise(F.lit("")))
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+             .select(k.cast("string").alias("company_id"), F.concat("c_name", tail).alias("name"), F.col("c_mktsegment").alias("industry"),
+                     F.concat("n_name", F.when(k % 5 == 0, F.lit("\n9,x,y,z")).otherwise(F.lit(""))).alias("country"), k.alias("row_ord")))
+
+
+def revenue_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later revenue feed: every order again, twice the amount; records of even
+    orders are dated 10 days earlier, of odd ones 10 days later."""
+    r = revenue_raw(spark, sf_dir)
+    even = F.col("row_ord") % 2 == 0
+    shift = F.when(even, F.expr("INTERVAL -10 DAYS")).otherwise(F.expr("INTERVAL 10 DAYS"))
+    return r.withColumn("updated_at", F.col("updated_at") + shift).withColumn("revenue", F.col("revenue") * 2)
+
+
 def revenue_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")

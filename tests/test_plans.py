@@ -75,3 +75,15 @@ def test_no_broadcast_hints_in_the_library():
     src = "\n".join(p.read_text() for p in root.rglob("*.py") if p.relative_to(root).parts[0] != "llm")
     assert "broadcast(" not in src and ".hint(" not in src
     assert "localCheckpoint" not in src
+
+
+def test_zone_write_does_not_sort(spark):
+    from ledgerline.session import SCALE_CONF
+
+    assert int(SCALE_CONF["spark.sql.maxConcurrentOutputFileWriters"]) >= 2
+
+
+def test_order_columns_do_not_ride_through_the_row_id_join(spark):
+    df = spark.createDataFrame([("a", 1, 1)], "k string, v long, _row_id long").withColumn(S.REASON, F.lit(None).cast("string"))
+    out = mark_superseded(df, ["k"], [OrderKey("v")], drop=["v"])
+    assert out.columns == ["k", "_row_id", S.REASON]

@@ -54,3 +54,24 @@ def test_retried_batch_is_skipped_once_published(spark, workdir):
     with pytest.raises(AlreadyLoaded):
         load_frame(spark, store, "company", read_feed(spark, p), 4, p, load_uuid="batch-0", stage_mode="overwrite")
     assert store.current_version("dim_company") == v == "batch-0"
+
+
+def test_malformed_files_are_set_aside_and_new_companies_seen(spark, workdir):
+    from conftest import _write_text
+    from ledgerline.streaming.intake import rejected_files
+
+    hdr = "company_id,name,industry,country\n"
+    store = Store(spark, workdir)
+    load_entity(spark, store, "company", _write_text(f"{workdir}/in/c1.csv", hdr + "1,a,b,c\n"))
+    drop = f"{workdir}/drop"
+    rev = "company_id,month,revenue,currency,updated_at\n"
+    _write_text(f"{drop}/a.csv", rev + '1,2024-01,1,"US\nD",2024-01-01\n1,2024-02,2,USD,2024-01-01\n')
+    _write_text(f"{drop}/b.csv", "company_id,revenue,month,currency,updated_at\n1,3,2024-03,USD,2024-01-01\n")
+    _write_text(f"{drop}/c.csv", rev + "1,2024-04,4,USD,2024-01-01,EXTRA,EXTRA\n")
+    _write_text(f"{drop}/d.csv", rev + "2,2024-05,5,USD,2024-01-01\n")
+    load_entity(spark, Store(spark, workdir), "company", _write_text(f"{workdir}/in/c2.csv", hdr + "2,a,b,c\n"))
+    _, results = intake(spark, store, "revenue", drop)
+    got = {r.month: r.revenue for r in read_golden(store, "fact_company_monthly_financials").collect()}
+    assert got == {"2024-02": 2.0, "2024-05": 5.0}  # the quoted newline stays in its row, whose currency is unknown
+    bad = {r.file.rsplit("/", 1)[-1] for r in rejected_files(spark, store, "revenue").collect()}
+    assert bad == {"b.csv", "c.csv"} and len(results) >= 1
