@@ -6,12 +6,19 @@ combines map-side, so a key that holds a large share of all rows is reduced
 inside every input task before the shuffle, while a window would sort that
 whole group in one task. The winners (one row id per key) are then joined
 back on the unique row id, which spreads evenly whatever the key skew.
+
+When the order is at most one time followed by a unique whole number (the row's
+place in its feed), both are packed into one DECIMAL. Its ``max`` is a hash
+aggregate, so map tasks do not sort their rows, and the row's place is read
+back from it and serves as the row id. Other orders take a struct, which Spark
+aggregates by sorting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,24 +71,54 @@ def winner_expr(df: DataFrame, order: Sequence[OrderKey]) -> tuple[Column, str]:
     return F.struct(*parts), ("max" if use_max else "min")
 
 
+#: Times and places lie within +-2**62; a packed order is time * 10**19 + place.
+_HALF, _FULL, _SHIFT = 1 << 62, (1 << 63) - 1, Decimal(10) ** 19
+
+
+def packed_order(df: DataFrame, order: Sequence[OrderKey]) -> tuple[Column, Column, str] | None:
+    """(order as one number to maximise, place from that number, place column),
+    or None if the order is of another form."""
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
+    if not 1 <= len(order) <= 2 or not isinstance(dtypes[order[-1].column], T.LongType):
+        return None
+    place = order[-1]
+    at = F.col(place.column)
+    number = (at if place.descending else -at) + F.lit(_HALF)
+    if len(order) == 2:
+        time = order[0]
+        value, _ = _sortable(F.col(time.column), dtypes[time.column])
+        if not isinstance(dtypes[time.column], (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return None
+        value = F.coalesce((value if time.descending else -value) + F.lit(_HALF), F.lit(0 if time.nulls_last else _FULL))
+        number = value.cast("decimal(19,0)") * F.lit(_SHIFT).cast("decimal(20,0)") + number.cast("decimal(19,0)")
+    back = F.pmod(F.col("w"), F.lit(_SHIFT).cast("decimal(20,0)")).cast("bigint") - F.lit(_HALF)
+    return number, back if place.descending else -back, place.column
+
+
 def mark_superseded(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
                     row_id: str = ROW_ID, reason_col: str = REASON,
                     reason: str = SUPERSEDED_BY_CORRECTION, drop: Sequence[str] = ()) -> DataFrame:
     """Among rows with no reason yet, all but the first per key get ``reason``.
 
-    ``drop``: columns that only the order needs; they do not go through the
-    join on the row id.
+    ``drop``: columns that only the order needs; they are not returned. The
+    last order column, if it is a BIGINT, has to be unique.
 
     Rows that already carry a reason take no part, so a bad newer row never
     supersedes a good older one.
     """
-    ordering, how = winner_expr(df, order)
-    pick = F.max if how == "max" else F.min
     survivors = df.where(F.col(reason_col).isNull())
-    winners = (survivors
-               .groupBy(*keys)
-               .agg(pick(F.struct(ordering.alias("o"), F.col(row_id).alias("id"))).alias("w"))
-               .select(F.col("w.id").alias(row_id), F.lit(True).alias("_winner")))
+    packed = packed_order(df, order)
+    if packed is not None:
+        number, place, row_id = packed
+        winners = (survivors.groupBy(*keys).agg(F.max(number).alias("w"))
+                   .select(place.alias(row_id), F.lit(True).alias("_winner")))
+    else:
+        ordering, how = winner_expr(df, order)
+        pick = F.max if how == "max" else F.min
+        winners = (survivors
+                   .groupBy(*keys)
+                   .agg(pick(F.struct(ordering.alias("o"), F.col(row_id).alias("id"))).alias("w"))
+                   .select(F.col("w.id").alias(row_id), F.lit(True).alias("_winner")))
     marked = (F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
                .when(F.col("_winner").isNull(), F.lit(reason)).alias(reason_col))
     return (df.join(winners, row_id, "left")

@@ -22,6 +22,20 @@ def files_of(spark: SparkSession, path: str | list[str]) -> tuple[str | None, in
     return min((p for p, _, _ in found if p), default=None), max((n for _, n, _ in found), default=0)
 
 
+def few_files(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int]] | None:
+    """(file, length) of the feed's files by path, if the driver may list them."""
+    found: list[tuple[str, int]] = []
+    todo = [path] if isinstance(path, str) else list(path)
+    while todo:
+        here = fs.listing(spark, todo.pop())
+        if here is None or len(found) + len(todo) + len(here) > fs.FEW:
+            return None
+        shown = [x for x in here if fs.shown(x[0])]
+        found += [(p, n) for p, folder, n in shown if not folder and n]
+        todo += [p for p, folder, _ in shown if folder]
+    return sorted(found)
+
+
 def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names from the first file's header line (read on the driver, no
     Spark job). The scan checks that every other file has the same header."""
@@ -73,23 +87,31 @@ def csv_options(reader, multiline: bool = False):
                   .option("columnNameOfCorruptRecord", "_corrupt_record"))
 
 
-def with_position(df: DataFrame, file_col=None, block_col=None) -> DataFrame:
-    """Add ``_row_id`` (unique) and ``row_ord`` = (file, block start, row id),
-    a total order equal to the order of the rows in their files."""
-    file_col = file_col if file_col is not None else F.col("_metadata.file_path")
-    block_col = block_col if block_col is not None else F.col("_metadata.file_block_start")
-    return (df.withColumn(ROW_ID, F.monotonically_increasing_id())
-              .withColumn(ROW_ORD, F.struct(file_col.alias("file"), block_col.alias("block"),
-                                            F.col(ROW_ID).alias("pos"))))
+#: A place in a feed: file (10 bits), block of 64 KiB (20 bits), row (33 bits).
+_BLOCK, _BLOCKS, _FILES, _ROWS = 1 << 16, 1 << 20, 1 << 9, 1 << 33
+
+
+def with_position(df: DataFrame, files: list[tuple[str, int]] | None = None) -> DataFrame:
+    """Add ``_row_id`` (unique) and ``row_ord``, a total order equal to the order
+    of the rows in their files, files by path. With the sorted ``files`` (path
+    and length) at hand it is one BIGINT, else a struct (file, block, row id)."""
+    df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    block = F.col("_metadata.file_block_start")
+    names = [p.rsplit("/", 1)[-1] for p, _ in files or []]
+    if names and len(set(names)) == len(names) < _FILES and all(n < _BLOCK * _BLOCKS for _, n in files):
+        number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("_metadata.file_name")) - 1
+        place = number * F.lit(_ROWS * _BLOCKS) + F.floor(block / F.lit(_BLOCK)) * F.lit(_ROWS) + F.pmod(F.col(ROW_ID), F.lit(_ROWS))
+        return df.withColumn(ROW_ORD, place.cast("bigint"))
+    return df.withColumn(ROW_ORD, F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.col(ROW_ID).alias("pos")))
 
 
 def read_feed(spark: SparkSession, path: str | list[str], multiline: bool | None = None,
               columns: list[str] | None = None) -> DataFrame:
     """All columns as STRING (types come from explicit parsing, never inference).
 
-    Adds ``row_ord`` = (file, block start, row id): a total order equal to
-    the file order, and ``_row_id``, unique per row. Both are taken at the
-    scan, stored in Bronze and read back from there, so they are computed once.
+    Adds ``row_ord``, a total order equal to the file order, and ``_row_id``,
+    unique per row. Both are taken at the scan, stored in Bronze and read back
+    from there, so they are computed once.
     Short rows are padded with NULL; rows with too many fields fail the load,
     and so does a file whose header differs from the first one's (the scan
     raises it).
@@ -104,7 +126,7 @@ def read_feed(spark: SparkSession, path: str | list[str], multiline: bool | None
     elif not multiline and has_quoted_newline(spark, path):
         raise FeedError(f"quoted newline in {path}: it cannot be split at lines")
     df = csv_options(spark.read.schema(text_schema(cols)), multiline).csv(path)
-    return with_position(df)
+    return with_position(df, few_files(spark, path))
 
 
 def too_long(corrupt: Column, n_cols: int) -> Column:

@@ -49,7 +49,7 @@ def modified(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else 0
 
 
-def _shown(path: str) -> bool:
+def shown(path: str) -> bool:
     return not path.rsplit("/", 1)[-1].startswith((".", "_"))
 
 
@@ -61,7 +61,7 @@ def data_files(spark: SparkSession, path: str) -> tuple[str | None, int, int]:
         row = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
                .agg(F.min("path"), F.max("length"), F.count("*")).first())
         return row[0], row[1] or 0, row[2]
-    parts = [data_files(spark, p) if folder else (p, n, 1) for p, folder, n in found if _shown(p) and (folder or n)]
+    parts = [data_files(spark, p) if folder else (p, n, 1) for p, folder, n in found if shown(p) and (folder or n)]
     return (min((p for p, _, _ in parts if p), default=None), max((n for _, n, _ in parts), default=0), sum(k for _, _, k in parts))
 
 

@@ -156,3 +156,26 @@ def test_strict_months_switch(spark):
     assert _reasons(cleanse(_rev(spark, rows), REVENUE, dim)) == {1: None, 2: None, 3: None}
     strict = cleanse(_rev(spark, rows), REVENUE, dim, CleansePolicy(strict_months=True))
     assert _reasons(strict) == {1: None, 2: S.INVALID_MONTH, 3: None}
+
+
+def test_packed_and_struct_orders_agree(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    from ledgerline import schemas as S
+    from ledgerline.operators.dedup import OrderKey, mark_superseded, packed_order
+
+    r = random.Random(6)
+    rows = [(f"k{r.randrange(40)}", None if r.random() < 0.2 else dt.datetime(1900, 1, 1) + dt.timedelta(days=r.randrange(5) * 40000, microseconds=r.randrange(3)),
+             i * (1 << 40) + r.randrange(9), i, "BAD" if r.random() < 0.1 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, f"k string, t timestamp_ntz, row_ord long, _row_id long, {S.REASON} string")
+    for desc in (True, False):
+        for nulls_last in (True, False):
+            for order in ([OrderKey("t", True, nulls_last), OrderKey("row_ord", desc)], [OrderKey("row_ord", desc)]):
+                assert packed_order(df, order) is not None
+                got = {x._row_id for x in mark_superseded(df, ["k"], order).where(F.col(S.REASON).isNull()).collect()}
+                slow = df.withColumn("row_ord", F.col("row_ord").cast("decimal(38,0)"))
+                assert packed_order(slow, order) is None
+                assert got == {x._row_id for x in mark_superseded(slow, ["k"], order).where(F.col(S.REASON).isNull()).collect()}

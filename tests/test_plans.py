@@ -37,6 +37,16 @@ def test_keep_latest_is_an_aggregate_not_a_window(spark):
     assert "partial_max" in plan or "partial_min" in plan
 
 
+def test_keep_latest_by_time_and_place_hashes(spark, workdir):
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1)], "k string, t timestamp_ntz, row_ord long").withColumn(
+        S.REASON, F.lit(None).cast("string"))
+    df.write.parquet(f"{workdir}/d")
+    for order in ([OrderKey("t"), OrderKey("row_ord")], [OrderKey("t"), OrderKey("row_ord", descending=False)], [OrderKey("row_ord")]):
+        plan = _plan(mark_superseded(spark.read.parquet(f"{workdir}/d"), ["k"], order, drop=["row_ord"]))
+        winners = plan[plan.index("HashAggregate"):]
+        assert "SortAggregate" not in plan and "Sort [" not in winners
+
+
 def test_filters_reach_the_parquet_scan(spark, workdir):
     fact = _fact(spark, f"{workdir}/fact")
     plan = _plan(read_financials(fact, company_id="2", currency="usd"))
