@@ -14,8 +14,9 @@ or bigrams are dealt to partitions as compressed arrays, where the counts of
 all chunks meet. Three exchanges:
 
 1. words, by word: counts of each word, sent back to the chunks that hold it;
-2. bigrams, by history: the partitioned table of bigram counts, its sums per
-   history, and for each document the sums of its bigrams in that partition;
+2. bigrams, by history (but for histories of one chunk only): the partitioned
+   table of bigram counts, its sums per history, and for each document the sums
+   of its bigrams in that partition;
 3. those sums, by chunk: one row per document.
 
 Counting adds up within a chunk first, so a word or pair that a third of all
@@ -62,12 +63,23 @@ TOP = 5  # counts up to this are discounted
 _END, _START = b" ", b"\x00 "  # no words, as they hold a blank
 
 
+#: Arrays of small numbers, which compress better byte by byte of their width.
+_BY_BYTE = {"tokens", "cw", "ch", "ct", "entries", "doc", "times"}
+
+
 def _pack(**arrays) -> bytes:
+    for name in _BY_BYTE & arrays.keys():
+        x = np.ascontiguousarray(arrays[name])
+        arrays[name] = (x.dtype.str, np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T))
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, 5))
 
 
 def _unpack(data) -> dict:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(bytes(data)))
+    arrays = pickle.loads(zstandard.ZstdDecompressor().decompress(bytes(data)))
+    for name in _BY_BYTE & arrays.keys():
+        kind, planes = arrays[name]
+        arrays[name] = np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+    return arrays
 
 
 def _hash(word: bytes) -> int:
@@ -131,45 +143,52 @@ class _Numbers(dict):
         return n
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str) -> DataFrame:
-    """(chunk, payload): tokens as numbers of the chunk's words, with the ids,
-    flags and lengths of its documents."""
-    src = docs.select(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{held_col}`"), F.lit(True)), F.col(f"`{text_col}`").cast("string"))
+def _source(docs: DataFrame, id_col: str, text_col: str, held_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{held_col}`"), F.lit(True)), F.col(f"`{text_col}`").cast("string"))
+
 
+def _chunks(batches):
+    """(chunk, arrays): the documents of a task in chunks of tokens: tokens as
+    numbers of the chunk's words, and the documents' ids, flags and lengths."""
+    task, seq = TaskContext.get().partitionId(), 0
+    number, tokens, lengths, held, ids, size = _Numbers({_END: 0}), [], [], [], [], 0
+
+    def chunk():
+        words = np.fromiter(map(_hash, number), np.uint64, len(number))
+        table = pa.Table.from_arrays([pa.chunked_array(ids)], names=["id"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        return (task << 24) + seq, {"words": words, "tokens": np.concatenate(tokens), "lengths": np.array(lengths, np.int64),
+                                    "held": np.array(held, bool), "ids": sink.getvalue().to_pybytes()}
+
+    for b in batches:
+        first = 0
+        flags = b.column(1).to_pylist()
+        for i, text in enumerate(b.column(2).to_pylist()):
+            w = as_bytes(text).lower().split()
+            w.append(_END)
+            tokens.append(np.fromiter(map(number.__getitem__, w), np.uint32, len(w)))
+            lengths.append(len(w))
+            held.append(flags[i])
+            size += len(w)
+            if size >= CHUNK_TOKENS:
+                ids.append(b.column(0).slice(first, i + 1 - first))
+                yield chunk()
+                number, tokens, lengths, held, ids, size, first, seq = _Numbers({_END: 0}), [], [], [], [], 0, i + 1, seq + 1
+        if first < b.num_rows:
+            ids.append(b.column(0).slice(first))
+    if lengths:
+        yield chunk()
+
+
+def _sent_chunks(src: DataFrame) -> DataFrame:
+    """(chunk, bucket, payload) with bucket -1."""
     def run(batches):
-        task, seq = TaskContext.get().partitionId(), 0
-        number, tokens, lengths, held, ids, size = _Numbers({_END: 0}), [], [], [], [], 0
-
-        def row():
-            words = np.fromiter(map(_hash, number), np.uint64, len(number))
-            table = pa.Table.from_arrays([pa.chunked_array(ids)], names=["id"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema) as w:
-                w.write_table(table)
-            data = _pack(words=words, tokens=np.concatenate(tokens), lengths=np.array(lengths, np.int64), held=np.array(held, bool),
-                         ids=sink.getvalue().to_pybytes())
-            return pa.RecordBatch.from_arrays([pa.array([(task << 24) + seq], pa.int64()), pa.array([data], pa.binary())], names=["chunk", "payload"])
-
-        for b in batches:
-            first = 0
-            flags = b.column(1).to_pylist()
-            for i, text in enumerate(b.column(2).to_pylist()):
-                w = as_bytes(text).lower().split()
-                w.append(_END)
-                tokens.append(np.fromiter(map(number.__getitem__, w), np.uint32, len(w)))
-                lengths.append(len(w))
-                held.append(flags[i])
-                size += len(w)
-                if size >= CHUNK_TOKENS:
-                    ids.append(b.column(0).slice(first, i + 1 - first))
-                    yield row()
-                    number, tokens, lengths, held, ids, size, first, seq = _Numbers({_END: 0}), [], [], [], [], 0, i + 1, seq + 1
-            if first < b.num_rows:
-                ids.append(b.column(0).slice(first))
-        if lengths:
-            yield row()
-
-    return src.mapInArrow(run, "chunk long, payload binary")
+        for chunk, u in _chunks(batches):
+            yield _row(-1, chunk, _pack(**u))
+
+    return src.mapInArrow(run, "bucket long, chunk long, payload binary").select("chunk", "bucket", "payload")
 
 
 def _by_bucket(bucket: np.ndarray):
@@ -181,14 +200,28 @@ def _by_bucket(bucket: np.ndarray):
 
 
 def _pairs(u: dict):
-    """History and word numbers of all tokens; the number after the last word
+    """Starts of documents, and for each token the number of its bigram, which
+    is history * (words + 1) + word; the history after the last word's number
     is the start of a document."""
     start = np.concatenate(([0], np.cumsum(u["lengths"])[:-1]))
-    word = u["tokens"].astype(np.int64)
-    history = np.empty_like(word)
-    history[1:] = word[:-1]
-    history[start] = len(u["words"])
-    return start, history, word
+    n = len(u["words"])
+    key = np.empty(len(u["tokens"]), np.int64)
+    key[1:] = u["tokens"][:-1]
+    key[start] = n
+    key *= n + 1
+    key += u["tokens"]
+    return start, key
+
+
+def _kinds(key: np.ndarray):
+    """(distinct values, position of each value among them), like np.unique,
+    with 32-bit positions and little memory."""
+    order = np.argsort(key, kind="stable")
+    new = np.ones(len(key), bool)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    kind = np.empty(len(key), np.int32)
+    kind[order] = np.cumsum(new, dtype=np.int32) - 1
+    return key[order[new]], kind
 
 
 def _runs(batches, width: int):
@@ -215,25 +248,26 @@ def _dealt(df: DataFrame, number: int, key: str, *then: str) -> DataFrame:
 REPLY, NUMBERS, PAIR = 0, 1, 2
 
 
-def _word_counts(made: DataFrame, buckets: int, partitions: int) -> DataFrame:
+def _word_counts(src: DataFrame, buckets: int, partitions: int) -> DataFrame:
     """(kind, chunk, bucket, payload, numbers): replies, numbers and pairs."""
     def ask(batches):
-        for b in batches:
-            for chunk, data in zip(b.column(0).to_pylist(), b.column(1)):
-                u = _unpack(data.as_py())
-                train = np.repeat(~u["held"], u["lengths"])
-                counts = np.bincount(u["tokens"][train], minlength=len(u["words"]))
-                rows = [(k, chunk, 0, _pack(w=u["words"][at], c=counts[at].astype(np.uint32)))
-                        for k, at in _by_bucket(u["words"] % np.uint64(buckets))]
-                _, history, word = _pairs(u)
-                keys, n = np.unique((history * (len(u["words"]) + 1) + word)[train], return_counts=True)
-                often = n >= max(2, HOT_PAIR * len(word))
-                if often.any():
-                    names = np.append(u["words"], START_HASH)
-                    h, w = (names[x] for x in np.divmod(keys[often], len(names)))
-                    rows += [(k, chunk, 1, _pack(h=h[at], w=w[at], c=n[often][at])) for k, at in _by_bucket(_mix(h, w) % np.uint64(buckets))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.int32(), pa.binary()])],
-                                                 names=["bucket", "chunk", "pairs", "payload"])
+        for chunk, u in _chunks(batches):
+            train = np.repeat(~u["held"], u["lengths"])
+            counts = np.bincount(u["tokens"][train], minlength=len(u["words"]))
+            every = np.bincount(u["tokens"], minlength=len(u["words"]))
+            rows = [(k, chunk, 0, _pack(w=u["words"][at], c=counts[at].astype(np.uint32), a=every[at].astype(np.uint32)))
+                    for k, at in _by_bucket(u["words"] % np.uint64(buckets))]
+            key = _pairs(u)[1][train]
+            key.sort()
+            first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1])))
+            n = np.diff(np.append(first, len(key)))
+            often = n >= max(2, HOT_PAIR * len(train))
+            if often.any():
+                names = np.append(u["words"], START_HASH)
+                h, w = (names[x] for x in np.divmod(key[first[often]], len(names)))
+                rows += [(k, chunk, 1, _pack(h=h[at], w=w[at], c=n[often][at])) for k, at in _by_bucket(_mix(h, w) % np.uint64(buckets))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.int32(), pa.binary()])],
+                                             names=["bucket", "chunk", "pairs", "payload"])
 
     def answer(batches):
         for bucket, rows in _runs(batches, 4):
@@ -241,10 +275,12 @@ def _word_counts(made: DataFrame, buckets: int, partitions: int) -> DataFrame:
             out = []
             if asked:
                 words, place = np.unique(np.concatenate([a["w"] for _, a in asked]), return_inverse=True)
-                total = np.bincount(place, np.concatenate([a["c"] for _, a in asked]), len(words)).astype(np.int64)
+                total, every = (np.bincount(place, np.concatenate([a[x] for _, a in asked]), len(words)).astype(np.int64) for x in "ca")
                 at = 0
                 for chunk, a in asked:
-                    out.append((REPLY, chunk, bucket, _pack(c=total[place[at:at + len(a["w"])]].astype(np.uint32 if total.max() < 1 << 32 else np.int64)), None))
+                    own = place[at:at + len(a["w"])]
+                    out.append((REPLY, chunk, bucket, _pack(c=total[own].astype(np.uint32 if total.max() < 1 << 32 else np.int64),
+                                                            only=np.packbits(every[own] == a["a"])), None))
                     at += len(a["w"])
                 low = np.bincount(total[total <= TOP + 1], minlength=TOP + 2)
                 out.append((NUMBERS, 0, bucket, None, [int(total.sum()), int((total > 0).sum()), *low[1:TOP + 2].tolist()]))
@@ -257,7 +293,7 @@ def _word_counts(made: DataFrame, buckets: int, partitions: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [
                 pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())])], names=["kind", "chunk", "bucket", "payload", "numbers"])
 
-    asked = made.mapInArrow(ask, "bucket long, chunk long, pairs int, payload binary")
+    asked = src.mapInArrow(ask, "bucket long, chunk long, pairs int, payload binary")
     return _dealt(asked, partitions, "bucket").mapInArrow(answer, "kind int, chunk long, bucket long, payload binary, numbers array<long>")
 
 
@@ -267,7 +303,7 @@ def _split_bound(tokens: int) -> int:
     return max(SPLIT, tokens // 1_000_000)
 
 
-def _bigrams(made: DataFrame, replies: DataFrame, words: Unigrams, train_docs: int, hot, buckets: int, buckets2: int, partitions: int) -> DataFrame:
+def _bigrams(src: DataFrame, replies: DataFrame, words: Unigrams, train_docs: int, hot, buckets: int, buckets2: int, partitions: int) -> DataFrame:
     """(bucket, chunk, payload): each chunk's bigrams by history bucket, and
     under a negative bucket the sums of its documents."""
     n, v, bound = words.tokens, words.types, _split_bound(words.tokens)
@@ -278,42 +314,60 @@ def _bigrams(made: DataFrame, replies: DataFrame, words: Unigrams, train_docs: i
             u = _unpack(rows[0][2])
             names = np.append(u["words"], START_HASH)
             nv = len(u["words"])
-            counts = np.zeros(nv + 1, np.int64)
+            counts, only = np.zeros(nv + 1, np.int64), np.zeros(nv + 1, bool)
             places = dict(_by_bucket(u["words"] % np.uint64(buckets)))
             for _, bucket, data in rows[1:]:
-                counts[places[bucket]] = _unpack(data)["c"]
-            start, history, word = _pairs(u)
-            c = counts[word]
-            doc = np.repeat(np.arange(len(start)), u["lengths"])
+                at, reply = places[bucket], _unpack(data)
+                counts[at], only[at] = reply["c"], np.unpackbits(reply["only"], count=len(at)).astype(bool)
+            c = counts[u["tokens"]]
+            start, key = _pairs(u)
             sums = {"base": np.add.reduceat(np.log10((c + 1) / (n + v + 1)), start), "known": np.add.reduceat((c > 0).astype(np.int64), start)}
+            del c
             counts[nv] = train_docs
-            keys, kind = np.unique(history * (nv + 1) + word, return_inverse=True)
-            h, w = np.divmod(keys, nv + 1)
-            entry, times = np.unique(kind * len(start) + doc, return_counts=True)
-            entry_kind, entry_doc = np.divmod(entry, len(start))
-            ct = np.bincount(kind[~u["held"][doc]], minlength=len(keys))
+            keys, kind = _kinds(key)
+            h, w = (x.astype(np.int32) for x in np.divmod(keys, nv + 1))
+            del key, keys
+            train = np.repeat(~u["held"], u["lengths"])
+            ct = np.bincount(kind[train], minlength=len(h)).astype(np.uint32)
+            entry = kind.astype(np.int64) * len(start)
+            entry += np.repeat(np.arange(len(start), dtype=np.int32), u["lengths"])
+            del kind, train
+            entry.sort()
+            first = np.flatnonzero(np.concatenate((np.ones(1, bool), entry[1:] != entry[:-1])))
+            times = np.diff(np.append(first, len(entry))).astype(np.uint32)
+            entry_kind, entry_doc = (x.astype(np.int32) for x in np.divmod(entry[first], len(start)))
+            del entry, first
             name = _mix(names[h], names[w])
             hot_at = np.searchsorted(hot_keys, name)
-            is_hot = hot_keys[np.minimum(hot_at, len(hot_keys) - 1)] == name if len(hot_keys) else np.zeros(len(keys), bool)
+            is_hot = hot_keys[np.minimum(hot_at, len(hot_keys) - 1)] == name if len(hot_keys) else np.zeros(len(h), bool)
+            del name
             e = is_hot[entry_kind]
-            yield _row(-1 - chunk, chunk, _pack(
-                ids=u["ids"], held=u["held"], lengths=u["lengths"], **sums, hot=hot_at[entry_kind[e]], hot_doc=entry_doc[e], hot_n=times[e]))
-            entries = np.where(is_hot, 0, np.bincount(entry_kind, minlength=len(keys)))
+            documents = _pack(ids=u["ids"], held=u["held"], lengths=u["lengths"], **sums, hot=hot_at[entry_kind[e]], hot_doc=entry_doc[e], hot_n=times[e])
+            entries = np.where(is_hot, 0, np.bincount(entry_kind, minlength=len(h)))
             entry_at = np.concatenate(([0], np.cumsum(entries)))
-            entry_doc, times = entry_doc[~e].astype(np.uint32), times[~e].astype(np.uint32)
+            entry_doc, times = entry_doc[~e].astype(np.uint32), times[~e]
+            del entry_kind, e
             ch = counts[h]
             key = _mix(names[w])
             bucket = _mix(names[h], key % (1 + ch // bound).astype(np.uint64)) % np.uint64(buckets2)
             key = np.where(ch < SHORT_KEY, key & np.uint64(0xFFFFFFFF), key)
             small = np.uint32 if n < 1 << 32 else np.int64
-            for b, at in _by_bucket(bucket):
-                own = np.repeat(entry_at[at], entries[at]) + _within(entries[at])
-                yield _row(b, chunk, _pack(h=names[h[at]], low=(key[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32), high=(key[at] >> np.uint64(32)).astype(np.uint32),
-                                           cw=counts[w[at]].astype(small), ch=ch[at].astype(small), ct=ct[at].astype(np.uint32),
-                                           entries=entries[at].astype(np.uint32), doc=entry_doc[own], times=times[own],
-                                           hot=np.where(is_hot[at], hot_at[at], -1).astype(np.int32)))
 
-    sent = made.select("chunk", F.lit(-1).cast("long").alias("bucket"), "payload").unionByName(replies.select("chunk", "bucket", "payload"))
+            def block(at):
+                own = np.repeat(entry_at[at], entries[at]) + _within(entries[at])
+                return {"h": names[h[at]], "low": (key[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32), "high": (key[at] >> np.uint64(32)).astype(np.uint32),
+                        "cw": counts[w[at]].astype(small), "ch": ch[at].astype(small), "ct": ct[at], "entries": entries[at].astype(np.uint32),
+                        "doc": entry_doc[own], "times": times[own], "hot": np.where(is_hot[at], hot_at[at], -1).astype(np.int32)}
+
+            # Histories that occur in this chunk only need no exchange: their sums are complete here.
+            alone = np.flatnonzero(only[h])
+            local = list(bucket_sums([(chunk, block(alone))], words, bound)) if len(alone) else []
+            yield _row(-1 - chunk, chunk, _pack(rows=[(DOCS, chunk, documents, None, None), *local]))
+            rest = np.flatnonzero(~only[h])
+            for b, at in _by_bucket(bucket[rest]):
+                yield _row(b, chunk, _pack(**block(rest[at])))
+
+    sent = _sent_chunks(src).unionByName(replies.select("chunk", "bucket", "payload"))
     return _dealt(sent, partitions, "chunk", "bucket").mapInArrow(run, "bucket long, chunk long, payload binary")
 
 
@@ -332,6 +386,58 @@ def _within(n: np.ndarray) -> np.ndarray:
 DOCS, SUMS, LOW_COUNTS, HISTORY, HOT = 0, 1, 2, 3, 4
 
 
+def bucket_sums(parts, words: Unigrams, bound: int):
+    """Rows of a bucket, which holds all bigrams of its histories (of a split one
+    all with some next words): ``parts`` has a block of each chunk."""
+    h, low, high, cw, ch, ct, hot = (np.concatenate([p[x] for _, p in parts]) for x in ("h", "low", "high", "cw", "ch", "ct", "hot"))
+    for _, p in parts:
+        p["n"] = len(p["h"])
+        for x in ("h", "low", "high", "cw", "ch", "ct", "hot"):
+            del p[x]
+    cw, ch = cw.astype(np.int64), ch.astype(np.int64)
+    key = high.astype(np.uint64) << np.uint64(32) | low
+    order = np.lexsort((key, h))
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (key[order][1:] != key[order][:-1])
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    one = order[new]  # a row of each kind of bigram, by history
+    total = np.bincount(kind, ct, len(one)).astype(np.int64)
+    h, cw, ch, hot = h[one], cw[one], ch[one], hot[one]
+    new_h = np.ones(len(one), bool)
+    new_h[1:] = h[1:] != h[:-1]
+    hist, first = np.cumsum(new_h) - 1, np.flatnonzero(new_h)
+    seen = total > 0
+    m = np.stack([np.bincount(hist, total == r, len(first)) for r in range(1, TOP + 1)], axis=1).astype(np.int64)
+    big = np.bincount(hist, np.where(total > TOP, total, 0), len(first)).astype(np.int64)
+    covered = np.bincount(hist, np.where(seen, words.p(cw), 0.0), len(first))
+    split = ch[first] >= bound
+    # The pseudo-count of a history: split ones always have it, others if no count is discounted.
+    total_h = ch[first] + (split | (m.sum(axis=1) == 0))
+    yield (LOW_COUNTS, 0, None, np.bincount(total[seen & (total <= TOP + 1)], minlength=TOP + 2).tolist(), None)
+    for i in np.flatnonzero(split):
+        yield (HISTORY, 0, None, [int(h[first[i]].astype(np.int64)), int(total_h[i]), int(big[i]), *m[i].tolist()], float(covered[i]))
+    for i in np.flatnonzero((hot >= 0) & seen):
+        yield (HOT, 0, None, [int(hot[i]), int(total[i]), int(total_h[hist[i]])], None)
+    with np.errstate(divide="ignore"):
+        value = np.where(seen, np.log10(np.maximum(total, 1)) - np.log10(np.maximum(total_h[hist], 1)), np.log10(words.p(cw)))
+    at = 0
+    for chunk, p in parts:
+        k = np.repeat(kind[at:at + p["n"]], p["entries"])
+        at += p["n"]
+        doc, times = p["doc"].astype(np.int64), p["times"].astype(np.int64)
+        if not len(k):
+            continue
+        docs, place = np.unique(doc, return_inverse=True)
+        ratios = [np.bincount(place, np.where(total[k] == r, times, 0), len(docs)).astype(np.uint32) for r in range(1, TOP + 1)]
+        back = np.flatnonzero(~seen[k] & (ch[k] > 0))  # tokens that need a backoff weight
+        f = hist[k[back]]
+        yield (SUMS, chunk, _pack(
+            docs=docs.astype(np.uint32), value=np.bincount(place, times * value[k], len(docs)), ratios=ratios,
+            back_doc=doc[back].astype(np.uint32), back_n=times[back].astype(np.uint32), history=np.where(split[f], h[k[back]], 0),
+            split=split[f], total=total_h[f], big=big[f], m=m[f].astype(np.uint32), covered=covered[f]), None, None)
+
+
 def _sums(bigrams: DataFrame, words: Unigrams, partitions: int) -> DataFrame:
     """(kind, chunk, payload, numbers, value): see the kinds above."""
     bound = _split_bound(words.tokens)
@@ -339,58 +445,13 @@ def _sums(bigrams: DataFrame, words: Unigrams, partitions: int) -> DataFrame:
     def run(batches):
         for bucket, rows in _runs(batches, 3):
             if bucket < 0:
-                out = [(DOCS, chunk, data, None, None) for _, chunk, data in rows]
+                out = [r for _, _, data in rows for r in _unpack(data)["rows"]]
             else:
-                out = list(bucket_sums([(chunk, _unpack(data)) for _, chunk, data in rows]))
+                out = bucket_sums([(chunk, _unpack(data)) for _, chunk, data in rows], words, bound)
             for r in out:
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(r, [pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.float64()])],
                                                  names=["kind", "chunk", "payload", "numbers", "value"])
 
-    def bucket_sums(parts):
-        h, low, high, cw, ch, ct, hot = (np.concatenate([p[x] for _, p in parts]) for x in ("h", "low", "high", "cw", "ch", "ct", "hot"))
-        cw, ch = cw.astype(np.int64), ch.astype(np.int64)
-        key = high.astype(np.uint64) << np.uint64(32) | low
-        order = np.lexsort((key, h))
-        new = np.ones(len(order), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (key[order][1:] != key[order][:-1])
-        kind = np.empty(len(order), np.int64)
-        kind[order] = np.cumsum(new) - 1
-        one = order[new]  # a row of each kind of bigram, by history
-        total = np.bincount(kind, ct, len(one)).astype(np.int64)
-        h, cw, ch, hot = h[one], cw[one], ch[one], hot[one]
-        new_h = np.ones(len(one), bool)
-        new_h[1:] = h[1:] != h[:-1]
-        hist, first = np.cumsum(new_h) - 1, np.flatnonzero(new_h)
-        seen = total > 0
-        m = np.stack([np.bincount(hist, total == r, len(first)) for r in range(1, TOP + 1)], axis=1).astype(np.int64)
-        big = np.bincount(hist, np.where(total > TOP, total, 0), len(first)).astype(np.int64)
-        covered = np.bincount(hist, np.where(seen, words.p(cw), 0.0), len(first))
-        split = ch[first] >= bound
-        # The pseudo-count of a history: split ones always have it, others if no count is discounted.
-        total_h = ch[first] + (split | (m.sum(axis=1) == 0))
-        yield (LOW_COUNTS, 0, None, np.bincount(total[seen & (total <= TOP + 1)], minlength=TOP + 2).tolist(), None)
-        for i in np.flatnonzero(split):
-            yield (HISTORY, 0, None, [int(h[first[i]].astype(np.int64)), int(total_h[i]), int(big[i]), *m[i].tolist()], float(covered[i]))
-        for i in np.flatnonzero((hot >= 0) & seen):
-            yield (HOT, 0, None, [int(hot[i]), int(total[i]), int(total_h[hist[i]])], None)
-        with np.errstate(divide="ignore"):
-            value = np.where(seen, np.log10(np.maximum(total, 1)) - np.log10(np.maximum(total_h[hist], 1)), np.log10(words.p(cw)))
-        at = 0
-        for chunk, p in parts:
-            k = np.repeat(kind[at:at + len(p["h"])], p["entries"])
-            at += len(p["h"])
-            doc, times = p["doc"].astype(np.int64), p["times"].astype(np.int64)
-            if not len(k):
-                continue
-            docs, place = np.unique(doc, return_inverse=True)
-            ratios = [np.bincount(place, np.where(total[k] == r, times, 0), len(docs)).astype(np.uint32) for r in range(1, TOP + 1)]
-            back = np.flatnonzero(~seen[k] & (ch[k] > 0))  # tokens that need a backoff weight
-            f = hist[k[back]]
-            yield (SUMS, chunk, _pack(
-                docs=docs.astype(np.uint32), value=np.bincount(place, times * value[k], len(docs)), ratios=ratios,
-                back_doc=doc[back].astype(np.uint32), back_n=times[back].astype(np.uint32), history=np.where(split[f], h[k[back]], 0),
-                split=split[f], total=total_h[f], big=big[f], m=m[f].astype(np.uint32), covered=covered[f]), None, None)
-
     return _dealt(bigrams, partitions, "bucket", "chunk").mapInArrow(run, "kind int, chunk long, payload binary, numbers array<long>, value double")
 
 
@@ -440,12 +501,12 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of
     each row; rows that are not held out train the model."""
     spark = prepare(docs.sparkSession)
-    made = chunks(docs, id_col, text_col, held_col)
+    src = _source(docs, id_col, text_col, held_col)
     flag = F.coalesce(F.col(f"`{held_col}`"), F.lit(True))
     size, train_docs = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")) + 6), F.count_if(~flag)).first()
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // (8 * BUCKET_ENTRIES) + 1)
     buckets = buckets2 = partitions
-    counted = _word_counts(made, buckets, partitions).checkpoint()
+    counted = _word_counts(src, buckets, partitions).checkpoint()
     sums = [r.n for r in counted.where(F.col("kind") == NUMBERS).select(F.posexplode("numbers").alias("i", "x")).groupBy("i")
             .agg(F.sum("x").alias("n")).orderBy("i").collect()] or [0] * (TOP + 3)
     words = Unigrams(sums[0], sums[1], [0, *sums[2:]])
@@ -453,7 +514,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     pairs = np.array([r.numbers[1:] for r in often], np.int64).reshape(-1, 2).view(np.uint64)
     hot_keys = np.sort(_mix(pairs[:, 0], pairs[:, 1])) if len(pairs) else np.zeros(0, np.uint64)
     replies = counted.where(F.col("kind") == REPLY)
-    bigrams = _bigrams(made, replies, words, train_docs, spark.sparkContext.broadcast(hot_keys), buckets, buckets2, partitions)
+    bigrams = _bigrams(src, replies, words, train_docs, spark.sparkContext.broadcast(hot_keys), buckets, buckets2, partitions)
     summed = _sums(bigrams, words, partitions).checkpoint()
     low = [r.n for r in summed.where(F.col("kind") == LOW_COUNTS).select(F.posexplode("numbers").alias("i", "x")).groupBy("i")
            .agg(F.sum("x").alias("n")).orderBy("i").collect()] or [0] * (TOP + 2)
