@@ -40,7 +40,7 @@ SUBSETS = 32
 LOOKUP_SLOTS = 65_536
 MAX_LEXICON = 5_000_000
 SEED = 7
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 MAX_BUCKETS = 10_000
 
 
@@ -128,6 +128,16 @@ def fingerprints(docs: DataFrame, lex: DataFrame, *, text_col: str = "text", nam
     return looked_up.select(*carried, fingerprint(F.col("__text"), F.col("__slots")).alias(name))
 
 
+def _rank(edges: list[int], key: Column, before) -> Column:
+    """How many of the ascending edges come before a key: first among every
+    n-th edge, then in the one block found, n about the root of their number."""
+    n = max(1, int(len(edges) ** 0.5))
+    blocks = F.array(*[F.array(*[F.lit(x).cast("long") for x in edges[i:i + n]]) for i in range(0, len(edges), n)])
+    heads = F.array(*[F.lit(x).cast("long") for x in edges[::n]])
+    return _let(F.size(F.filter(heads, lambda x: before(x, key))), lambda j: F.when(j == 0, 0).otherwise(
+        (j - 1) * n + F.size(F.filter(F.get(blocks, j - 1), lambda x: before(x, key)))))
+
+
 def with_next(docs: DataFrame, order_col: str, payload: list[str], derive=lambda df: df) -> DataFrame:
     """``derive(docs)`` with ``next``, the ``payload`` of the row that follows
     in descending order (nulls last; equal keys by ``__tie``); the first row
@@ -143,9 +153,8 @@ def with_next(docs: DataFrame, order_col: str, payload: list[str], derive=lambda
     parts = min(MAX_BUCKETS, total // BUCKET_ROWS + 1)
     if parts > 1:
         at = rows.agg(F.percentile_approx("__key", [i / parts for i in range(1, parts)], 10 * parts)).first()[0]
-        edges = F.array(*[F.lit(x).cast("long") for x in at])
-        higher = F.size(F.filter(edges, lambda x: x > F.col("__key")))  # ranges wholly above the key
-        same = F.size(F.filter(edges, lambda x: x == F.col("__key")))
+        up_to, below = _rank(at, F.col("__key"), lambda x, k: x <= k), _rank(at, F.col("__key"), lambda x, k: x < k)
+        higher, same = F.lit(len(at)) - up_to, up_to - below  # ranges wholly above the key, ranges that begin with it
         share = F.floor((F.col("__tie") / float(1 << 64) + 0.5) * (same + 1)).cast("int")
         rows = rows.withColumn("__range", higher + F.least(share, same))
     else:

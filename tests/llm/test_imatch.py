@@ -67,6 +67,13 @@ def test_lexicon_is_the_band(spark):
     assert {t for s in slots for t in s} == want and len(slots) == I.LOOKUP_SLOTS
 
 
+def test_rank_among_edges(spark):
+    edges = [1, 3, 3, 3, 3, 7, 9, 9, 12, 20, 21]
+    df = spark.range(0, 25).coalesce(1)
+    got = df.select("id", I._rank(edges, F.col("id"), lambda x, k: x <= k), I._rank(edges, F.col("id"), lambda x, k: x < k)).collect()
+    assert [(a, b) for _, a, b in got] == [(sum(e <= k for e in edges), sum(e < k for e in edges)) for k in range(25)]
+
+
 def test_likeness(spark):
     pairs = [("-", "-", 1.0), ("-", "1:a|2:b", 0.0), ("1:a,b,,|2:,b", "1:a,b,,|2:,b", 1.0), ("1:a,b,,|2:,b", "1:a,c,,|2:,b", 2 / 3),
              ("1:a|2:b", "2:b|3:c", 1.0), ("1:a|2:b", "4:b|5:c", 0.0), ("1:,|2:,", "2:,|3:x", 0.0)]
