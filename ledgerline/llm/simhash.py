@@ -243,7 +243,11 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     groups = _groups(narrow, radius, shard_size)
     # One (fingerprint, id) per group: the smallest id, then the smallest fingerprint that carries it.
     stay = (narrow.distinct().join(groups, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-            .groupBy("root").agg(F.min(F.struct("fp", "id")).alias("s"))
-            .select(F.col("s.fp").alias("__keep_fp"), F.col("s.id").alias("__keep_id")))
-    match = (F.col("__fp") == F.col("__keep_fp")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__keep_id"))
-    return (marked.join(stay, match, "left_semi").dropDuplicates(["__fp", id_col]).drop("__fp"))
+            .groupBy("root").agg(F.min(F.struct("fp", "id")).alias("s")).select("s.fp", "s.id"))
+
+    def key(of, fp, i):  # plain keys, so that the join and the dropping of repeated rows share one exchange
+        return of.withColumns({"__k1": F.col(fp), "__k2": F.coalesce(F.col(i).cast("string"), F.lit("")), "__k3": F.col(i).isNull()})
+
+    keys = ["__k1", "__k2", "__k3"]
+    kept = key(marked, "__fp", f"`{id_col}`").join(key(stay, "fp", "id").select(*keys), keys, "left_semi")
+    return kept.dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
