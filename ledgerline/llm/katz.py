@@ -53,8 +53,8 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.shared import as_bytes, prepare
 
-CHUNK_TOKENS = 2_000_000
-BUCKET_ENTRIES = 1_200_000
+CHUNK_TOKENS = 2_500_000
+BUCKET_ENTRIES = 2_200_000
 SPLIT = 250_000
 SHORT_KEY = 20_000
 HOT_PAIR = 1e-4
