@@ -101,20 +101,39 @@ def _mix(*parts) -> np.ndarray:
 START_HASH = np.uint64(_hash(_START))
 
 
+def _ratios(n) -> list[float]:
+    """Katz's ratios (r*/r - share) / (1 - share) of the counts 1 to ``TOP``,
+    with r* = (r + 1) n[r + 1] / n[r]; 0 where undefined."""
+    share = (TOP + 1) * n[TOP + 1] / n[1] if n[1] else 1.0
+    return [((r + 1) * n[r + 1] / n[r] / r - share) / (1 - share) if n[r] and share < 1 else 0.0 for r in range(1, TOP + 1)]
+
+
+def _smoothed(n) -> list[float] | None:
+    """n by a line through log n[r] over log r, as in Simple Good-Turing (each
+    n[r] averaged over the gap to its neighbours that are not 0); None if the
+    line does not fall faster than 1 / r, so that it gives no discounts."""
+    r = [i for i in range(1, TOP + 2) if n[i] > 0]
+    if len(r) < 2:
+        return None
+    after = [*r[1:], 2 * r[-1] - r[-2]]
+    z = [2 * n[i] / (b - a) for i, a, b in zip(r, [0, *r[:-1]], after)]
+    slope, level = np.polyfit(np.log(r), np.log(z), 1)
+    return [0.0, *(float(np.exp(level + slope * np.log(i))) for i in range(1, TOP + 2))] if slope < -1 else None
+
+
 def discounts(counts_of_counts) -> list[float]:
     """Katz's discount ratios of the counts 0 to ``TOP`` from the numbers of
-    types of each count (index 1 to ``TOP`` + 1). Where the Good-Turing
-    estimate is undefined or out of range, as with few data, an absolute
-    discount estimated from the first two numbers stands in."""
+    types of each count (index 1 to ``TOP`` + 1). Each count keeps its own
+    Good-Turing ratio where that lies between 0 and 1. Where it does not, as
+    groups of copies make bumps in those numbers, this count alone takes the
+    ratio of the smoothed numbers, which is always in range. Only where these
+    give none either (fewer than two counts occur, or the numbers hardly fall)
+    an absolute discount estimated from the first two numbers stands in."""
     n = [float(x) for x in counts_of_counts]
-    if all(n[r] > 0 for r in range(1, TOP + 2)):
-        share = (TOP + 1) * n[TOP + 1] / n[1]
-        if share < 1:
-            d = [((r + 1) * n[r + 1] / n[r] / r - share) / (1 - share) for r in range(1, TOP + 1)]
-            if all(0 < x < 1 for x in d):
-                return [1.0, *d]
     cut = min(0.9, max(0.1, n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5))
-    return [1.0, *[(r - cut) / r for r in range(1, TOP + 1)]]
+    line = _smoothed(n)
+    spare = _ratios(line) if line else [(r - cut) / r for r in range(1, TOP + 1)]
+    return [1.0, *[x if 0 < x < 1 else y for x, y in zip(_ratios(n), spare)]]
 
 
 class Unigrams:

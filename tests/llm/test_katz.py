@@ -123,3 +123,58 @@ def test_discounts_fall_back_within_range():
     for n in ([0] * 7, [0, 5, 0, 0, 0, 0, 0], [0, 1, 9, 9, 9, 9, 9], [0, 1000, 300, 120, 70, 50, 30]):
         d = K.discounts(n)
         assert d[0] == 1 and all(0 < x < 1 for x in d[1:])
+
+
+def good_turing(types):
+    """Discounts from a counter of counts, by the formulas of the books."""
+    n = [types[r] for r in range(7)]
+
+    def ratio(r, n_r, n_next, share):
+        return ((r + 1) * n_next / (r * n_r) - share) / (1 - share)
+
+    x, y = ([math.log(v) for v in z] for z in (range(1, 7), n[1:]))
+    mx, my = sum(x) / 6, sum(y) / 6
+    b = sum((p - mx) * (q - my) for p, q in zip(x, y)) / sum((p - mx) ** 2 for p in x)
+    out = [1.0]
+    for r in range(1, 6):
+        d = ratio(r, n[r], n[r + 1], 6 * n[6] / n[1])
+        out.append(d if 0 < d < 1 else ratio(r, r**b, (r + 1)**b, 6 * 6**b))
+    return out
+
+
+class OwnBrute(Brute):
+    """With its own Good-Turing discounts."""
+
+    def __init__(self, texts, split=None):
+        super().__init__(texts, split)
+        self.uni, self.bi = (good_turing(Counter(x.values())) for x in (self.c, self.pairs))
+        kept = sum(c * (self.uni[c] if c <= 5 else 1) for c in self.c.values())
+        self.total = self.n if kept < self.n else self.n + 1
+        self.unk = 1 - kept / self.total
+
+
+def bumped(r):
+    """Numbers of words and of pairs fall with their count, but for groups of five copies."""
+    rows = [(i, " ".join(f"p{times}x{k}" for k in range(first)), False) for times, first in ((1, 400), (2, 90), (3, 35), (4, 14), (5, 20), (6, 6))
+            for i in range(times)]
+    return [(i, t, h) for i, (_, t, h) in enumerate(rows)] + [(100 + i, " ".join(r.choices([f"p{r.randint(1, 6)}x1", "p2x3", "p2x4", "new"], k=9)), True) for i in range(9)]
+
+
+def test_one_bump_leaves_the_other_counts_good_turing(spark):
+    rows = bumped(random.Random(4))
+    b = OwnBrute([t for _, t, h in rows if not h])
+    for types, d in ((Counter(b.c.values()), b.uni), (Counter(b.pairs.values()), b.bi)):
+        assert 5 * types[5] / types[4] / 4 > 1  # the Good-Turing ratio of 4 alone is out of range
+        share = 6 * types[6] / types[1]
+        got = K.discounts([0] + [types[r] for r in range(1, 7)])
+        assert np.allclose(got, d) and all(0 < x < 1 for x in got[1:])
+        for r in (1, 2, 3, 5):
+            assert math.isclose(got[r], ((r + 1) * types[r + 1] / types[r] / r - share) / (1 - share))
+    got = {x.doc_id: x.score for x in K.score(spark.createDataFrame([(*x, "s") for x in rows], SCHEMA)).collect()}
+    assert all(math.isclose(got[i], b.score(t), rel_tol=1e-9) for i, t, _ in rows)
+
+
+def test_smoothed_ratios_with_gaps_and_repeated_corpora():
+    twice = K.discounts([0, 0, 900, 0, 150, 0, 40])  # every document twice
+    assert all(0 < x < 1 for x in twice[1:]) and twice[1:] == sorted(twice[1:])
+    assert K.discounts([0, 10, 8, 7, 7, 7, 9])[1:] == [(r - 10 / 26) / r for r in range(1, 6)]  # the numbers hardly fall
