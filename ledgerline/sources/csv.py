@@ -31,7 +31,7 @@ def few_files(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int
         if here is None or len(found) + len(todo) + len(here) > fs.FEW:
             return None
         shown = [x for x in here if fs.shown(x[0])]
-        found += [(p, n) for p, folder, n in shown if not folder and n]
+        found += [(p, n) for p, folder, n in shown if not folder]
         todo += [p for p, folder, _ in shown if folder]
     return sorted(found)
 
@@ -94,11 +94,13 @@ _BLOCK, _BLOCKS, _FILES, _ROWS = 1 << 16, 1 << 20, 1 << 9, 1 << 33
 def with_position(df: DataFrame, files: list[tuple[str, int]] | None = None) -> DataFrame:
     """Add ``_row_id`` (unique) and ``row_ord``, a total order equal to the order
     of the rows in their files, files by path. With the sorted ``files`` (path
-    and length) at hand it is one BIGINT, else a struct (file, block, row id)."""
+    and length) at hand it is one BIGINT, else, or if the scan reads any other
+    file, a struct (file, block, row id)."""
     df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
     block = F.col("_metadata.file_block_start")
-    names = [p.rsplit("/", 1)[-1] for p, _ in files or []]
-    if names and len(set(names)) == len(names) < _FILES and all(n < _BLOCK * _BLOCKS for _, n in files):
+    names = [fs.uri_name(df.sparkSession, p) for p, _ in files or []]
+    if (names and len(set(names)) == len(names) < _FILES and all(n < _BLOCK * _BLOCKS for _, n in files)
+            and {p.rsplit("/", 1)[-1] for p in df.inputFiles()} <= set(names)):
         number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("_metadata.file_name")) - 1
         place = number * F.lit(_ROWS * _BLOCKS) + F.floor(block / F.lit(_BLOCK)) * F.lit(_ROWS) + F.pmod(F.col(ROW_ID), F.lit(_ROWS))
         return df.withColumn(ROW_ORD, place.cast("bigint"))

@@ -53,6 +53,11 @@ def shown(path: str) -> bool:
     return not path.rsplit("/", 1)[-1].startswith((".", "_"))
 
 
+def uri_name(spark: SparkSession, path: str) -> str:
+    """Name of a file as ``_metadata.file_name`` has it: percent-encoded."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath().rsplit("/", 1)[-1]
+
+
 def data_files(spark: SparkSession, path: str) -> tuple[str | None, int, int]:
     """(first file by name, greatest length, number) of the files under
     ``path`` (recursive), without hidden, marker and empty files."""

@@ -298,6 +298,25 @@ def test_differing_headers_fail_the_load(spark, workdir):
     assert [(r.stage, r.status) for r in read_audit(spark, store.audit_path()).collect()] == [(S.STAGE_BRONZE, S.STATUS_FAILURE)]
 
 
+def test_file_names_that_are_percent_encoded(spark, workdir):
+    from ledgerline.sources.csv import few_files, with_position
+
+    # Names in the order of their paths, each with an older and a newer row of company 1.
+    for k, name in enumerate(["a b.csv", "a%20c.csv", "a%b.csv", "aé#.csv"]):
+        _write(f"{workdir}/in/{name}", f"company_id,name,industry,country\n1,n{2 * k},x,y\n1,n{2 * k + 1},x,y\n")
+    _write(f"{workdir}/in/empty file.csv", "")
+    feed = read_feed(spark, f"{workdir}/in").cache()
+    assert dict(feed.dtypes)[S.ROW_ORD] == "bigint" and feed.select(S.ROW_ORD).distinct().count() == 8
+    assert [r.name for r in feed.orderBy(S.ROW_ORD).collect()] == [f"n{i}" for i in range(8)]
+    res = load_entity(spark, Store(spark, workdir), "company", f"{workdir}/in")
+    assert (res.raw_rows, res.clean_rows, res.quarantined_rows) == (8, 1, 7)
+    # A file that is not in the list: no number, so the place holds the file itself.
+    scan = spark.read.option("header", True).csv(f"{workdir}/in")
+    files = few_files(spark, f"{workdir}/in")
+    assert dict(with_position(scan, files[1:]).dtypes)[S.ROW_ORD].startswith("struct")
+    assert with_position(scan, files[1:]).select(S.ROW_ORD).distinct().count() == 8
+
+
 def test_compressed_feed(spark, workdir):
     import gzip
 

@@ -75,3 +75,14 @@ def test_malformed_files_are_set_aside_and_new_companies_seen(spark, workdir):
     assert got == {"2024-02": 2.0, "2024-05": 5.0}  # the quoted newline stays in its row, whose currency is unknown
     bad = {r.file.rsplit("/", 1)[-1] for r in rejected_files(spark, store, "revenue").collect()}
     assert bad == {"b.csv", "c.csv"} and len(results) >= 1
+
+
+def test_intake_of_files_with_spaces_in_their_names(spark, workdir):
+    from conftest import _write_text
+
+    for k in range(3):
+        _write_text(f"{workdir}/in/drop {k}.csv", f"company_id,name,industry,country\n1,n{k},x,y\n{k + 2},m{k},x,y\n")
+    store = Store(spark, workdir)
+    _, results = intake(spark, store, "company", f"{workdir}/in")
+    assert [(r.raw_rows, r.clean_rows, r.quarantined_rows) for r in results] == [(6, 4, 2)]
+    assert read_golden(store, "dim_company").count() == 4
