@@ -18,7 +18,8 @@ sums. This fit alone uses a sample; every page is extracted whole.
 Defined cases: null and empty html give an empty text. Broken mark-up is read
 as browsers do: unclosed elements end with their parents, an unclosed comment
 or script swallows the rest, a tag cut off by the end is dropped. ``br`` is
-white space. Repeated pages give repeated rows; without any page to learn from
+white space. Text inside math, svg, object, canvas, video and audio belongs to
+the block around it. Repeated pages give repeated rows; without any page to learn from
 the layouts are filled with fixed text. Columns of the input that are named
 like a result column give way, others are carried.
 """
@@ -45,13 +46,16 @@ BLOCK = frozenset("""address article aside blockquote body button caption center
     figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search
     section select summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea title xmp noembed noframes canvas video audio".split())
+#: Their content is no text of the page; that of all others is.
+RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
+#: Elements of other vocabularies, inside which a tag that ends with / has no content.
+FOREIGN = frozenset(("svg", "math"))
 #: An opening tag also ends the nearest open element of these, unless one of the second kind is in between.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 _NO_P = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var "
-                  "input img br option optgroup select button".split())
+                  "input img br option optgroup select button object canvas video audio source track param embed svg math".split())
 
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(>?)|[^<]++|<""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -78,6 +82,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
     open_count: dict[str, int] = {}
     parts: list[str] = []
     links = 0  # characters of the current block inside links
+    foreign = None  # depth of the outermost open svg or math
 
     def flush():
         nonlocal links
@@ -91,15 +96,21 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
         links = 0
 
     def push(tag, marks):
+        nonlocal foreign
+        if foreign is None and tag in FOREIGN:
+            foreign = len(stack)
         stack.append((tag, marks))
         for f in marks:
             open_count[f] = open_count.get(f, 0) + 1
 
     def pop():
+        nonlocal foreign
         for f in stack.pop()[1]:
             open_count[f] -= 1
             if not open_count[f]:
                 del open_count[f]
+        if foreign is not None and len(stack) <= foreign:
+            foreign = None
 
     def close(names, stops=()):
         for k in range(len(stack) - 1, -1, -1):
@@ -140,11 +151,12 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
         else:
-            if tag not in _NO_P:
+            other = tag in FOREIGN or foreign is not None and tag not in BLOCK
+            if tag not in _NO_P and not other:
                 close({"p"}, {"td", "th", "button", "div", "section", "article", "li", "table"})
             if tag in ENDS:
                 close(*ENDS[tag])
-            if tag not in VOID:
+            if tag not in VOID and not (other and m[3].endswith("/")):
                 marks = _marks(m[3])
                 push(tag, (tag, *marks) if tag in BLOCK or tag == "a" else marks)
     flush()

@@ -35,6 +35,25 @@ def test_blocks(html, want):
     assert text_of(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["so x=2 holds"]), ("<p>a<svg><text>b</text><path/></svg> c</p><p>d", ["ab c", "d"]),
+    ("<video src=v><p>a</p><p>b</p>", ["a", "b"]), ("<div><object data=o><p>a</div><p>b", ["a", "b"]), ("<p>a <audio>b</audio><p>c", ["a b", "c"]),
+    ("<p>a<svg class=icon><path d=m><p>b</p>", ["a", "b"]), ("<canvas>a</canvas>b<svg/>c<p>d", ["abc", "d"]), ("<svg><style>p{}</style><title>t</title></svg>x", ["x"])])
+def test_text_of_embedded_elements_is_kept(html, want):
+    assert text_of(html) == want
+
+
+@pytest.mark.parametrize("inside", ["<math><msup><mi>x</mi><mn>2</mn></msup></math>", "<svg class=ad><path d='m'/><g><text>x2</text></g></svg>", "<svg class=ad />x2",
+                                    "<math class=ad><mspace/><mi>x2</mi></math>", "<video class=ad><source src=v>x2</video>"])
+def test_embedded_elements_leave_the_features_of_their_block(inside):
+    assert H.blocks(f"<article><p>See {inside} here.</p><p>Next.</p></article>") == H.blocks("<article><p>See x2 here.</p><p>Next.</p></article>")
+
+
+def test_article_text_beside_embedded_elements(model):
+    body = f"<p>{PROSE[0]}</p><video src=v><p>{PROSE[1]} <math><mi>y</mi></math></p><p>{PROSE[4]}</p>"
+    assert H.main_text(PAGE.format(body=body), model) == "\n".join(["Title & more", PROSE[0], f"{PROSE[1]} y", PROSE[4]])
+
+
 def test_deep_and_long_pages_take_linear_time():
     assert text_of("<div>" * 30000 + "x") == ["x"]
     assert len(text_of("<p>word " * 30000)) == 30000
