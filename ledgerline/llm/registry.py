@@ -11,6 +11,7 @@ from ledgerline.llm.imatch import compare_with_edits
 from ledgerline.llm.packing import pack
 from ledgerline.llm.pii import find
 from ledgerline.llm.quality import classify
+from ledgerline.llm.quality_rules import apply_rules
 from ledgerline.llm.shared import prepare, table
 from ledgerline.llm.simhash import near_duplicates
 
@@ -95,6 +96,13 @@ def op10_katz(spark, sf_dir):
     return katz.score(docs)
 
 
+def op13_quality_rules(spark, sf_dir):
+    """Counts, base rules and the verdict of the threshold table, for every
+    whole text."""
+    return apply_rules(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken_rules")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -106,6 +114,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_katz": op10_katz,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

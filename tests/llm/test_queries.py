@@ -23,10 +23,12 @@ COLUMNS = {
     "op8_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_simhash": "doc_id fingerprint component_id",
     "op10_katz": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op13_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
 KINDS = {"n_words": "bigint", "n_hit": "bigint", "contaminated": "boolean", "held_out": "boolean", "score": "double", "predicted": "int",
          "text": "string", "n_chars": "bigint", "n_email": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
-         "offset": "bigint", "near_edited": "double", "near_next": "double", "n_tokens": "bigint", "base_score": "double", "fingerprint": "string"}
+         "offset": "bigint", "near_edited": "double", "near_next": "double", "n_tokens": "bigint", "base_score": "double", "fingerprint": "string",
+         "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"}
 
 
 def test_one_query_for_each_operator():
