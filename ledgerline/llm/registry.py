@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import katz, merkle, toxicity
+from ledgerline.llm import conversations, katz, merkle, toxicity
 from ledgerline.llm.decontam import decontaminate
 from ledgerline.llm.html_crf import extract
 from ledgerline.llm.imatch import compare_with_edits
@@ -96,6 +96,14 @@ def op10_katz(spark, sf_dir):
     return katz.score(docs)
 
 
+def op12_conversation_repair(spark, sf_dir):
+    """Faults, cheapest repair and its digest for every conversation, after
+    the damage that the checksums of its rows deal."""
+    prepare(spark)
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damage(rows), rows)
+
+
 def op13_quality_rules(spark, sf_dir):
     """Counts, base rules and the verdict of the threshold table, for every
     whole text."""
@@ -114,6 +122,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_katz": op10_katz,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_quality_rules": op13_quality_rules,
 }
 
@@ -176,5 +185,54 @@ def _merkle_sql() -> str:
         FROM d4 JOIN steps USING (archive) LEFT JOIN damage USING (archive)"""
 
 
+def _repair_sql() -> str:
+    """The cheapest edits row by row: for each place in the pattern the least
+    'cost:audit' so far (costs padded, so text order is that of the pairs)."""
+    def add(x, cost, letters):
+        return f"(lpad(CAST(CAST(left({x}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || ':' || substr({x}, 11) || '{letters}')"
+
+    def row(place, before, initial, roles):
+        old = f"least({', '.join(f's{b}' for b in before)})" if before else "NULL"
+        more = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+        moves = [f"CASE WHEN fault NOT IN ('blank', 'duplicate') AND initial = '{initial}' THEN {add(old, more, 'K')} END"]
+        if roles:
+            moves.append(f"CASE WHEN fault NOT IN ('blank', 'duplicate') THEN {add(old, f'1 + {more}', 'R')} END")
+        return f"least({add(f's{place}', 2, 'D')}, {', '.join(moves)}) AS t{place}" if before else f"{add(f's{place}', 2, 'D')} AS t{place}"
+
+    crc = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' ||
+             coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)"""
+    return f"""WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor({crc}, 4294967295) % 20 AS k FROM conversations),
+        hurt AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(range(CASE k WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM raw WHERE k <> 0),
+        ranked AS (SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again FROM hurt),
+        f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again > 1 THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+              lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ranked),
+        step AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000000:' AS s0, CAST(NULL AS VARCHAR) AS s1, '000000005:I' AS s2, '000000010:II' AS s3 FROM f
+            UNION ALL SELECT conv_id, i, t0, t1, least(t2, {add('t0', 5, 'I')}, {add('t1', 5, 'I')}, {add('t3', 5, 'I')}),
+                least(t3, {add('t2', 5, 'I')}, {add('t0', 10, 'II')}, {add('t1', 10, 'II')})
+            FROM (SELECT f.conv_id, f.i, {row(0, [], '', False)}, {row(1, [0], 's', False)}, {row(2, [0, 1, 3], 'u', True)}, {row(3, [2], 'a', True)}
+                  FROM step JOIN f ON f.conv_id IS NOT DISTINCT FROM step.conv_id AND f.i = step.i + 1)),
+        plan AS (SELECT conv_id, CAST(left(least(s0, s3), 9) AS BIGINT) AS cost, substr(least(s0, s3), 11) AS audit
+                 FROM step QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+        edits AS (SELECT conv_id, pos, substr(audit, pos, 1) AS e, length(translate(audit, 'D', '')) AS total
+                  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS pos FROM plan)),
+        placed AS (SELECT *, sum(CASE WHEN e <> 'I' THEN 1 ELSE 0 END) OVER w AS r, sum(CASE WHEN e <> 'D' THEN 1 ELSE 0 END) OVER w AS o
+                   FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+        lines AS (SELECT p.conv_id, string_agg(CASE WHEN e = 'K' THEN f.role WHEN (o - 1 - total % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+                      CASE WHEN e = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY pos) AS body
+                  FROM placed p LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.r WHERE e <> 'D' GROUP BY p.conv_id),
+        stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+        SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+               sha256(coalesce(body, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN plan p ON p.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**ORACLE_SQL, "op3_merkle": _merkle_sql()}
+    return {**ORACLE_SQL, "op3_merkle": _merkle_sql(), "op12_conversation_repair": _repair_sql()}
