@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.llm import conversations, katz, merkle, toxicity
+from ledgerline.llm.collocations import collocations
 from ledgerline.llm.decontam import decontaminate
 from ledgerline.llm.html_crf import extract
 from ledgerline.llm.imatch import compare_with_edits
@@ -96,6 +97,12 @@ def op10_katz(spark, sf_dir):
     return katz.score(docs)
 
 
+def op11_collocations(spark, sf_dir):
+    """The best phrases of each language."""
+    prepare(spark)
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark, sf_dir):
     """Faults, cheapest repair and its digest for every conversation, after
     the damage that the checksums of its rows deal."""
@@ -122,6 +129,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_katz": op10_katz,
+    "op11_collocations": op11_collocations,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_quality_rules": op13_quality_rules,
 }
@@ -147,6 +155,25 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)""",
+    "op11_collocations": r"""
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), '{u}', '{l}'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+        p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+        g AS (SELECT lang, k, list_aggregate(w[i:i+k-1], 'string_agg', ' ') AS phrase
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(k))),
+        c AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM c WHERE k > 1 AND f >= 10),
+        cuts AS (SELECT d.*, list_aggregate(w[1:cut], 'string_agg', ' ') AS p, list_aggregate(w[cut+1:k], 'string_agg', ' ') AS q
+                 FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) d),
+        scored AS (SELECT u.lang, u.phrase, u.a, u.cut, x.f AS l, y.f AS r, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+                   FROM cuts u JOIN c x ON x.lang = u.lang AND x.phrase = u.p JOIN c y ON y.lang = u.lang AND y.phrase = u.q),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM cand WHERE k = 3
+                   UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM cand WHERE k = 3) GROUP BY lang, phrase),
+        ranked AS (SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n.n, score
+                   FROM best s JOIN n ON n.lang = s.lang LEFT JOIN longer o ON o.lang = s.lang AND o.phrase = s.phrase
+                   WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT * FROM ranked WHERE rank <= 2000""".replace("{u}", _AZ).replace("{l}", _AZ.lower()),
 }
 
 _RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
