@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shared import LOWER
 
 #: Words of a chunk that one task counts at once, and n-grams of a partition.
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 18
 PART_MASS = 8_000_000
 #: 64-bit words of the filter (16 MB), in slices that are merged one by one.
 FILTER_WORDS = 1 << 21
@@ -118,17 +118,19 @@ class Chunk:
     def grams(self, longest: int, passes=None):
         """For n = 1 to ``longest``: (n, ids of the n words of each distinct
         n-gram, hashes, counts); ids are numbers of (group, word) pairs. With
-        ``passes``, a test of hashes, only n-grams whose parts and self pass."""
+        ``passes``, a test of hashes, only n-grams whose parts and self pass;
+        without it the ids of the words are not made up."""
         words = pa.chunked_array(self.words).dictionary_encode().combine_chunks()
         groups = pa.chunked_array(self.groups).dictionary_encode().combine_chunks()
         follows = np.concatenate(self.follows)
         pair, ids, counts = np.unique(groups.indices.to_numpy().astype(np.int64) * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True, return_counts=True)
-        self.word_of = words.dictionary.take(pa.array(pair % len(words.dictionary)))
-        self.group_of = groups.dictionary.take(pa.array(pair // len(words.dictionary)))
+        if passes is not None:
+            self.word_of = words.dictionary.take(pa.array(pair % len(words.dictionary)))
+            self.group_of = groups.dictionary.take(pa.array(pair // len(words.dictionary)))
         of_word = np.array([xxhash.xxh64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
         of_group = np.array([xxhash.xxh64_intdigest(g.encode(), seed=1) for g in groups.dictionary.to_pylist()], np.uint64)
         one = _joined(of_group[pair // len(words.dictionary)], of_word[pair % len(words.dictionary)])
-        members, hashes = np.arange(len(pair))[:, None], one
+        members, hashes = np.arange(len(pair))[:, None] if passes is not None else None, one
         at, gram = np.arange(len(ids)), ids  # where n-grams start, and their numbers
         for n in range(1, longest + 1):
             if n > 1:
@@ -143,7 +145,8 @@ class Chunk:
                 at, gram, after = at[more], gram[more], after[more]
                 key, gram, counts = np.unique(gram * len(pair) + ids[after], return_inverse=True, return_counts=True)
                 shorter = key // len(pair)
-                members = np.column_stack([members[shorter], key % len(pair)])
+                if passes is not None:
+                    members = np.column_stack([members[shorter], key % len(pair)])
                 hashes = _joined(hashes[shorter], one[key % len(pair)])
             if passes is not None:
                 ok = passes(hashes)
@@ -205,6 +208,10 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
+#: Most n-grams of a chunk occur once in it; they go without a count.
+_PACKED = ["part", "mass", "ones", "hashes", "counts"]
+
+
 def _summaries(longest: int, parts: int):
     """Each chunk's n-grams, a row for each hash partition, and a row ahead of
     them with their mass."""
@@ -215,12 +222,12 @@ def _summaries(longest: int, parts: int):
             borders = np.searchsorted(part_of(hashes, parts), np.arange(parts + 1).astype(np.uint64))
             used = np.flatnonzero(np.diff(borders))
             mass = np.add.reduceat(counts, borders[used])
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(mass), pa.nulls(len(used), pa.binary()), pa.nulls(len(used), pa.binary())],
-                                             names=["part", "mass", "hashes", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(mass), *[pa.nulls(len(used), pa.binary()) for _ in range(3)]], names=_PACKED)
             for p in used:
-                s = slice(borders[p], borders[p + 1])
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.nulls(1, pa.int64()), pa.array([hashes[s].tobytes()], pa.binary()),
-                                                  pa.array([counts[s].astype(np.uint32).tobytes()], pa.binary())], names=["part", "mass", "hashes", "counts"])
+                h, c = hashes[borders[p]:borders[p + 1]], counts[borders[p]:borders[p + 1]]
+                packed = (h[c == 1], h[c > 1], c[c > 1].astype(np.uint32))
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.nulls(1, pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in packed]],
+                                                 names=_PACKED)
 
     return run
 
@@ -255,7 +262,7 @@ def _frequent(threshold: int, words: int):
                 yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["slice", "bits"])
 
         for b in batches:
-            for p, m, h, c in zip(*[x.to_pylist() for x in b.columns]):
+            for p, m, one, h, c in zip(*[x.to_pylist() for x in b.columns]):
                 if p != part:
                     if summary is not None:
                         yield from slices()
@@ -265,8 +272,8 @@ def _frequent(threshold: int, words: int):
                     continue
                 if summary is None:
                     summary = MisraGries(mass // threshold + 1)
-                keys.append(np.frombuffer(h, np.uint64))
-                counts.append(np.frombuffer(c, np.uint32))
+                keys += [np.frombuffer(one, np.uint64), np.frombuffer(h, np.uint64)]
+                counts += [np.ones(len(keys[-2]), np.uint32), np.frombuffer(c, np.uint32)]
                 if sum(map(len, keys)) >= max(summary.capacity, 1 << 18):
                     merged()
         if summary is not None:
@@ -279,7 +286,7 @@ def candidate_filter(texts: DataFrame, longest: int, threshold: int, words: int)
     """First pass: a bit filter that every frequent n-gram passes."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-longest * size // 6 // PART_MASS))  # of about six bytes a word
-    rows = texts.mapInArrow(_summaries(longest, parts), "part int, mass long, hashes binary, counts binary")
+    rows = texts.mapInArrow(_summaries(longest, parts), "part int, mass long, ones binary, hashes binary, counts binary")
     rows = rows.repartition("part").sortWithinPartitions("part", F.col("hashes").isNotNull())
     slices = rows.mapInArrow(_frequent(threshold, words), "slice int, bits binary")
     out = np.zeros(words, np.uint64)
