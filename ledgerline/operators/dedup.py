@@ -1,17 +1,21 @@
 """Keep-latest deduplication that marks the losers instead of dropping them.
 
-The winner of each key group is found with a grouped ``min``/``max`` over a
-struct of order keys, not with ``row_number()`` over a window: an aggregate
-combines map-side, so a key that holds a large share of all rows is reduced
-inside every input task before the shuffle, while a window would sort that
-whole group in one task. The winners (one row id per key) are then joined
-back on the unique row id, which spreads evenly whatever the key skew.
+The winner of each key group is found with a grouped ``min``/``max`` over its
+order keys, not with ``row_number()`` over a window: an aggregate combines
+map-side, so a key that holds a large share of all rows is reduced inside every
+input task before the shuffle, while a window would sort that whole group in
+one task. The aggregate reads the key and order columns only.
+
+Most keys occur once. Only the keys that occur more than once, with the order
+of their winner, go back to the rows, where every other row of such a key loses.
+That side is written and counted first: up to ``BROADCAST_KEYS`` keys it is
+broadcast, so the wide rows are not shuffled at all; beyond, adaptive execution
+joins by shuffle and splits hot keys.
 
 When the order is at most one time followed by a unique whole number (the row's
 place in its feed), both are packed into one DECIMAL. Its ``max`` is a hash
-aggregate, so map tasks do not sort their rows, and the row's place is read
-back from it and serves as the row id. Other orders take a struct, which Spark
-aggregates by sorting.
+aggregate, so map tasks do not sort their rows. Other orders take a struct,
+which Spark aggregates by sorting.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +32,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.normalise import is_numeric
 from ledgerline.schemas import REASON, ROW_ID, SUPERSEDED_BY_CORRECTION
+from ledgerline.session import workspace_root
 
 
 @dataclass(frozen=True)
@@ -75,9 +82,12 @@ def winner_expr(df: DataFrame, order: Sequence[OrderKey]) -> tuple[Column, str]:
 _HALF, _FULL, _SHIFT = 1 << 62, (1 << 63) - 1, Decimal(10) ** 19
 
 
-def packed_order(df: DataFrame, order: Sequence[OrderKey]) -> tuple[Column, Column, str] | None:
-    """(order as one number to maximise, place from that number, place column),
-    or None if the order is of another form."""
+#: Keys with more than one row that may be broadcast (about 100 bytes each).
+BROADCAST_KEYS = 500_000
+
+
+def packed_order(df: DataFrame, order: Sequence[OrderKey]) -> Column | None:
+    """The order as one number to maximise, or None if it is of another form."""
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     if not 1 <= len(order) <= 2 or not isinstance(dtypes[order[-1].column], T.LongType):
         return None
@@ -91,37 +101,44 @@ def packed_order(df: DataFrame, order: Sequence[OrderKey]) -> tuple[Column, Colu
             return None
         value = F.coalesce((value if time.descending else -value) + F.lit(_HALF), F.lit(0 if time.nulls_last else _FULL))
         number = value.cast("decimal(19,0)") * F.lit(_SHIFT).cast("decimal(20,0)") + number.cast("decimal(19,0)")
-    back = F.pmod(F.col("w"), F.lit(_SHIFT).cast("decimal(20,0)")).cast("bigint") - F.lit(_HALF)
-    return number, back if place.descending else -back, place.column
+    return number
+
+
+def contested_keys(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
+                   row_id: str = ROW_ID, reason_col: str = REASON) -> tuple[DataFrame, Column]:
+    """(keys of more than one row without a reason, with the winner's order as
+    ``_win``; the order of a row of ``df``)."""
+    rank, pick = packed_order(df, order), F.max
+    if rank is None:
+        ordering, how = winner_expr(df, order)
+        rank, pick = F.struct(ordering.alias("o"), F.col(row_id).alias("id")), F.max if how == "max" else F.min
+    survivors = df.where(F.col(reason_col).isNull())
+    return (survivors.groupBy(*keys).agg(pick(rank).alias("_win"), F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1").drop("_n")), rank
 
 
 def mark_superseded(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
                     row_id: str = ROW_ID, reason_col: str = REASON,
-                    reason: str = SUPERSEDED_BY_CORRECTION, drop: Sequence[str] = ()) -> DataFrame:
+                    reason: str = SUPERSEDED_BY_CORRECTION, drop: Sequence[str] = (),
+                    broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Among rows with no reason yet, all but the first per key get ``reason``.
 
     ``drop``: columns that only the order needs; they are not returned. The
     last order column, if it is a BIGINT, has to be unique.
 
     Rows that already carry a reason take no part, so a bad newer row never
-    supersedes a good older one.
+    supersedes a good older one. The contested keys are computed at once.
     """
-    survivors = df.where(F.col(reason_col).isNull())
-    packed = packed_order(df, order)
-    if packed is not None:
-        number, place, row_id = packed
-        winners = (survivors.groupBy(*keys).agg(F.max(number).alias("w"))
-                   .select(place.alias(row_id), F.lit(True).alias("_winner")))
-    else:
-        ordering, how = winner_expr(df, order)
-        pick = F.max if how == "max" else F.min
-        winners = (survivors
-                   .groupBy(*keys)
-                   .agg(pick(F.struct(ordering.alias("o"), F.col(row_id).alias("id"))).alias("w"))
-                   .select(F.col("w.id").alias(row_id), F.lit(True).alias("_winner")))
+    contested, rank = contested_keys(df, keys, order, row_id, reason_col)
+    workspace_root(df.sparkSession)  # names the folder for checkpoints
+    contested = contested.checkpoint()
+    few = contested.limit(broadcast_keys + 1).count() <= broadcast_keys
+    side = contested.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_win")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    lost = F.col("_win").isNotNull() & (rank != F.col("_win"))
     marked = (F.when(F.col(reason_col).isNotNull(), F.col(reason_col))
-               .when(F.col("_winner").isNull(), F.lit(reason)).alias(reason_col))
-    return (df.join(winners, row_id, "left")
+               .when(lost, F.lit(reason)).alias(reason_col))
+    return (df.join(F.broadcast(side) if few else side, reduce(and_, same), "left")
               .select(*[marked if c == reason_col else F.col(c) for c in df.columns if c not in drop]))
 
 

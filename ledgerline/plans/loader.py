@@ -32,7 +32,7 @@ from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import SPECS, CleansePolicy, EntitySpec
 from ledgerline.plans.read import fact_year
 from ledgerline.sources.csv import FeedError, header_columns, read_feed, too_long
-from ledgerline.sources.store import StaleBase, Store
+from ledgerline.sources.store import BUCKET, StaleBase, Store, bucket_of, buckets_for
 
 GOLDEN_TABLE = {
     "company": "dim_company",
@@ -51,6 +51,12 @@ MERGE = {
     "expense": G.merge_expense,
     "fx_rate": G.merge_fx,
 }
+#: The columns whose hash names the bucket of a row.
+LEADING_KEY = {
+    "dim_company": ["company_id"],
+    "fact_company_monthly_financials": ["company_id"],
+    "fx_rate": ["local_currency", "base_currency"],
+}
 #: Tables with a folder per year.
 YEARLY = {"fact_company_monthly_financials"}
 SORT_WITHIN = {
@@ -158,20 +164,22 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
         stages = [S.STAGE_GOLDEN]
         seen = load.golden()
         merged = int(seen["inserted"]) + int(seen["updated"])
+        stale = int(seen["stale"])
         note(stages, S.STATUS_SUCCESS, [merged])
         t.append(time.perf_counter())
+        stages = [S.STAGE_QUARANTINE]
+        late = load.late_rows() if stale else None
+        if late is not None:
+            note(stages, S.STATUS_SUCCESS, [rejected + stale])
     except NoRows:
         raise
     except Exception as e:
         note(stages, S.STATUS_FAILURE, [0] * len(stages), e)
         raise
-    stale = int(seen["stale"])
     quarantine = load.zone(S.ZONE_QUARANTINE) if rejected else None
-    late = load.late_rows() if stale else None
     if late is not None:
         quarantine = late if quarantine is None else quarantine.unionByName(late, allowMissingColumns=True)
         by_reason[S.OLDER_THAN_STORED] = stale
-        note([S.STAGE_QUARANTINE], S.STATUS_SUCCESS, [rejected + stale])
     return LoadResult(entity, load_uuid, raw_rows, clean_rows - stale, rejected + stale, by_reason,
                       int(seen["inserted"]), int(seen["updated"]),
                       quarantine=report_projection(quarantine, spec) if quarantine is not None else None,
@@ -244,7 +252,8 @@ class _Load:
         finally:
             if persist_ruled:
                 ruled.unpersist()
-        self.has_clean = bool(int(seen["clean"]))
+        self.clean_rows = int(seen["clean"])
+        self.has_clean = bool(self.clean_rows)
         return seen
 
     def zone(self, name: str) -> DataFrame:
@@ -252,30 +261,34 @@ class _Load:
 
     def golden(self, attempts: int = 3) -> dict:
         """Merge the Silver rows into the current version, publish a new one.
-        Of a fact only the years in the feed are read and written. Whoever
-        loses a race for the next version merges again into the new one."""
+        Only the parts that the feed touches (years of a fact, buckets of the
+        leading key) are read and written, or all of them when the table gets
+        more buckets. Whoever loses a race for the next version merges again
+        into the new one."""
         silver = self.zone(S.ZONE_SILVER) if self.has_clean else self.spark.createDataFrame([], self.zone_schema)
         silver = silver.drop(S.REASON)
         table = GOLDEN_TABLE[self.entity]
-        by_year = table in YEARLY
-        parts = None
-        if by_year:
-            parts = [r[0] for r in silver.select(fact_year(F.col("month"))).distinct().collect()]  # bounded by the calendar
+        schema = GOLDEN_SCHEMA[table]
         action = F.col(ACTION)
         counts = {"inserted": F.count_if(action == INSERT), "updated": F.count_if(action == UPDATE), "stale": F.count_if(action == STALE)}
+        merge_args = {"scoped": False, "on_conflict": self.policy.on_conflict} if table in YEARLY else {}
         for attempt in range(attempts):
             base = self.store.current(table)
             self.base = base
-            target = self.store.read(table, GOLDEN_SCHEMA[table], entry=base, parts=[f"{S.YEAR}={p}" for p in parts] if by_year else None)
-            if by_year:
-                merged = MERGE[self.entity](target, silver, self.run_at, with_action=True, scoped=False, on_conflict=self.policy.on_conflict)
-                merged = merged.withColumn(S.YEAR, fact_year(F.col("month")))
-            else:
-                merged = MERGE[self.entity](target, silver, self.run_at, with_action=True)
+            years = max(1, len({p.split("/")[0] for p in base.parts})) if base and table in YEARLY else 1
+            now = base.buckets if base else self.store.least_buckets
+            buckets = buckets_for(((base.total if base else 0) + self.clean_rows) // years, now)
+            grown = base is not None and buckets != base.buckets
+            by = part_columns(table, buckets)
+            parts = parts_in(silver, table, buckets)
+            target = self.store.read(table, schema, entry=base, parts=None if grown else parts)
+            if grown and by:
+                parts = sorted({*parts, *parts_in(target, table, buckets)})
+            merged = with_parts(MERGE[self.entity](target, silver, self.run_at, with_action=True, **merge_args), table, buckets)
             try:
-                return self.store.publish(table, merged, self.load_uuid, counts, sort_within=([S.YEAR] if by_year else []) + SORT_WITHIN[table],
-                                          drop_after_observe=[ACTION], mode="overwrite" if attempt else self.mode, base=base,
-                                          partition_by=S.YEAR if by_year else None, parts=parts)
+                return self.store.publish(table, merged, self.load_uuid, counts, sort_within=SORT_WITHIN[table], drop_after_observe=[ACTION],
+                                          mode="overwrite" if attempt else self.mode, base=base, partition_by=by, parts=parts,
+                                          buckets=buckets, replace=grown)
             except StaleBase:
                 if attempt == attempts - 1:
                     raise
@@ -311,10 +324,47 @@ def quarantine_with_raw(spark: SparkSession, store: Store, entity: str, load_uui
     return q.join(raw, S.ROW_ID, "left")
 
 
-def read_golden(store: Store, table: str, version: str | None = None, with_year: bool = False) -> DataFrame:
+def part_columns(table: str, buckets: int) -> list[str]:
+    """The columns that a table's folders are named by."""
+    return [S.YEAR] * (table in YEARLY) + [BUCKET] * (buckets > 1)
+
+
+def with_parts(df: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Rows with the part columns of their table."""
+    if table in YEARLY:
+        df = df.withColumn(S.YEAR, fact_year(F.col("month")))
+    return df.withColumn(BUCKET, bucket_of(LEADING_KEY[table], buckets)) if buckets > 1 else df
+
+
+def parts_in(rows: DataFrame, table: str, buckets: int) -> list[str] | None:
+    """The parts that rows belong to, None for a table of one part. Bounded by
+    the calendar times the buckets."""
+    by = part_columns(table, buckets)
+    if not by:
+        return None
+    keys = LEADING_KEY[table] + ["month"] * (table in YEARLY)
+    found = with_parts(rows.select(*keys), table, buckets).select(*by).distinct().collect()
+    return sorted("/".join(f"{c}={r[c]}" for c in by) for r in found)
+
+
+def parts_of_company(entry, company_id) -> list[str] | None:
+    """The parts of a version that may hold a company: one bucket of each year."""
+    if entry is None or entry.buckets == 1:
+        return None
+    one = SparkSession.active().range(1).select(F.lit(str(company_id)).alias("company_id")).select(bucket_of(["company_id"], entry.buckets)).first()[0]
+    return [p for p in entry.parts if p.endswith(f"{BUCKET}={one}")]
+
+
+def read_golden(store: Store, table: str, version: str | None = None, with_year: bool = False, company_id: str | None = None) -> DataFrame:
     """A Golden table. ``with_year`` adds the fact's partition column, by which
-    filtered reads skip the folders of other years."""
-    return store.read(table, GOLDEN_SCHEMA[table], version, partition_col=S.YEAR if with_year and table in YEARLY else None)
+    filtered reads skip the folders of other years. With ``company_id`` only
+    the folders that may hold that company are opened (filter the result by it:
+    a bucket holds other companies as well)."""
+    entry, parts = None, None
+    if company_id is not None:
+        entry = store.entry_of(table, version) if version else store.current(table)
+        parts = parts_of_company(entry, company_id)
+    return store.read(table, GOLDEN_SCHEMA[table], version, entry=entry, parts=parts, partition_col=S.YEAR if with_year and table in YEARLY else None)
 
 
 def calculate_metrics(spark: SparkSession, store: Store, company_id: str | None = None) -> dict:
@@ -325,22 +375,23 @@ def calculate_metrics(spark: SparkSession, store: Store, company_id: str | None
     table = "fact_company_monthly_financials"
     for attempt in range(3):
         base = store.current(table)
-        fact = store.read(table, S.FACT_FINANCIALS, entry=base, partition_col=S.YEAR)
         scope = F.lit(True)
-        years = [p.split("=", 1)[1] for p in base.parts] if base else []
+        parts = sorted(base.parts) if base else []
         if company_id is not None:
             scope = F.col("company_id") == str(company_id)
-            years = [r[0] for r in fact.where(scope).select(S.YEAR).distinct().collect()]  # bounded by the calendar
-        if not years:
+            fact = store.read(table, S.FACT_FINANCIALS, entry=base, parts=parts_of_company(base, company_id))
+            parts = parts_in(fact.where(scope), table, base.buckets if base else 1)
+        if not parts:
             return {"status": "no_data", "message": f"No rows found in {table} to compute metrics for.", "company_id": company_id,
                     "total_rows": 0, "eligible_rows": 0, "updated_rows": 0}
-        part = store.read(table, S.FACT_FINANCIALS, entry=base, parts=[f"{S.YEAR}={y}" for y in years])
-        new = G.merge_metrics(part, company_id).withColumn(S.YEAR, fact_year(F.col("month")))
+        part = store.read(table, S.FACT_FINANCIALS, entry=base, parts=parts)
+        new = with_parts(G.merge_metrics(part, company_id), table, base.buckets)
         eligible = F.col("revenue").isNotNull() & F.col("expenses").isNotNull()
         version = f"metrics-{uuid.uuid4()}"
         try:
             seen = store.publish(table, new, version, {"total": F.count_if(scope), "eligible": F.count_if(scope & eligible)},
-                                 sort_within=[S.YEAR, *SORT_WITHIN[table]], base=base, partition_by=S.YEAR, parts=years)
+                                 sort_within=SORT_WITHIN[table], base=base, partition_by=part_columns(table, base.buckets), parts=parts,
+                                 buckets=base.buckets)
         except StaleBase:
             if attempt == 2:
                 raise

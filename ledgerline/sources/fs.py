@@ -9,6 +9,7 @@ for any Hadoop-compatible store (local, HDFS, S3A, ABFS, GCS).
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -91,30 +92,93 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         reader.close()
 
 
-def write_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text``; False, and nothing written, if it exists."""
+def _put(spark: SparkSession, path: str, text: str):
+    """Write a file whole; gives its Hadoop path."""
     fs, p = _fs(spark, path)
-    try:
-        out = fs.create(p, False)
-    except Exception as e:  # a Java exception: only "it exists" is expected here
-        if fs.exists(p):
-            return False
-        raise e
+    out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    return p
+
+
+def _beside(path: str) -> str:
+    """A hidden name of its own in the same folder: renames stay in one place."""
+    folder, name = path.rsplit("/", 1)
+    return f"{folder}/.{name}.{uuid.uuid4().hex}.tmp"
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish ``path`` with ``text``, whole or not at all; False, and nothing
+    changed, if it exists.
+
+    The text goes to a hidden file first. On a local or mounted file system
+    that file is then linked under the name, which fails if the name is taken;
+    elsewhere it is renamed without overwriting, one atomic step of the name
+    node on HDFS. On object stores, whose objects appear whole but whose
+    renames are copies, the file is created under its name, if that is free."""
+    fs, target = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    scheme = fs.getUri().getScheme()
+    if scheme in OBJECT_STORES:
+        try:
+            out = fs.create(target, False)
+            out.write(bytearray(text.encode("utf-8")))
+            out.close()
+            return True
+        except Exception as e:  # a Java exception: only "it exists" is expected here
+            if fs.exists(target):
+                return False
+            raise e
+    hidden = _put(spark, _beside(path), text)
+    try:
+        if scheme == "file":
+            nio = jvm.java.io.File
+            jvm.java.nio.file.Files.createLink(nio(target.toUri().getPath()).toPath(), nio(hidden.toUri().getPath()).toPath())
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(hidden, target, none)
+    except Exception as e:
+        if fs.exists(target):
+            return False
+        raise e
+    finally:
+        fs.delete(hidden, False)
     return True
 
 
+#: Schemes whose files appear under their name when they are closed.
+OBJECT_STORES = {"s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cosn", "abfs", "abfss"}
+
+
 def write_over(spark: SparkSession, path: str, text: str) -> None:
-    """Write ``path``, replacing it."""
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    """Write ``path`` whole, replacing it in one step: readers see the old text
+    or the new one."""
+    fs, target = _fs(spark, path)
+    if fs.getUri().getScheme() in OBJECT_STORES:
+        _put(spark, path, text)
+        return
+    hidden = _put(spark, _beside(path), text)
+    jvm = spark.sparkContext._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        context.rename(hidden, target, over)
     finally:
-        out.close()
+        fs.delete(hidden, False)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the shown files and folders in a folder; many are listed by a
+    Spark job."""
+    found = listing(spark, path)
+    if found is None:
+        rows = spark.read.format("binaryFile").load(path).select("path").collect()
+        return sorted(r[0].rsplit("/", 1)[-1] for r in rows)
+    return sorted(p.rsplit("/", 1)[-1] for p, _, _ in found if shown(p))
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,0 +1,210 @@
+"""The version log after crashes, and tables in buckets."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+
+from conftest import _write_text as _write
+from ledgerline.plans.loader import calculate_metrics, load_entity, read_golden
+from ledgerline.plans.read import read_company, read_financials
+from ledgerline.sources import fs
+from ledgerline.sources import store as ST
+from ledgerline.sources.store import StaleBase, Store
+
+HDR = "company_id,name,industry,country\n"
+REV = "company_id,month,revenue,currency,updated_at\n"
+FACT = "fact_company_monthly_financials"
+
+
+def _company(store, workdir, *ids, name="n"):
+    text = HDR + "".join(f"{i},{name},i,c\n" for i in ids)
+    return load_entity(store.spark, store, "company", _write(f"{workdir}/in/{len(ids)}-{ids[0]}{name}.csv", text)).load_uuid
+
+
+def _ids(store):
+    return sorted(int(r.company_id) for r in read_golden(store, "dim_company").collect())
+
+
+def _local(path):
+    return path.replace("file:", "")
+
+
+def _log(store, table="dim_company"):
+    return f"{_local(store.table_path(table))}/_versions"
+
+
+TORN = ["", "{", '{"number": 2, "version": "x", "commi', "null\n", "[]\n", '{"number": 77, "version": "x", "committed_at": "2024-01-01T00:00:00", "rows": 0}\n']
+
+
+@pytest.mark.parametrize("text", TORN)
+def test_torn_entry_never_changes_what_is_read(spark, workdir, text):
+    store = Store(spark, workdir)
+    _company(store, workdir, 1)
+    _company(store, workdir, 2)
+    before = store.current("dim_company")
+    with open(f"{_log(store)}/{before.number + 1:012d}.json", "w") as f:
+        f.write(text)
+    assert store.current("dim_company") == before and _ids(store) == [1, 2]
+    third = _company(store, workdir, 3)  # the next load is published behind it
+    assert _ids(store) == [1, 2, 3] and store.current("dim_company").number == before.number + 2
+    assert store.committed("dim_company", third)
+    assert store.versions("dim_company").count() == 3
+    assert store.version_at("dim_company", dt.datetime(2999, 1, 1)) == third
+    assert store.version_at("dim_company", dt.datetime.fromisoformat(before.committed_at)) == before.version
+    # A feed against the dimension sees its keys: nothing becomes an orphan.
+    res = load_entity(spark, store, "revenue", _write(f"{workdir}/in/r.csv", REV + "3,2024-01,5,USD,2024-01-01\n"))
+    assert (res.clean_rows, res.quarantined_rows) == (1, 0)
+    store.expire("dim_company", keep=1)
+    assert _ids(store) == [1, 2, 3] and len(os.listdir(_log(store))) <= 2
+
+
+@pytest.mark.parametrize("text", ["", "x\n", "0\n", "999\n", "-3\n", None])
+@pytest.mark.parametrize("expired", [False, True])
+def test_lost_torn_or_stale_notes(spark, workdir, text, expired):
+    store = Store(spark, workdir)
+    loads = [_company(store, workdir, i) for i in (1, 2, 3)]
+    if expired:
+        store.expire("dim_company", keep=1)
+    notes = [f"{_local(store.table_path('dim_company'))}/_newest", f"{_local(store.table_path('dim_company'))}/_numbers/{loads[-1]}"]
+    for path in notes[:1] if text is None else notes:
+        os.remove(path)
+        crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+        if text is not None:
+            with open(path, "w") as f:
+                f.write(text)
+    assert _ids(store) == [1, 2, 3]
+    if text in ("", "x\n", None):
+        assert store.committed("dim_company", loads[-1])
+    assert store.committed("dim_company", loads[0]) is not expired
+    _company(store, workdir, 4)
+    assert _ids(store) == [1, 2, 3, 4]
+
+
+def test_killed_before_the_rename_leaves_the_table_as_it_was(spark, workdir, monkeypatch):
+    store = Store(spark, workdir)
+    _company(store, workdir, 1)
+
+    def killed(spark_, path, text):
+        fs._put(spark_, fs._beside(path), text[: len(text) // 2])
+        raise SystemError("killed")
+
+    monkeypatch.setattr(fs, "write_new", killed)
+    with pytest.raises(SystemError):
+        store.publish("dim_company", read_golden(store, "dim_company"), "x", base=store.current("dim_company"))
+    monkeypatch.undo()
+    assert _ids(store) == [1] and not store.committed("dim_company", "x")
+    assert store.versions("dim_company").count() == 1  # hidden files are no entries
+    _company(store, workdir, 2)
+    assert _ids(store) == [1, 2]
+
+
+def test_write_new_is_exclusive_and_whole(spark, workdir):
+    import threading
+
+    path, won = f"{workdir}/log/1.json", []
+    start = threading.Barrier(8)
+
+    def write(i):
+        start.wait()
+        if fs.write_new(spark, path, f"writer {i}\n" * 200):
+            won.append(i)
+
+    threads = [threading.Thread(target=write, args=(i,)) for i in range(8)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert len(won) == 1
+    with open(_local(path)) as f:
+        assert f.read() == f"writer {won[0]}\n" * 200
+    assert [n for n in os.listdir(_local(f"{workdir}/log")) if not n.endswith(".crc")] == ["1.json"]
+    fs.write_over(spark, path, "new\n")
+    assert fs.read_text(spark, path) == "new"
+
+
+def test_stale_base_behind_a_torn_entry(spark, workdir):
+    store = Store(spark, workdir)
+    _company(store, workdir, 1)
+    base, rows = store.current("dim_company"), read_golden(store, "dim_company")
+    with open(f"{_log(store)}/{base.number + 1:012d}.json", "w"):
+        pass
+    store.publish("dim_company", rows, "x", base=base)
+    with pytest.raises(StaleBase):
+        store.publish("dim_company", rows, "y", base=base)
+    assert store.current_version("dim_company") == "x"
+
+
+def _files(store, table="dim_company"):
+    """Data files of the current version, by part."""
+    entry = store.current(table)
+    return {p: sorted(glob.glob(f"{_local(store.table_path(table))}/v={v}/{p}/*.parquet")) for p, v in entry.parts.items()}
+
+
+def test_a_small_company_feed_rewrites_its_buckets_only(spark, workdir):
+    store = Store(spark, workdir, least_buckets=8)
+    _company(store, workdir, *range(200))
+    before = _files(store)
+    assert len(before) == 8 and all(len(f) == 1 for f in before.values())
+    _company(store, workdir, 17, name="new")
+    after = _files(store)
+    changed = [p for p in after if after[p] != before[p]]
+    assert len(changed) == 1 and _ids(store) == list(range(200))
+    assert [r.name for r in read_company(read_golden(store, "dim_company", company_id="17"), company_id="17").collect()] == ["new"]
+    _company(store, workdir, 1000)
+    assert len([p for p in _files(store) if _files(store)[p] != after[p]]) == 1 and 1000 in _ids(store)
+    assert store.current("dim_company").total == 201
+
+
+def test_reads_by_company_open_its_bucket_only(spark, workdir):
+    store = Store(spark, workdir, least_buckets=4)
+    _company(store, workdir, *range(40))
+    rows = "".join(f"{c},{y}-0{m},{c * m},USD,2024-01-01\n" for c in range(40) for y in (2022, 2023) for m in (1, 2, 3))
+    load_entity(spark, store, "revenue", _write(f"{workdir}/in/r.csv", REV + rows))
+    assert len(store.current(FACT).parts) == 8
+    everything = read_golden(store, FACT)
+    for company in ("3", "11", "nobody"):
+        some = read_golden(store, FACT, with_year=True, company_id=company)
+        folders = {os.path.dirname(f) for f in some.inputFiles()}
+        assert len(folders) == 2 and len({f.rsplit("=", 1)[1] for f in folders}) == 1
+        want = sorted(map(tuple, read_financials(everything, company_id=company).collect()), key=str)
+        assert sorted(map(tuple, read_financials(some, company_id=company).drop("fact_year").collect()), key=str) == want
+    before = _files(store, FACT)
+    assert calculate_metrics(spark, store, "3")["total_rows"] == 6
+    after = _files(store, FACT)
+    assert sum(after[p] != before[p] for p in after) == 2  # its bucket of each year
+    assert read_golden(store, FACT).count() == 240
+
+
+def test_tables_get_more_buckets_as_they_grow(spark, workdir, monkeypatch):
+    monkeypatch.setattr(ST, "BUCKET_ROWS", 10)
+    store = Store(spark, workdir)
+    _company(store, workdir, *range(5))
+    assert store.current("dim_company").buckets == 1
+    _company(store, workdir, *range(5, 60))
+    assert store.current("dim_company").buckets == 8 and _ids(store) == list(range(60))
+    _company(store, workdir, 3, name="later")
+    names = {int(r.company_id): r.name for r in read_golden(store, "dim_company").collect()}
+    assert names == {i: "later" if i == 3 else "n" for i in range(60)}
+    rows = "".join(f"{c},2022-01,1,USD,2024-01-01\n" for c in range(8))
+    load_entity(spark, store, "revenue", _write(f"{workdir}/in/r1.csv", REV + rows))
+    more = "".join(f"{c},{y}-02,2,USD,2024-01-01\n" for c in range(60) for y in (2022, 2023))
+    load_entity(spark, store, "revenue", _write(f"{workdir}/in/r2.csv", REV + more))
+    got = {(r.company_id, r.month): r.revenue for r in read_golden(store, FACT).collect()}
+    assert got == {(str(c), "2022-01"): 1.0 for c in range(8)} | {(str(c), f"{y}-02"): 2.0 for c in range(60) for y in (2022, 2023)}
+    assert store.current(FACT).buckets > 1 and calculate_metrics(spark, store)["total_rows"] == 128
+
+
+def test_files_do_not_follow_the_number_of_tasks(spark, workdir):
+    store = Store(spark, workdir)
+    _company(store, workdir, *range(30))
+    rows = "".join(f"{c},{y}-01,1,USD,2024-01-01\n" for c in range(30) for y in range(2010, 2020))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        load_entity(spark, store, "revenue", _write(f"{workdir}/in/r.csv", REV + rows))
+        load_entity(spark, store, "revenue", _write(f"{workdir}/in/r2.csv", REV + rows.replace(",1,USD", ",2,USD")))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert {p: len(f) for p, f in _files(store, FACT).items()} == {f"fact_year={y}": 1 for y in range(2010, 2020)}
