@@ -165,7 +165,8 @@ fact_m AS (
          CASE WHEN elig AND revenue <> 0 THEN (revenue - expenses) / revenue * 100 END AS gross_margin_pct,
          CASE WHEN elig AND prev_rev IS NOT NULL AND prev_rev <> 0
               THEN (revenue - prev_rev) / prev_rev * 100 END AS mom_revenue_growth_pct,
-         round(CASE WHEN elig THEN roll END, 2) AS rolling_3m_revenue
+         round(CASE WHEN elig THEN roll END, 2) AS rolling_3m_revenue,
+         revenue_updated_at, expenses_updated_at, revenue_pipeline_load_uuid, expense_pipeline_load_uuid
   FROM fact_w),
 company_b2 AS (
   SELECT CAST(c_custkey + 50 AS VARCHAR) AS company_id, upper(c_name) AS name, c_mktsegment AS industry,
@@ -403,13 +404,13 @@ FROM (SELECT f.company_id, f.month, f.revenue, f.updated_at, CAST(s.dated AS DAT
       FROM rev_clean f JOIN revenue_b2 s ON f.company_id = s.company_id AND f.month = s.month) f
 JOIN revenue_b2 s ON f.company_id = s.company_id AND f.month = s.month""",
     "fact_as_json": f"""
-SELECT '{','.join(f.name for f in FACT_FINANCIALS.fields)}' AS json_keys, f.company_id, f.month, m.revenue, m.expenses, m.currency, gross_profit,
+SELECT '{','.join(f.name for f in FACT_FINANCIALS.fields)}' AS json_keys, company_id, month, revenue, expenses, currency, gross_profit,
        gross_margin_pct, mom_revenue_growth_pct, rolling_3m_revenue, strftime(revenue_updated_at, '%Y-%m-%d') AS revenue_updated_at,
        strftime(expenses_updated_at, '%Y-%m-%d') AS expenses_updated_at,
        CASE WHEN revenue_pipeline_load_uuid IS NOT NULL THEN '2024-03-01T00:00:00' END AS revenue_pipeline_loaded_at,
        CASE WHEN expense_pipeline_load_uuid IS NOT NULL THEN '2024-03-01T00:00:00' END AS expense_pipeline_loaded_at,
        revenue_pipeline_load_uuid, expense_pipeline_load_uuid, '2024-03-01T00:00:00' AS updated_at
-FROM fact f JOIN fact_m m ON f.company_id = m.company_id AND f.month = m.month""",
+FROM fact_m""",
 }
 
 

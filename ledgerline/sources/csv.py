@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 
 import csv as _csv
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
+
 from ledgerline.schemas import ROW_ID, ROW_ORD
+from ledgerline.session import workspace_root
 from ledgerline.sources import fs
 
 
@@ -65,14 +70,18 @@ def has_quoted_newline(spark: SparkSession, path: str | list[str]) -> bool:
 
 
 def spans_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """Must the feed be parsed file by file, so that no quoted newline is cut?
-    Files of one split lose nothing by it. Only where files are larger are the
-    lines looked at first, and split when every one of them is whole."""
-    if files_of(spark, path)[1] <= _split_bytes(spark):
+    """Must the feed be parsed with an eye to quoted newlines? Only feeds that
+    Spark would split are looked at: those that fit one split lose nothing by
+    being parsed whole."""
+    if files_of(spark, path)[1] <= min(_split_bytes(spark), SMALL_FEED):
         return True
     return has_quoted_newline(spark, path)
 
 
+#: Files up to this size are parsed whole when they may hold quoted newlines.
+SMALL_FEED = 8 << 20
+
+
 def text_schema(cols: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
                         + [T.StructField("_corrupt_record", T.StringType(), True)])
@@ -107,6 +116,110 @@ def with_position(df: DataFrame, files: list[tuple[str, int]] | None = None) ->
     return df.withColumn(ROW_ORD, F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.col(ROW_ID).alias("pos")))
 
 
+_FRAGMENT = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("at", T.LongType()),
+                         T.StructField("record", T.StringType()), T.StructField("kind", T.StringType())])
+
+
+def _records(batches):
+    """The records of splits, from their lines in order and whether a split
+    begins inside quotes: whole ones; the ``head`` that ends a record of an
+    earlier split; the ``tail`` that goes on in a later one; ``inner`` where a
+    split has neither a beginning nor an end of the record it lies in."""
+    schema = to_arrow_schema(_FRAGMENT)
+    key, held, quoted, at, headless, out, size = None, [], False, 0, False, [], 0
+
+    def add(kind):
+        nonlocal held, at, size
+        record = "\n".join(held)
+        out.append((*key, at, record, kind))
+        held, at, size = [], at + 1, size + len(record) + 50
+
+    def end():
+        if held:
+            add("inner" if headless else "tail")
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    for b in batches:
+        for file, block, enters, line in zip(*[c.to_pylist() for c in b.columns]):
+            if key != (file, block):
+                end()
+                key, quoted, headless, at = (file, block), enters, enters, 0
+            held.append(line)
+            quoted ^= line.count('"') % 2 == 1
+            if not quoted:
+                add("head" if headless else "whole")
+                headless = False
+            if size > 1 << 23:
+                yield batch()
+                out, size = [], 0
+    end()
+    if out:
+        yield batch()
+
+
+def quoted_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, block, at, record): the records of CSV files whose quoted fields
+    may hold newlines, read in splits of lines.
+
+    Whether a split begins inside quotes follows from the number of quotes in
+    all splits before it: one pass counts them for each split, a running sum
+    over the (few) splits of a file carries them on, and each task then cuts
+    its lines into records. What crosses a split, at most two pieces of each,
+    is put together by a grouping."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    odd = F.pmod(F.sum(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))), F.lit(2))
+    splits = lines.groupBy("file", "block").agg(odd.alias("odd"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    workspace_root(spark)
+    splits = splits.select("file", "block", (F.pmod(F.coalesce(F.sum("odd").over(before), F.lit(0)), F.lit(2)) == 1).alias("enters")).checkpoint()
+    # One narrow row for each split (of some 128 MB) and no shuffle of the
+    # lines, so that they reach the tasks in order.
+    inside = {(r.file, r.block) for r in splits.where("enters").collect()}
+    shared = spark.sparkContext.broadcast(inside)
+
+    def cut(batches):
+        def entered():
+            for b in batches:
+                keys = zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([k in shared.value for k in keys], pa.bool_()), b.column(2)],
+                                                 names=["file", "block", "enters", "value"])
+
+        yield from _records(entered())
+
+    found = lines.mapInArrow(cut, _FRAGMENT)
+    pieces = found.where("kind <> 'whole'")
+    order = Window.partitionBy("file").orderBy("block", "at")
+    begun = pieces.withColumn("chain", F.sum((F.col("kind") == "tail").cast("int")).over(order))
+    joined = (begun.groupBy("file", "chain").agg(F.sort_array(F.collect_list(F.struct("block", "at", "record"))).alias("p"))
+              .select("file", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["at"].alias("at"),
+                      F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record")))
+    return found.where("kind = 'whole'").select("file", "block", "at", "record").unionByName(joined)
+
+
+def read_quoted(spark: SparkSession, path: str | list[str], cols: list[str], files: list[tuple[str, int]] | None) -> DataFrame:
+    """The feed by ``quoted_records``, with the columns of ``read_feed``."""
+    records = quoted_records(spark, path).where(F.btrim("record", F.lit("\r")) != "")
+    first = (F.col("block") == 0) & (F.col("at") == 0)
+    text = F.regexp_replace("record", "\r$", "")
+    ddl = ", ".join("`{}` STRING".format(c.replace("`", "``")) for c in text_schema(cols).names)
+    parsed = F.from_csv(text, ddl, {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "maxCharsPerColumn": "-1"})
+    heads = records.where(first).select(F.regexp_replace(text, "^\ufeff", "").alias("h")).distinct().limit(2).collect()
+    if any(next(_csv.reader([r.h])) != cols for r in heads):
+        raise FeedError(f"files with differing headers in {path}")
+    rows = records.where(~first).select("file", "block", "at", parsed.alias("r")).select("file", "block", "at", "r.*")
+    rows = rows.withColumn(ROW_ID, F.monotonically_increasing_id())
+    names = [fs.uri_name(spark, p) for p, _ in files or []]
+    if names and len(set(names)) == len(names) < _FILES:
+        number = F.array_position(F.array(*[F.lit(n) for n in names]), F.regexp_extract("file", "[^/]+$", 0)) - 1
+        # A record takes a byte at least, so start of the split + number in it orders all records of a file.
+        place = number * F.lit(_ROWS * _BLOCKS) + F.col("block") + F.col("at")
+        return rows.withColumn(ROW_ORD, place.cast("bigint")).drop("file", "block", "at")
+    return rows.withColumn(ROW_ORD, F.struct("file", "block", F.col("at").alias("pos"))).drop("file", "block", "at")
+
+
 def read_feed(spark: SparkSession, path: str | list[str], multiline: bool | None = None,
               columns: list[str] | None = None) -> DataFrame:
     """All columns as STRING (types come from explicit parsing, never inference).
@@ -118,13 +231,17 @@ def read_feed(spark: SparkSession, path: str | list[str], multiline: bool | None
     and so does a file whose header differs from the first one's (the scan
     raises it).
 
-    ``multiline``: None finds out whether quoted newlines need whole files to
-    be parsed (see ``spans_lines``); True always parses whole files; False
+    ``multiline``: None finds out whether there are quoted newlines (see
+    ``spans_lines``) and then cuts large files at records (``read_quoted``;
+    compressed files are parsed whole); True always parses whole files; False
     splits files at lines and refuses a feed with a quoted newline.
     """
     cols = columns if columns is not None else header_columns(spark, path)
     if multiline is None:
         multiline = spans_lines(spark, path)
+        first, largest = files_of(spark, path)
+        if multiline and largest > min(_split_bytes(spark), SMALL_FEED) and fs.splittable(spark, first):
+            return read_quoted(spark, path, cols, few_files(spark, path))
     elif not multiline and has_quoted_newline(spark, path):
         raise FeedError(f"quoted newline in {path}: it cannot be split at lines")
     df = csv_options(spark.read.schema(text_schema(cols)), multiline).csv(path)

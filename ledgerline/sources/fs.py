@@ -109,6 +109,13 @@ def _beside(path: str) -> str:
     return f"{folder}/.{name}.{uuid.uuid4().hex}.tmp"
 
 
+def splittable(spark: SparkSession, path: str) -> bool:
+    """Is a file plain, so that it can be read from the middle?"""
+    _, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p) is None
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Publish ``path`` with ``text``, whole or not at all; False, and nothing
     changed, if it exists.
