@@ -403,6 +403,11 @@ SELECT f.company_id, f.month, CASE WHEN late THEN f.revenue ELSE s.revenue * 2 E
 FROM (SELECT f.company_id, f.month, f.revenue, f.updated_at, CAST(s.dated AS DATE) < CAST(f.updated_at AS DATE) AS late
       FROM rev_clean f JOIN revenue_b2 s ON f.company_id = s.company_id AND f.month = s.month) f
 JOIN revenue_b2 s ON f.company_id = s.company_id AND f.month = s.month""",
+    "fact_in_base": """
+SELECT company_id, month, currency, rate, rate_date, revenue * rate AS revenue_base, expenses * rate AS expenses_base,
+       gross_profit * rate AS gross_profit_base FROM fact_usd""",
+    "missing_rate_counts": """
+SELECT currency, count(*) AS row_count, count(*) FILTER (rate IS NULL) AS missing_rate FROM fact_usd GROUP BY currency""",
     "fact_as_json": f"""
 SELECT '{','.join(f.name for f in FACT_FINANCIALS.fields)}' AS json_keys, company_id, month, revenue, expenses, currency, gross_profit,
        gross_margin_pct, mom_revenue_growth_pct, rolling_3m_revenue, strftime(revenue_updated_at, '%Y-%m-%d') AS revenue_updated_at,
@@ -414,11 +419,29 @@ FROM fact_m""",
 }
 
 
+IN_BASE = """
+rates_m AS (
+  SELECT local_currency AS currency, date_trunc('month', try_cast(date AS DATE)) AS first, try_cast(date AS DATE) AS rate_date, fx_rate AS rate
+  FROM fx1 WHERE base_currency = 'USD' AND try_cast(date AS DATE) IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY local_currency, date_trunc('month', try_cast(date AS DATE)) ORDER BY try_cast(date AS DATE) DESC, date DESC) = 1),
+fact_usd AS (
+  SELECT f.company_id, f.month, f.currency, CASE WHEN f.currency = 'USD' AND m.first IS NOT NULL THEN 1.0::DOUBLE ELSE r.rate END AS rate,
+         CASE WHEN f.currency <> 'USD' THEN r.rate_date END AS rate_date, f.revenue, f.expenses, f.gross_profit
+  FROM fact_m f LEFT JOIN (SELECT DISTINCT month, CAST(try_strptime(month, '%Y-%m') AS DATE) AS first FROM fact_m) m ON m.month = f.month
+  LEFT JOIN (SELECT DISTINCT k.currency, k.month, last_value(r.rate) OVER w AS rate, last_value(r.rate_date) OVER w AS rate_date
+             FROM (SELECT DISTINCT currency, month, CAST(try_strptime(month, '%Y-%m') AS DATE) AS first FROM fact_m) k
+             JOIN rates_m r ON r.currency = k.currency AND r.first <= k.first
+             WINDOW w AS (PARTITION BY k.currency, k.month ORDER BY r.first ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) r
+    ON r.currency = f.currency AND r.month = f.month)"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, select in SQL.items():
         ctes = CTES.strip()
         if name.startswith("audit_"):
             ctes = ctes + ",\n" + AUDIT_ROWS
+        if name in ("fact_in_base", "missing_rate_counts"):
+            ctes = ctes + "," + IN_BASE
         out[name] = "WITH " + ctes + "\n" + select.strip()
     return out

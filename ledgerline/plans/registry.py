@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.functions import normalise as N
+from ledgerline.operators.convert import missing_rates, to_base_currency
 from ledgerline.operators.classify import KNOWN, flag_known, orphan_rows
 from ledgerline.operators.merge import ACTION, merge_counts
 from ledgerline.operators.metrics import metrics_summary as _metrics_summary
@@ -362,6 +363,17 @@ def fact_as_json(spark, sf):
     return j.select(F.array_join(F.json_object_keys("json"), ",").alias("json_keys"), *[v.alias(c) for c, v in value.items()])
 
 
+def fact_in_base(spark, sf):
+    """The fact in US dollars, at the rate last known in each row's month."""
+    return to_base_currency(D.fact_table(spark, sf), D.fx_table(spark, sf), "usd").select(
+        "company_id", "month", "currency", "rate", "rate_date", "revenue_base", "expenses_base", "gross_profit_base")
+
+
+def missing_rate_counts(spark, sf):
+    """Rows of the fact, and those without a rate into US dollars, by currency."""
+    return missing_rates(to_base_currency(D.fact_table(spark, sf), D.fx_table(spark, sf)))
+
+
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_required_conf(spark)
@@ -417,6 +429,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _wrap(v) for
     "load_expense": load_expense,
     "load_fx": load_fx,
     "fact_as_json": fact_as_json,
+    "fact_in_base": fact_in_base,
+    "missing_rate_counts": missing_rate_counts,
     "load_metrics": load_metrics,
     "load_metrics_one": load_metrics_one,
     "metrics_run": metrics_run,
