@@ -27,6 +27,7 @@ from ledgerline.plans.oracle_sql import UUID2, UUID_FX2
 from ledgerline.session import apply_required_conf, new_run_dir
 from ledgerline.sources import fixtures as X
 from ledgerline.sources.csv import read_feed, write_feed
+from ledgerline.sources.handoff import hand_off, read_hand_off
 
 ENTITIES = ("company", "revenue", "expense", "fx_rate")
 ONE_COMPANY = "7"
@@ -374,6 +375,15 @@ def missing_rate_counts(spark, sf):
     return missing_rates(to_base_currency(D.fact_table(spark, sf), D.fx_table(spark, sf)))
 
 
+def hand_off_round_trip(spark, sf):
+    """All quarantined rows, handed off as ordered CSV files and read back."""
+    folder = f"{new_run_dir(spark, 'handoff')}/quarantine"
+    rows = quarantine_union(spark, sf).withColumnRenamed(S.ROW_ORD, "seq")  # a feed read back has its own row_ord
+    hand_off(rows, folder, order_by=["entity", "seq"])
+    back = read_hand_off(spark, folder)
+    return back.select("entity", F.col("seq").cast("bigint").alias(S.ROW_ORD), "company_id", "month", S.REASON)
+
+
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_required_conf(spark)
@@ -429,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _wrap(v) for
     "load_expense": load_expense,
     "load_fx": load_fx,
     "fact_as_json": fact_as_json,
+    "hand_off_round_trip": hand_off_round_trip,
     "fact_in_base": fact_in_base,
     "missing_rate_counts": missing_rate_counts,
     "load_metrics": load_metrics,

@@ -178,6 +178,31 @@ def write_over(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(hidden, False)
 
 
+def files(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
+    """(path, False, length) of all files in a folder, listed by a Spark job if
+    there are many."""
+    found = listing(spark, path)
+    if found is None:
+        return [(r.path, False, r.length) for r in spark.read.format("binaryFile").load(path).select("path", "length").collect()]
+    return [x for x in found if not x[1]]
+
+
+def rename_new(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename a file or folder unless the target exists: False then."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path(target)
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(p, to, none)
+    except Exception as e:  # a Java exception: only "it exists" is expected here
+        if fs.exists(to):
+            return False
+        raise e
+    return True
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of the shown files and folders in a folder; many are listed by a
     Spark job."""
