@@ -13,7 +13,9 @@ labelled by that mark-up, and its blocks set again in ``LAYOUTS``, page layouts
 with other elements and class names around them (menus, sidebars, notices,
 forms, comments and so on), where the place in the layout is the label. Weights
 maximise the conditional likelihood by gradient steps over forward-backward
-sums. This fit alone uses a sample; every page is extracted whole.
+sums. This fit alone uses a sample: of a sampled page the first 4 *
+``FIT_BLOCKS`` blocks as a chain, and ``FIT_BLOCKS`` texts for the layouts.
+Every page is extracted whole.
 
 Defined cases: null and empty html give an empty text. Broken mark-up is read
 as browsers do: unclosed elements end with their parents, an unclosed comment
@@ -71,15 +73,22 @@ def _marks(attrs: str) -> tuple[str, ...]:
             if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
                 out.append("hidden")
             elif name != "style":
-                out += ["c=" + w.lower() for w in _CLASS_WORD.findall(value)[:12]]
+                out += ["c=" + w.lower() for w in _CLASS_WORD.findall(value)]
     return tuple(out)
 
 
-def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
-    """(text, features) of the leaf blocks of a page, in page order."""
-    out: list[tuple[str, tuple[str, ...]]] = []
+def blocks(page: str | None, weight=None, most: int | None = None) -> list[tuple]:
+    """(text, features) of the leaf blocks of a page, in page order; blocks
+    after the first ``most`` go without the features of their ancestors. With
+    ``weight``, the weight of a feature, (text, own features, sum of the
+    ancestors' weights): that sum is kept for each open element, so the work
+    does not grow with the depth."""
+    out: list[tuple] = []
+    sums = [0.0]  # weights of the features of all elements up to each depth
     stack: list[tuple[str, tuple[str, ...]]] = []  # open elements with their features
     open_count: dict[str, int] = {}
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of each tag
+    block_at: list[int] = []  # depths of the open block elements
     parts: list[str] = []
     links = 0  # characters of the current block inside links
     foreign = None  # depth of the outermost open svg or math
@@ -90,8 +99,12 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
             raw = "".join(parts)
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
             if text:
-                own = next((t for t, _ in reversed(stack) if t in BLOCK), "none")
-                out.append((text, (*open_count, f"own={own}", *_text_marks(text, links))))
+                own = stack[block_at[-1]][0] if block_at else "none"
+                marks = (f"own={own}", *_text_marks(text, links))
+                if weight is not None:
+                    out.append((text, marks, sums[-1]))
+                else:
+                    out.append((text, (*open_count, *marks) if most is None or len(out) < most else marks))
         parts.clear()
         links = 0
 
@@ -99,27 +112,40 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
         nonlocal foreign
         if foreign is None and tag in FOREIGN:
             foreign = len(stack)
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            block_at.append(len(stack))
         stack.append((tag, marks))
+        total = sums[-1]
         for f in marks:
+            if weight is not None and f not in open_count:
+                total += weight(f, 0.0)
             open_count[f] = open_count.get(f, 0) + 1
+        sums.append(total)
 
     def pop():
         nonlocal foreign
-        for f in stack.pop()[1]:
+        tag, marks = stack.pop()
+        sums.pop()
+        open_at[tag].pop()
+        if tag in BLOCK:
+            block_at.pop()
+        for f in marks:
             open_count[f] -= 1
             if not open_count[f]:
                 del open_count[f]
         if foreign is not None and len(stack) <= foreign:
             foreign = None
 
+    def innermost(names):
+        return max((open_at[n][-1] for n in names if open_at.get(n)), default=-1)
+
     def close(names, stops=()):
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                while len(stack) > k:
-                    pop()
-                return
-            if stack[k][0] in stops:
-                return
+        """End the nearest open element of ``names``, if none of ``stops`` is nearer."""
+        k = innermost(names)
+        if k >= 0 and innermost(stops) <= k:
+            while len(stack) > k:
+                pop()
 
     page, at = page or "", 0
     while m := _TOKEN.match(page, at):
@@ -143,8 +169,6 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...]]]:
         if tag == "br":
             parts.append(" ")
         elif m[1]:
-            if tag == "p" and not any(t == "p" for t, _ in stack[-4:]):
-                continue
             close({tag})
         elif tag in RAW:
             if not m[3].endswith("/"):
@@ -243,7 +267,7 @@ def training_set(pages: list[str], seed: int = 5) -> list[list[tuple[tuple[str,
     rng = np.random.default_rng(seed)
     chains, texts, others = [], [], list(SAMPLE)
     for page in pages:
-        found = blocks(page)
+        found = blocks(page, most=4 * FIT_BLOCKS)
         marks = [bool({"article", "main"} & set(f)) and not _OUTSIDE & set(f) for _, f in found]
         if any(marks):
             chains.append(list(zip(sequence(found), map(int, marks)))[:4 * FIT_BLOCKS])
@@ -265,12 +289,13 @@ class Model:
     def __init__(self, weights: dict[str, float], transitions: list[list[float]]):
         self.weights, self.transitions = weights, transitions
 
-    def labels(self, features: list[tuple[str, ...]]) -> list[int]:
-        """Viterbi: the most likely labels of a page's blocks."""
+    def labels(self, features: list[tuple[str, ...]], before: list[float] | None = None) -> list[int]:
+        """Viterbi: the most likely labels of a page's blocks, from their
+        features (and the sums of those that are not listed)."""
         get, ((t00, t01), (t10, t11)) = self.weights.get, self.transitions
         back, a, b = [], 0.0, 0.0  # best scores that end in "other" and in "content"
         for i, fs in enumerate(features):
-            s = sum([get(f, 0.0) for f in fs])
+            s = sum([get(f, 0.0) for f in fs]) + (before[i] if before else 0.0)
             if i:
                 from0, from1 = int(b + t10 > a + t00), int(b + t11 > a + t01)
                 a, b = max(a + t00, b + t10), max(a + t01, b + t11) + s
@@ -362,16 +387,19 @@ def log_likelihood(model: Model, chain) -> float:
 # ---- the operator ----
 
 def main_text(page: str | None, model: Model) -> str:
-    found = blocks(page)
-    return "\n".join(t for (t, _), y in zip(found, model.labels(sequence(found))) if y)
+    found = blocks(page, model.weights.get)
+    labels = model.labels(sequence([(t, f) for t, f, _ in found]), [x for *_, x in found])
+    return "\n".join(t for (t, *_), y in zip(found, labels) if y)
 
 
 def fit(pages: DataFrame, *, html_col: str = "html", fit_pages: int = FIT_PAGES) -> Model:
-    """A model from at most ``fit_pages`` pages, those of the smallest hashes
-    among the pages whose mark-up names the article."""
+    """A model from at most ``fit_pages`` different pages, those of the
+    smallest hashes among the pages whose mark-up names the article. Tasks
+    rank hashes; only the chosen pages reach the driver, once each."""
     h = F.col(f"`{html_col}`")
-    rows = (pages.where(h.contains("<article") | h.contains("<main")).select(h.alias("html"), F.xxhash64(h).alias("k"))
-            .orderBy("k", "html").limit(fit_pages).collect())
+    named = pages.where(h.contains("<article") | h.contains("<main")).select(h.alias("html"), F.xxhash64(h).alias("k"))
+    chosen = [r.k for r in named.select("k").distinct().orderBy("k").limit(fit_pages).collect()]
+    rows = named.where(F.col("k").isin(chosen)).groupBy("k").agg(F.min("html").alias("html")).orderBy("k").collect() if chosen else []
     return train(training_set([r.html for r in rows]))
 
 

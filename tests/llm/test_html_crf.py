@@ -130,3 +130,43 @@ def test_operator(spark):
 def test_no_page_to_learn_from(spark):
     got = H.extract(spark.createDataFrame([(1, f"<body><div class=menu>Home</div><div class='article-body'>{BODY}</div>")], "page_id long, html string")).first()
     assert got.text == "\n".join(PROSE)
+
+
+def test_all_class_words_count():
+    words = " ".join(f"w{chr(97 + i)}x" for i in range(20))
+    (_, features), = H.blocks(f'<div class="{words} sidebar"><p>text</p></div>')
+    assert "c=sidebar" in features and sum(f.startswith("c=") for f in features) == 21
+
+
+@pytest.mark.parametrize("inside", ["", "<b>", "<b><i>", "<a><b><i><u><em><span><small>"])
+def test_an_end_tag_reaches_its_paragraph(inside):
+    (_, one), (_, tail) = H.blocks(f"<div><p>{inside}x</p>tail</div>")
+    assert "p" in one and "p" not in tail and "div" in tail
+
+
+def test_scores_by_ancestor_sums_are_those_of_all_features(spark, model):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    for page in [*pages, "<div class='a b'><p class='a'>x</p><nav>y</nav></div>z", None, ""]:
+        plain = H.blocks(page)
+        assert H.main_text(page, model) == "\n".join(t for (t, _), y in zip(plain, model.labels(H.sequence(plain))) if y)
+
+
+def test_hostile_pages_take_linear_time(model):
+    import time
+
+    def seconds(page):
+        t = time.time()
+        H.main_text(page, model)
+        return time.time() - t
+
+    for make in (lambda n: "<span>" * n + "x" + "</b>" * n + "</i></p>" * n, lambda n: "".join(f"<div class=k{i}a>t" for i in range(n)),
+                 lambda n: "<ul>" * n + "<li>x" * n, lambda n: "<p><b>x" * n, lambda n: "<td>" * n + "</table>" * n):
+        seconds(make(2000))
+        assert seconds(make(32000)) < 12 * max(seconds(make(8000)), 0.05)
+
+
+def test_copies_do_not_crowd_out_the_sample(spark):
+    page = "<article><h1>T</h1><p>One, two, three.</p></article><footer>end</footer>"
+    other = "<body><nav>a</nav><main><p>Four, five.</p></main></body>"
+    df = spark.createDataFrame([(i, page) for i in range(500)] + [(501, other), (502, None)], "page_id long, html string")
+    assert "main" in H.fit(df, fit_pages=2).weights
