@@ -91,7 +91,7 @@ def tree(records: DataFrame, levels: int) -> list[DataFrame]:
               .agg(F.array_sort(F.collect_list(F.struct("node", "hash"))).alias("rows"))
               .select(*key, F.col("up").alias("node"),
                       F.sha2(F.array_join(F.transform("rows", lambda r: F.concat_ws(":", r["node"], r["hash"])), ";"), 256).alias("hash")))
-        out.append(up)
+        out.append(up.checkpoint())  # read twice by the comparison and by the level above
     return out
 
 

@@ -95,3 +95,28 @@ def test_report_and_empty_tables(spark):
     row = M.audit_report(a, empty).first()
     assert row.n_damaged == 200 and row.damaged.startswith("0@0+5000:missing,1@5000+5000:missing") and row.root_b is None
     assert M.audit_report(a, a).first().damaged == ""
+
+
+def test_a_replica_changed_anywhere_is_found(spark):
+    """Both sides are hashed from their own bytes: a change that the query's
+    rule does not name shows as well."""
+    pages = [(i, f"u{i}", f"<p>{i} " + "x" * (i * 37 % 900)) for i in range(300)]
+    ddl = "page_id long, url string, html string"
+    other = [(i, u, h[:-1] + "y" if i in (5, 131) else h) for i, u, h in pages]
+    a, b = (M.archives(spark.createDataFrame(p, ddl)) for p in (pages, other))
+    found = {r.archive: r.damaged for r in M.audit_report(a, b).collect() if not r.same}
+    assert sorted(found) == [0, 2] and found[0].startswith("5@") and found[2].startswith("131@")
+    assert all(d.endswith(":altered") and "," not in d for d in found.values())
+
+
+def test_query_hashes_its_replica(spark, tmp_path):
+    """A page that differs between two readings of the table differs in both
+    replicas' own digests; only the rule's records are reported."""
+    from ledgerline.llm import registry as R
+
+    pages = [(i, f"u{i}", None if i == 3 else "" if i == 110 else "é" + str(i)) for i in range(400)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = R.QUERIES["op3_merkle"](spark, str(tmp_path)).collect()
+    hit = sorted(int(d.split("@")[0]) for r in rows for d in r.damaged.split(",") if d.endswith("altered"))
+    assert {13, 207, 304} <= set(hit) and 110 not in hit  # an empty page has no first character
+    assert sum(d.endswith("missing") for r in rows for d in r.damaged.split(",")) >= 2
