@@ -192,13 +192,13 @@ def _any_large(sizes: DataFrame, shard_size: int) -> bool:
     return sizes.where(F.col("n") > shard_size).limit(1).count() > 0
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(v, root): the smallest node of each connected component, for every node
     that has an edge and is not that smallest node. Large-star and small-star
-    steps in turn until nothing changes."""
+    steps in turn until nothing changes, in as many rounds as that takes."""
     e = edges.select(F.greatest("fp", "other").alias("u"), F.least("fp", "other").alias("v")).where("u != v").distinct().checkpoint()
     mark = None
-    for _ in range(max_rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -210,7 +210,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == mark:
             return e.select("u", F.col("v").alias("root"))
         mark = now
-    raise RuntimeError("connected components did not settle")
 
 
 def _groups(narrow: DataFrame, radius: int, shard_size: int) -> DataFrame:
