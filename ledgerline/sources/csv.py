@@ -159,9 +159,14 @@ def _records(batches):
         yield batch()
 
 
-def quoted_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+#: Splits beginning inside quotes that are sent to the tasks; a feed with more
+#: is parsed file by file.
+MOST_INSIDE = 200_000
+
+
+def quoted_records(spark: SparkSession, path: str | list[str]) -> DataFrame | None:
     """(file, block, at, record): the records of CSV files whose quoted fields
-    may hold newlines, read in splits of lines.
+    may hold newlines, read in splits of lines; None beyond ``MOST_INSIDE``.
 
     Whether a split begins inside quotes follows from the number of quotes in
     all splits before it: one pass counts them for each split, a running sum
@@ -175,9 +180,12 @@ def quoted_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     workspace_root(spark)
     splits = splits.select("file", "block", (F.pmod(F.coalesce(F.sum("odd").over(before), F.lit(0)), F.lit(2)) == 1).alias("enters")).checkpoint()
-    # One narrow row for each split (of some 128 MB) and no shuffle of the
-    # lines, so that they reach the tasks in order.
-    inside = {(r.file, r.block) for r in splits.where("enters").collect()}
+    # Splits (of some 128 MB) that begin inside quotes, about 100 bytes each;
+    # the lines are not shuffled, so that they reach the tasks in order.
+    found = splits.where("enters").limit(MOST_INSIDE + 1).collect()
+    if len(found) > MOST_INSIDE:
+        return None
+    inside = {(r.file, r.block) for r in found}
     shared = spark.sparkContext.broadcast(inside)
 
     def cut(batches):
@@ -199,9 +207,12 @@ def quoted_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return found.where("kind = 'whole'").select("file", "block", "at", "record").unionByName(joined)
 
 
-def read_quoted(spark: SparkSession, path: str | list[str], cols: list[str], files: list[tuple[str, int]] | None) -> DataFrame:
+def read_quoted(spark: SparkSession, path: str | list[str], cols: list[str], files: list[tuple[str, int]] | None) -> DataFrame | None:
     """The feed by ``quoted_records``, with the columns of ``read_feed``."""
-    records = quoted_records(spark, path).where(F.btrim("record", F.lit("\r")) != "")
+    records = quoted_records(spark, path)
+    if records is None:
+        return None
+    records = records.where(F.btrim("record", F.lit("\r")) != "")
     first = (F.col("block") == 0) & (F.col("at") == 0)
     text = F.regexp_replace("record", "\r$", "")
     ddl = ", ".join("`{}` STRING".format(c.replace("`", "``")) for c in text_schema(cols).names)
@@ -241,7 +252,9 @@ def read_feed(spark: SparkSession, path: str | list[str], multiline: bool | None
         multiline = spans_lines(spark, path)
         first, largest = files_of(spark, path)
         if multiline and largest > min(_split_bytes(spark), SMALL_FEED) and fs.splittable(spark, first):
-            return read_quoted(spark, path, cols, few_files(spark, path))
+            cut = read_quoted(spark, path, cols, few_files(spark, path))
+            if cut is not None:
+                return cut
     elif not multiline and has_quoted_newline(spark, path):
         raise FeedError(f"quoted newline in {path}: it cannot be split at lines")
     df = csv_options(spark.read.schema(text_schema(cols)), multiline).csv(path)

@@ -100,13 +100,14 @@ def test_scoped_merge_bypasses_untouched_months(spark, workdir):
 
 
 def test_broadcasts_are_checked_for_size():
-    """The one broadcast lies behind a count; the one hint deals rows out."""
+    """Both broadcasts lie behind a count; the one hint deals rows out."""
     import pathlib
     import re
 
     root = pathlib.Path(__file__).parent.parent.joinpath("ledgerline")
     src = "\n".join(p.read_text() for p in root.rglob("*.py") if p.relative_to(root).parts[0] != "llm")
-    assert re.findall(r"broadcast\([^)]*\)[^,]*", src) == ["broadcast(side) if few else side"]
+    assert sorted(re.findall(r"broadcast\((\w+)\)", src)) == ["inside", "side"]
+    assert "broadcast(side) if few else side" in src and "len(found) > MOST_INSIDE" in src
     assert re.findall(r"\.hint\(\W?\w+", src) == ['.hint("rebalance']
     assert "localCheckpoint" not in src
 

@@ -85,6 +85,15 @@ def test_many_tasks_parse_one_file(spark, workdir, small_splits):
     assert df.count() == 2000
 
 
+def test_too_many_splits_inside_quotes_are_parsed_whole(spark, workdir, small_splits, monkeypatch):
+    rows, text = feed(100, seed=12)
+    path = _write(f"{workdir}/in/a.csv", text)
+    small_splits(200)
+    monkeypatch.setattr(C, "MOST_INSIDE", 2)
+    assert C.quoted_records(spark, path) is None
+    assert read(spark, path) == [[x if x != "" else None for x in r] for r in rows]
+
+
 def test_one_record_over_many_splits_and_an_open_quote(spark, workdir, small_splits):
     long = "\n".join("line %d" % i for i in range(400))
     small_splits(100)
