@@ -93,28 +93,54 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _spans(text: Column, hits: Column, kind: str) -> Column:
-    """The confirmed spans of one kind from its matches in a text."""
-    pattern, _, confirm, base, context = KINDS[kind]
+def _staged(df: DataFrame, carried: list[Column], *computed: Column) -> DataFrame:
+    """``carried`` and the ``computed`` columns, the latter as the one row that
+    a generator gives. Later filters and projections stay above a generator, so
+    no expression is repeated for each of its uses."""
+    return df.select(*carried, F.inline(F.array(F.struct(*computed))))
 
-    def located(parts):
-        lengths = F.transform(hits, lambda h, i: F.length(h) + F.length(parts[i]))
 
-        def one(starts):
-            def span(h, i):
-                start = F.aggregate(F.slice(starts, F.lit(1), i), F.lit(0), lambda a, n: a + n) + F.length(parts[i])
-                near = F.concat_ws(" ", F.right(parts[i], F.lit(CONTEXT)), F.left(parts[i + 1], F.lit(CONTEXT)))
-                score = F.lit(base) + F.when(F.lower(near).rlike(context), 0.2).otherwise(0.0)
-                return F.struct(start.alias("start"), F.lit(list(KINDS).index(kind)).alias("kind_no"),
-                                (start + F.length(h)).alias("end"), F.lit(kind).alias("kind"), h.alias("value"),
-                                F.least(score, F.lit(1.0)).alias("score"))
+#: Numbers in a block of a running total.
+_RUN = 256
 
-            return F.transform(hits, span)
 
-        return _let(lengths, one)
+def running(values: Column, step) -> Column:
+    """The running totals of whole numbers, ``step`` being associative with 0
+    as its start. An aggregate copies what it has gathered at each number, so
+    it runs over blocks of ``_RUN`` and once over the blocks' totals, which are
+    then put before their blocks: about ``_RUN`` / 2 numbers are copied for
+    each, a million numbers make 4,000 blocks."""
+    def within(block):
+        start = F.struct(F.lit(0).alias("t"), F.array().cast("array<int>").alias("all"))
 
-    spans = F.filter(_let(F.split(text, pattern, -1), located),
-                     lambda s: confirm(s["value"]) & (F.lit(kind in BASE) | (s["score"] >= MIN_SCORE)))
+        def add(acc, v):
+            return _let(step(acc["t"], v), lambda t: F.struct(t.alias("t"), F.concat(acc["all"], F.array(t)).alias("all")))
+
+        return F.aggregate(block, start, add, lambda acc: acc["all"])
+
+    def joined(blocks):
+        def put(before):
+            return F.flatten(F.transform(blocks, lambda x, b: F.transform(x, lambda v: step(F.coalesce(F.get(before, b - 1), F.lit(0)), v))))
+
+        return _let(within(F.transform(blocks, lambda x: F.element_at(x, -1))), put)
+
+    places = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / F.lit(_RUN)).cast("int"))
+    return _let(F.transform(places, lambda b: within(F.slice(values, b * _RUN + 1, F.lit(_RUN)))), joined)
+
+
+def _spans(ends: Column, hits: Column, parts: Column, kind: str) -> Column:
+    """The confirmed spans of one kind from its matches in a text, the pieces
+    between them and where they end."""
+    _, _, confirm, base, context = KINDS[kind]
+
+    def span(h, i):
+        near = F.concat_ws(" ", F.right(parts[i], F.lit(CONTEXT)), F.left(parts[i + 1], F.lit(CONTEXT)))
+        score = F.lit(base) + F.when(F.lower(near).rlike(context), 0.2).otherwise(0.0)
+        return F.struct((ends[i] - F.length(h)).alias("start"), F.lit(list(KINDS).index(kind)).alias("kind_no"),
+                        ends[i].alias("end"), F.lit(kind).alias("kind"), h.alias("value"),
+                        F.least(score, F.lit(1.0)).alias("score"))
+
+    spans = F.filter(F.transform(hits, span), lambda s: confirm(s["value"]) & (F.lit(kind in BASE) | (s["score"] >= MIN_SCORE)))
     return F.when(F.size(hits) > 0, spans).otherwise(F.array().cast(_NONE))
 
 
@@ -127,17 +153,31 @@ def find(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = No
     text and score by start and kind."""
     carried = kept_columns(docs, RESULT_NAMES, keep)
     c = [F.col(f"`{x}`") for x in carried]
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    step = docs.select(*c, text.alias("__t"))
-    step = step.select(*c, "__t", *[F.when(test(F.col("__t")), F.regexp_extract_all("__t", F.lit(p), F.lit(0)))
-                                    .otherwise(F.array().cast("array<string>")).alias(f"__{k}")
-                                    for k, (p, test, *_) in KINDS.items()])
-    step = step.select(*c, *[_spans(F.col("__t"), F.col(f"__{k}"), k).alias(f"__{k}") for k in KINDS])
-    base = F.array_sort(F.concat(*[F.col(f"__{k}") for k in BASE]))
-    return step.select(*c, *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in BASE],
-                       F.sha2(_digest(base), 256).alias("base_sha256"),
-                       F.array_sort(F.concat(*[F.col(f"__{k}") for k in KINDS])).alias("found")
-                       ).withColumn("spans", _digest(F.col("found"))).select(*c, *RESULT_NAMES)
+    none = F.array().cast("array<string>")
+    t = F.col("__t")
+    step = _staged(docs, c, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"))
+    hits = [F.when(test(t), F.regexp_extract_all("__t", F.lit(p), F.lit(0))).otherwise(none).alias(f"__{k}") for k, (p, test, *_) in KINDS.items()]
+    step = _staged(step, [*c, t], *hits)
+    # The pieces between matches, and where each match ends.
+    own = [F.col(f"__{k}") for k in KINDS]
+    step = _staged(step, [*c, *own], *[F.when(F.size(f"__{k}") > 0, F.split(t, p, -1)).otherwise(none).alias(f"__p_{k}") for k, (p, *_) in KINDS.items()])
+    lengths = F.array(*[F.zip_with(F.col(f"__{k}"), F.slice(f"__p_{k}", F.lit(1), F.size(f"__{k}")), lambda h, part: F.length(h) + F.length(part)) for k in KINDS])
+    ends = F.transform(lengths, lambda x: F.when(F.size(x) > 0, running(x, lambda a, n: a + n)).otherwise(F.array().cast("array<int>")))
+    step = _staged(step, [*c, *own, *[F.col(f"__p_{k}") for k in KINDS]], ends.alias("__e"))
+
+    def spans(n, kind):
+        bound = F.struct(F.col("__e")[n].alias("e"), F.col(f"__{kind}").alias("h"), F.col(f"__p_{kind}").alias("p"))
+        return _let(bound, lambda x: _spans(x["e"], x["h"], x["p"], kind)).alias(f"__{kind}")
+
+    step = _staged(step, c, *[spans(n, k) for n, k in enumerate(KINDS)])
+    base = F.array_sort(F.concat(*own[:len(BASE)]))
+    step = _staged(step, c, *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in BASE], F.sha2(_digest(base), 256).alias("base_sha256"),
+                   F.array_sort(F.concat(*own)).alias("found"))
+    return step.withColumn("spans", _digest(F.col("found"))).select(*c, *RESULT_NAMES)
+
+
+#: Characters of a block of text: masks are put in block by block.
+_BLOCK = 4096
 
 
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -147,21 +187,30 @@ def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     found = find(docs.toDF(*plain).withColumn("__text", F.col(plain[docs.columns.index(text_col)])), text_col="__text",
                  keep=[*plain, "__text"])
 
-    def join(runs, s):
-        last = F.element_at(runs, -1)
-        longer = F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))))
-        own = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        return F.when((F.size(runs) > 0) & (F.get(runs, F.size(runs) - 1)["end"] > s["start"]), longer).otherwise(F.concat(runs, F.array(own)))
-
-    def rebuilt(runs):
-        def piece(s, i):
-            begin = F.when(i == 0, 0).otherwise(F.get(runs, i - 1)["end"])
-            return F.concat(F.substr("__text", begin + 1, s["start"] - begin), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-
-        rest = F.substr(F.col("__text"), F.element_at(runs, -1)["end"] + 1)
-        return F.concat(F.array_join(F.transform(runs, piece), ""), rest)
-
-    empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    new = F.when(F.size("found") > 0, _let(F.aggregate("found", empty, join), rebuilt)).otherwise(F.col("__text"))
-    return found.select(*[(new if c == text_col else F.col(p)).alias(c) for p, c in zip(plain, docs.columns)])
+    def rebuilt(ends):
+        """The text with masks, from the furthest end of the spans up to each."""
+        spans = F.col("found")
+        first = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (spans[i]["start"] >= F.get(ends, i - 1)))
+
+        def masked(starts):
+            def piece(i):
+                begin = F.coalesce(F.get(ends, i - 1), F.lit(0))
+                return F.concat(_cut(begin, spans[i]["start"]), F.lit("<"), F.upper(spans[i]["kind"]), F.lit(">"))
+
+            return F.concat(F.array_join(F.transform(starts, piece), ""), _cut(F.element_at(ends, -1), F.length("__text")))
+
+        return _let(first, masked)
+
+    def _cut(begin, end):
+        """Characters ``begin`` to ``end`` - 1, out of the blocks they lie in."""
+        block = F.floor(begin / F.lit(_BLOCK)).cast("int")
+        last = F.floor(F.greatest(begin, end - 1) / F.lit(_BLOCK)).cast("int")
+        return F.substr(F.array_join(F.slice("__blocks", block + 1, last - block + 1), ""), begin - block * _BLOCK + 1, end - begin)
+
+    carried = [F.col(p) for p in (*plain, "__text", "found")]
+    found = _staged(found, carried, F.when(F.size("found") > 0, F.regexp_extract_all("__text", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)))
+                    .otherwise(F.array().cast("array<string>")).alias("__blocks"))
+    furthest = _let(F.transform("found", lambda s: s["end"]), lambda x: running(x, lambda a, n: F.greatest(a, n)))
+    new = F.when(F.size("found") > 0, _let(furthest, rebuilt)).otherwise(F.col("__text"))
+    out = _staged(found, [F.col(p) for p in plain], new.alias("__new"))
+    return out.select(*[F.col("__new" if c == text_col else p).alias(c) for p, c in zip(plain, docs.columns)])
