@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.operators.merge import merge
-from ledgerline.operators.metrics import compute_metrics, recompute_scope
+from ledgerline.operators.metrics import recompute_scope
 
 
 def run_columns(loaded_at: datetime, load_uuid: str) -> dict[str, Column]:
@@ -95,6 +95,6 @@ def merge_fx(fx: DataFrame, clean: DataFrame, run_at: datetime, with_action=Fals
                  insert_values={"created_at": ts, "updated_at": ts}, with_action=with_action)
 
 
-def merge_metrics(fact: DataFrame, company_id: str | None = None) -> DataFrame:
+def merge_metrics(fact: DataFrame, company_id: str | None = None, spread: bool = False) -> DataFrame:
     """Metrics are a pure function of the fact: the new table is the recomputed one."""
-    return recompute_scope(fact, company_id) if company_id is not None else compute_metrics(fact)
+    return recompute_scope(fact, company_id, spread)

@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.operators.merge import ACTION, INSERT, STALE, UPDATE
-from ledgerline.operators.metrics import metrics_summary
+from ledgerline.operators.metrics import longest_run, metrics_summary
 from ledgerline.operators.report import report_projection, reason_breakdown
 from ledgerline.plans import golden as G
-from ledgerline.plans.audit import append, audit_row
+from ledgerline.plans.audit import append, audit_row, roll_if_many
 from ledgerline.plans.cleanse import missing_columns, value_rules, with_zone
 from ledgerline.operators.dedup import mark_superseded
 from ledgerline.plans.entities import SPECS, CleansePolicy, EntitySpec
-from ledgerline.plans.read import fact_year
+from ledgerline.plans.read import ODD_YEAR, fact_year
 from ledgerline.sources.csv import FeedError, header_columns, read_feed, too_long
 from ledgerline.sources.store import BUCKET, StaleBase, Store, bucket_of, buckets_for
 
@@ -148,6 +148,7 @@ def load_frame(spark: SparkSession, store: Store, entity: str, feed: DataFrame,
     def note(stages, status, counts, exc=None):
         append(spark, store.audit_path(), [audit_row(entity, source_name, load_uuid, s, status, n, exc) for s, n in zip(stages, counts)])
 
+    roll_if_many(spark, store.audit_path())
     load = _Load(spark, store, spec, entity, policy, load_uuid, stage_mode, _now())
     stages = [S.STAGE_BRONZE]
     t = [time.perf_counter()]
@@ -367,6 +368,10 @@ def read_golden(store: Store, table: str, version: str | None = None, with_year:
     return store.read(table, GOLDEN_SCHEMA[table], version, entry=entry, parts=parts, partition_col=S.YEAR if with_year and table in YEARLY else None)
 
 
+#: Rows of odd months that one company may have before its window is spread over tasks.
+WINDOW_ROWS = 1_000_000
+
+
 def calculate_metrics(spark: SparkSession, store: Store, company_id: str | None = None) -> dict:
     """Recompute the four metric columns (all companies or one) and publish.
 
@@ -385,7 +390,10 @@ def calculate_metrics(spark: SparkSession, store: Store, company_id: str | None
             return {"status": "no_data", "message": f"No rows found in {table} to compute metrics for.", "company_id": company_id,
                     "total_rows": 0, "eligible_rows": 0, "updated_rows": 0}
         part = store.read(table, S.FACT_FINANCIALS, entry=base, parts=parts)
-        new = with_parts(G.merge_metrics(part, company_id), table, base.buckets)
+        # Months bound a company's window; only odd month text, in a folder of its own, can go beyond that.
+        odd = [p for p in parts if p.startswith(f"{S.YEAR}={ODD_YEAR}")]
+        spread = bool(odd) and longest_run(store.read(table, S.FACT_FINANCIALS, entry=base, parts=odd)) > WINDOW_ROWS
+        new = with_parts(G.merge_metrics(part, company_id, spread), table, base.buckets)
         eligible = F.col("revenue").isNotNull() & F.col("expenses").isNotNull()
         version = f"metrics-{uuid.uuid4()}"
         try:

@@ -437,7 +437,7 @@ fact_usd AS (
 
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for name, select in {**SQL, "hand_off_round_trip": SQL["quarantine_union"]}.items():
+    for name, select in {**SQL, "hand_off_round_trip": SQL["quarantine_union"], "fin_metrics_spread": SQL["fin_metrics"]}.items():
         ctes = CTES.strip()
         if name.startswith("audit_"):
             ctes = ctes + ",\n" + AUDIT_ROWS

@@ -21,10 +21,13 @@ def _eq(df: DataFrame, col: str, value, upper: bool = False, when_truthy: bool =
     return df
 
 
+ODD_YEAR = "other"
+
+
 def fact_year(month: Column) -> Column:
     """The partition of the fact that holds a month: its year, or "other" for
     text that is no month."""
-    return F.when(month.rlike(r"^[0-9]{4}-[0-9]{1,2}$"), F.substring(month, 1, 4)).otherwise(F.lit("other"))
+    return F.when(month.rlike(r"^[0-9]{4}-[0-9]{1,2}$"), F.substring(month, 1, 4)).otherwise(F.lit(ODD_YEAR))
 
 
 def _month(df: DataFrame, month) -> DataFrame:

@@ -247,6 +247,11 @@ def fin_metrics(spark, sf):
     return D.fact_table(spark, sf).select(*_metric_cols())
 
 
+def fin_metrics_spread(spark, sf):
+    """The metrics by ranges of (company, month) with halo rows."""
+    return G.merge_metrics(D.fact_table(spark, sf, with_metrics=False), spread=True).select(*_metric_cols())
+
+
 def fin_metrics_one(spark, sf):
     f = D.fact_table(spark, sf, with_metrics=False)
     return G.merge_metrics(f, ONE_COMPANY).select(*_metric_cols())
@@ -426,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _wrap(v) for
     "fk_violations": fk_violations,
     "fin_metrics": fin_metrics,
     "fin_metrics_one": fin_metrics_one,
+    "fin_metrics_spread": fin_metrics_spread,
     "metrics_summary": metrics_summary,
     "read_company": read_company,
     "read_revenue": read_revenue,

@@ -44,6 +44,12 @@ def listing(spark: SparkSession, path: str) -> list[tuple[str, bool, int]] | Non
     return [(m[1], m[2] == "true", int(m[3] or 0)) for m in (_STATUS.search(x.toString()) for x in found)]
 
 
+def count(spark: SparkSession, path: str) -> int:
+    """Number of entries of a folder, 0 if there is none."""
+    fs, p = _fs(spark, path)
+    return len(fs.listStatus(p)) if fs.exists(p) else 0
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """Time of the last change of a file or folder, 0 if there is none."""
     fs, p = _fs(spark, path)

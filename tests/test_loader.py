@@ -438,3 +438,26 @@ def test_offsets_order_by_instant(spark, workdir):
            "1,2024-01,2,USD,2024-01-01T10:00:00+05:00\n")
     load_entity(spark, store, "revenue", _write(f"{workdir}/in/r.csv", rev))
     assert read_golden(store, "fact_company_monthly_financials").first().revenue == 1.0
+
+
+def test_metrics_run_spreads_odd_months(spark, workdir, monkeypatch):
+    """Odd months beyond the bound of a window give the same metrics by ranges."""
+    from ledgerline.operators import metrics
+    from ledgerline.plans import loader
+
+    store = Store(spark, workdir)
+    load_entity(spark, store, "company", _write(f"{workdir}/in/c.csv", "company_id,name,industry,country\n1,A,x,y\n2,B,x,y\n"))
+    months = [f"2024-{m:02d}" for m in range(1, 13)] + [f"odd {i:03d}" for i in range(60)]
+    for entity, col in (("revenue", "revenue,currency"), ("expense", "expenses,currency")):
+        rows = "".join(f"{c},{m},{i % 9 + 1},USD,2024-01-01\n" for c in (1, 2) for i, m in enumerate(months))
+        load_entity(spark, store, entity, _write(f"{workdir}/in/{entity}.csv", f"company_id,month,{col},updated_at\n{rows}"))
+    fact = "fact_company_monthly_financials"
+    cols = ["company_id", "month", *S.METRIC_COLUMNS]
+    plain = calculate_metrics(spark, store)
+    want = sorted(map(tuple, read_golden(store, fact).select(*cols).collect()), key=str)
+    used = []
+    monkeypatch.setattr(loader, "WINDOW_ROWS", 59)
+    monkeypatch.setattr(metrics, "spread_metrics", lambda df, real=metrics.spread_metrics: used.append(1) or real(df, ranges=5))
+    got = calculate_metrics(spark, store)
+    assert used and (got["total_rows"], got["eligible_rows"]) == (plain["total_rows"], plain["eligible_rows"]) == (144, 144)
+    assert sorted(map(tuple, read_golden(store, fact).select(*cols).collect()), key=str) == want and any(r[3] is not None for r in want)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.operators.merge import ACTION, merge, merge_counts
-from ledgerline.operators.metrics import compute_metrics, recompute_scope
+from ledgerline.operators.metrics import PART, compute_metrics, recompute_scope, spread_metrics
 from ledgerline.plans import golden as G
 
 RUN = dt.datetime(2024, 5, 1)
@@ -123,3 +123,35 @@ def test_scoped_merge_equals_full_merge(spark):
     assert sorted(map(tuple, full.collect()), key=str) == sorted(map(tuple, scoped.collect()), key=str)
     plan = scoped._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and "LeftSemi" in plan
+
+
+def _spread_rows(spark):
+    import random
+
+    r = random.Random(5)
+    months = [f"{y}-{m:02d}" for y in range(2001, 2005) for m in range(1, 13)]
+    rows = [(c, m, r.choice([None, 0.0, 1.5, 20.0, 7.25]), r.choice([None, 3.0])) for c in ("1", "2", "3", None) for m in months]
+    rows += [("hot", f"odd {i:05d}", float(i % 11), 1.0) for i in range(2500)] + [("hot", m, 2.0, 1.0) for m in months]
+    rows += [(f"one{i}", "2024-01", 4.0, 1.0) for i in range(60)]
+    return spark.createDataFrame(rows, "company_id string, month string, revenue double, expenses double").repartition(3)
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 400])
+def test_spread_metrics_equal_the_window(spark, ranges):
+    df = _spread_rows(spark)
+    assert _metrics(spread_metrics(df, ranges=ranges)) == _metrics(compute_metrics(df))
+    assert spread_metrics(df, ranges=ranges).count() == df.count()
+
+
+def test_spread_metrics_columns_and_empty(spark):
+    df = compute_metrics(_spread_rows(spark))
+    assert spread_metrics(df, ranges=3).columns == df.columns
+    assert spread_metrics(df.limit(0)).count() == 0
+    assert _metrics(recompute_scope(df, "hot", spread=True)) == _metrics(df)
+
+
+def test_a_hot_company_spreads_over_ranges(spark):
+    plan = spread_metrics(_spread_rows(spark), ranges=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"[{PART}#" in plan.replace("windowspecdefinition(", "[")
+    from ledgerline.operators.metrics import longest_run
+    assert longest_run(_spread_rows(spark)) == 2548
