@@ -26,6 +26,7 @@ from ledgerline.llm.pii import redact
 from ledgerline.llm.registry import remainder
 from ledgerline.llm.shared import prepare, table
 from ledgerline.llm.simhash import deduplicate
+from ledgerline.sources.fs import delete
 
 
 def _plain(docs):
@@ -86,11 +87,14 @@ ORACLE_SQL = None  # a learned curve, XXH64 and token ids have no DuckDB form; t
 
 
 def run(spark, sf_dir):
-    """The rows of the last stage, over the ``documents`` of a folder."""
+    """The rows of the last stage, over the ``documents`` of a folder. A stage's
+    folder goes once the next one is written whole; the last one stays."""
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     folder = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex[:12]}"
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            delete(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
