@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -58,6 +59,13 @@ def test_stages_keep_and_change_what_they_should(spark, corpus, tmp_path):
 def test_run_gives_the_last_stage(spark, corpus):
     got = C.run(spark, corpus[0])
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(got.columns) and got.count() > 120
+    stages = {f.split("/")[-2] for f in got.inputFiles()}
+    assert stages == {f"{len(C.STAGES) - 1}-{C.STAGES[-1][0]}"}
+    kept = os.path.dirname(os.path.dirname(got.inputFiles()[0].replace("file://", "")))
+    assert set(os.listdir(kept)) == stages  # earlier stages are gone
+    clean, toxic, copies = corpus[1:]
+    ids = {r.doc_id for r in got.select("doc_id").collect()}
+    assert set(clean) <= ids and not ids & (set(toxic) | set(copies) | {400, 601})
 
 
 def test_empty_documents(spark, corpus, tmp_path):
