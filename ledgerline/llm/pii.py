@@ -9,8 +9,9 @@ need a score of ``MIN_SCORE``.
 Positions come from splitting a text at a pattern: the lengths of the pieces
 and matches before a match give its start. Patterns use possessive repeats and
 forbid a start inside a run that failed already, so they take linear time and
-no recursion on any text while they match what the plain forms match. All is
-one projection over whole texts: no shuffle, no Python.
+no recursion on any text while they match what the plain forms match. All is a
+few projections over whole texts, kept apart by one-row generators: no shuffle,
+no Python, and time linear in the matches of a text.
 
 Defined cases: a null text counts as empty (``redact`` leaves it null); an
 empty text has no spans. Spans of one kind do not overlap; those of different
