@@ -5,9 +5,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
+from ledgerline.plans import derived as D
 from ledgerline.plans import loader
 from ledgerline.plans.cleanse import cleanse
 from ledgerline.plans.entities import COMPANY
+from ledgerline.plans.registry import QUERIES
 from ledgerline.sources import fs
 from ledgerline.sources.store import Store
 
@@ -41,3 +43,19 @@ def test_load_rules_the_feed_once(spark, workdir, monkeypatch):
     assert (done.clean_rows, done.quarantined_rows) == (20, 20)
     assert seen.value == 40
     assert not fs.exists(spark, store.zone_path("ruled", "company", done.load_uuid))
+
+
+def test_json_rows_are_parsed_once(spark, monkeypatch):
+    at = dt.datetime(2024, 3, 1, 0, 0, 0)
+    fact = spark.createDataFrame([("1", 'a "b"', 1.5, None, "USD", None, None, None, 2.345, dt.date(2024, 1, 2), None, at, None, "u", None, at)],
+                                 "company_id string, month string, revenue double, expenses double, currency string, gross_profit double, "
+                                 "gross_margin_pct double, mom_revenue_growth_pct double, rolling_3m_revenue double, revenue_updated_at date, "
+                                 "expenses_updated_at date, revenue_pipeline_loaded_at timestamp, expense_pipeline_loaded_at timestamp, "
+                                 "revenue_pipeline_load_uuid string, expense_pipeline_load_uuid string, updated_at timestamp")
+    assert fact.columns == S.FACT_FINANCIALS.names
+    monkeypatch.setattr(D, "fact_table", lambda spark, sf: fact)
+    out = QUERIES["fact_as_json"](spark, "")
+    row = out.first()
+    assert row.json_keys == ",".join(fact.columns)
+    assert (row.company_id, row.month, row.revenue, row.expenses, row.revenue_updated_at, row.updated_at) == ("1", 'a "b"', 1.5, None, "2024-01-02", "2024-03-01T00:00:00")
+    assert "get_json_object" not in out._jdf.queryExecution().optimizedPlan().toString()
