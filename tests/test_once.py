@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
+from ledgerline.operators.metrics import spread_metrics
 from ledgerline.plans import derived as D
 from ledgerline.plans import loader
 from ledgerline.plans.cleanse import cleanse
@@ -23,6 +24,14 @@ def _counted(df, seen):
     return df.mapInArrow(count, df.schema)
 
 
+def test_spread_metrics_computes_the_fact_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(str(c), f"2024-{m:02d}", float(m), 1.0) for c in range(20) for m in range(1, 13)]
+    fact = spark.createDataFrame(rows, "company_id string, month string, revenue double, expenses double")
+    assert spread_metrics(_counted(fact, seen)).count() == 240
+    assert seen.value == 240
+
+
 def test_cleanse_computes_the_feed_once(spark):
     seen = spark.sparkContext.accumulator(0)
     rows = [(str(i // 2), "n", "i", "c", dt.datetime(2024, 1, 1 + i % 2), i, i) for i in range(40)]
