@@ -13,8 +13,10 @@ are cut. For packing only the count of pieces of each length matters (at most
 The plan is a short list of rank ranges per length. A piece's rank among those
 of its length is its rank within the map task that made it plus the number in
 earlier tasks, so a length that most documents share is ranked by many tasks
-and no window ever holds all pieces of a length. Texts are read once and never
-shuffled; pieces are checkpointed (the ids themselves only on request).
+and no window ever holds all pieces of a length. The numbers of earlier tasks
+are looked up in a small hash table per partition, under task and length packed
+into one long; no piece is sorted. Texts are read once and never shuffled;
+pieces are checkpointed (the ids themselves only on request).
 
 Defined cases: a null or empty text is the end id alone. Repeated rows are
 packed one by one. Pieces of equal length are interchangeable, any of them may
@@ -47,19 +49,29 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker remembers, in each of two generations.
 CACHE_WORDS = 400_000
+#: Longer words are rare and encoded anew, so that a cache of them stays small.
+CACHE_LETTERS = 40
 
 
 class _Memory(dict):
-    """Cache of a function in two generations, so that its size is bounded."""
+    """Cache of a function in two generations, so that its size is bounded.
+    With ``letters``, keys of more letters are not kept."""
 
-    def __init__(self, compute, size):
+    def __init__(self, compute, size, letters=None):
         super().__init__()
-        self.compute, self.size, self.old = compute, size, {}
+        self.compute, self.size, self.letters, self.old = compute, size, letters, {}
+
+    def seen(self, key):
+        """The value, which is not kept if it is new."""
+        value = self.get(key) or self.old.get(key)
+        return self.compute(key) if value is None else value
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+        if self.letters and len(key) > self.letters:
+            return value
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
@@ -86,8 +98,8 @@ class Encoder:
     def __init__(self, path: str, by_word: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.pieces = _Memory(self._piece, CACHE_WORDS)
-        self.words = _Memory(self._word, CACHE_WORDS)
+        self.pieces = _Memory(self._piece, CACHE_WORDS, CACHE_LETTERS)
+        self.words = _Memory(self._word, CACHE_WORDS, CACHE_LETTERS)
         self.pattern = self._known_form(json.loads(self.tokenizer.to_str()))
         self.shown = _byte_letters()
 
@@ -112,6 +124,8 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         if self.pattern and max(word) < "\u0250":  # letters that normal form C leaves as they are
             found = self.pattern.findall(word.lower())
+            if found == [word] and word.isascii() and word.isprintable():
+                return self.pieces.seen(word)  # kept among the words
             if not (word.isascii() and word.isprintable()):
                 found = [p.encode().decode("latin-1").translate(self.shown) for p in found]
             return b"".join([self.pieces[p] for p in found])
@@ -137,7 +151,8 @@ def encoder(path: str, by_word: bool = True) -> Encoder:
 def pieces(docs: DataFrame, *, id_col: str, text_col: str, capacity: int, end_id: int, tokenizer_file: str,
            by_word: bool, with_ids: bool) -> DataFrame:
     """One row per piece, with the task that made it and its rank among the
-    pieces of that task and length."""
+    pieces of that task and length; and one per task and length, with piece -1
+    and the number of such pieces as rank."""
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = src.schema["id"].dataType
     schema = T.StructType([T.StructField("id", kind)]).add("piece", "integer").add("start", "long").add("length", "long").add(
@@ -148,6 +163,17 @@ def pieces(docs: DataFrame, *, id_col: str, text_col: str, capacity: int, end_id
 
     def run(batches):
         enc, task, seen = encoder(tokenizer_file, by_word), TaskContext.get().partitionId(), Counter()
+
+        def table(ids, out):
+            cols = list(zip(*out)) if out else [()] * 7
+            arrays = [ids] + [
+                pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()])]
+            names = ["id", "piece", "start", "length", "ids_crc32", "task", "rank"]
+            if with_ids:
+                arrays.append(pa.array(cols[6], pa.binary()))
+                names.append("ids")
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
         for b in batches:
             out, take = [], []
             for row, text in enumerate(b.column(1).to_pylist()):
@@ -156,16 +182,11 @@ def pieces(docs: DataFrame, *, id_col: str, text_col: str, capacity: int, end_id
                     part = ids[at:at + 4 * capacity]
                     n = len(part) // 4
                     take.append(row)
-                    out.append((k, at // 4, n, zlib.crc32(part), task, seen[n], part))
+                    out.append((k, at // 4, n, zlib.crc32(part), task, seen[n], part if with_ids else None))
                     seen[n] += 1
-            cols = list(zip(*out)) if out else [()] * 7
-            arrays = [b.column(0).take(pa.array(take, pa.int64()))] + [
-                pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()])]
-            names = ["id", "piece", "start", "length", "ids_crc32", "task", "rank"]
-            if with_ids:
-                arrays.append(pa.array(cols[6], pa.binary()))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield table(b.column(0).take(pa.array(take, pa.int64())), out)
+        if seen:
+            yield table(pa.nulls(len(seen), b.column(0).type), [(-1, None, n, None, task, c, None) for n, c in seen.items()])
 
     return src.mapInArrow(run, schema)
 
@@ -307,14 +328,15 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cap
     spark = prepare(docs.sparkSession)
     made = pieces(docs, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id, with_ids=with_ids,
                   tokenizer_file=tokenizer_file or public_tokenizers.path(TOKENIZER), by_word=by_word).checkpoint()
-    per_task = made.groupBy("task", "length").agg(F.count("*").alias("n"))
+    per_task = made.where("piece < 0").withColumnRenamed("rank", "n")
+    key = (F.col("task").cast("long") * (capacity + 1) + F.col("length")).alias("key")
     before = per_task.withColumn("before", F.sum("n").over(
         Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))).select(
-        "task", "length", F.coalesce("before", F.lit(0)).alias("before"))
+        key, F.coalesce("before", F.lit(0)).alias("before")).hint("shuffle_hash")
     counts = {r.length: r.n for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     places = sorted(plan_for(counts, capacity).places)
     table = spark.sparkContext.broadcast(np.array(places, dtype=np.int64).reshape(-1, 5))
-    ranked = made.join(before, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("task", "before")
+    ranked = made.where("piece >= 0").withColumn("key", key).join(before, "key").withColumn("rank", F.col("rank") + F.col("before"))
     ranked = ranked.select("id", "piece", "start", "length", "ids_crc32", "rank", *(["ids"] if with_ids else []))
     schema = T.StructType([f for f in ranked.schema if f.name not in ("rank", "ids")]).add("sequence_id", "long").add("offset", "long")
     if with_ids:

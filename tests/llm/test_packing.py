@@ -131,3 +131,33 @@ def test_plans_are_valid_and_near_the_bound():
 
 def test_empty_table(spark):
     assert K.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_words_are_encoded_but_not_kept(tokenizer):
+    enc = K.Encoder(public_tokenizers.path(K.TOKENIZER))
+    long = ["".join(random.Random(i).choices("abcdefgh0123", k=3000)) for i in range(20)]
+    text = " ".join([*long, "short", *long, "short,"])
+    assert np.frombuffer(enc.ids(text), "<u4").tolist() == want_ids(tokenizer, text)[:-1]
+    kept = {*enc.words, *enc.words.old, *enc.pieces, *enc.pieces.old}
+    assert {"short", "short,"} <= kept and max(map(len, kept)) <= K.CACHE_LETTERS
+
+
+def test_words_of_one_piece_are_kept_once():
+    enc = K.Encoder(public_tokenizers.path(K.TOKENIZER))
+    enc.ids(" ".join(f"word{'abcdefghij'[i]}" for i in range(10)) + " ends,")
+    assert len(enc.words) == 11 and set(enc.pieces) == {"ends", ","}
+
+
+def test_places_are_looked_up_without_sorting_pieces(spark):
+    docs = spark.createDataFrame([(i, "river stone " * (i % 7)) for i in range(60)], "doc_id long, text string").repartition(4)
+    for with_ids in (False, True):
+        plan = K.pack(docs, with_ids=with_ids)._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan, plan
+
+
+def test_counts_of_a_task_come_with_its_pieces(spark):
+    docs = spark.createDataFrame([(i, "river stone " * (i % 7)) for i in range(60)], "doc_id long, text string").repartition(4)
+    rows = K.pieces(docs, id_col="doc_id", text_col="text", capacity=8, end_id=0, with_ids=False, by_word=True,
+                    tokenizer_file=public_tokenizers.path(K.TOKENIZER)).collect()
+    assert Counter((r.task, r.length) for r in rows if r.piece >= 0) == {(r.task, r.length): r.rank for r in rows if r.piece < 0}
+    assert "Aggregate" not in K.pack(docs, capacity=8)._jdf.queryExecution().executedPlan().toString()
